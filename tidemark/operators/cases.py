@@ -63,15 +63,25 @@ def of_parts(
     return targets
 
 
-def signals(targets: DataFrame) -> DataFrame:
-    """One row per symbol and time, listing the names and values of its targets.
+def moments(targets: DataFrame, names: Iterable[str]) -> DataFrame:
+    """One row per symbol and time, with a column per name holding the value of that target.
 
-    A case does not depend on which names fired, so it is worked out once for all of them. The list
-    holds one entry per distinct name.
+    A case does not depend on which names fired, so it is worked out once for all of them.
     """
+    values = [F.max(F.when(F.col("target_name") == n, F.col("value"))).alias(n) for n in names]
     spread = targets.repartition("symbol", "part_name")
-    return spread.groupBy("symbol", "part_name", "time_open").agg(
-        F.collect_set(F.struct("target_name", F.col("value").alias("target_value"))).alias("signals")
+    grouped = spread.groupBy("symbol", "part_name", "time_open")
+    return grouped.agg(*values) if values else grouped.agg(F.lit(1)).drop("1")
+
+
+def per_target(cases: DataFrame, names: Iterable[str]) -> DataFrame:
+    """From a row per moment back to a row per target, with ``target_name`` and ``target_value``."""
+    pairs = [F.struct(F.lit(n).alias("target_name"), F.col(n).alias("target_value")) for n in names]
+    rest = [c for c in cases.columns if c not in names]
+    return (
+        cases.select(*rest, F.explode(F.array(*pairs)).alias("pair"))
+        .select(*rest, "pair.*")
+        .where(F.col("target_value").isNotNull())
     )
 
 
@@ -86,28 +96,38 @@ def around(
 ) -> DataFrame:
     """The bars of each case: one row per case and bar that exists.
 
-    ``cases`` has symbol, part_name, time_open (renamed target_timestamp) and columns to carry along.
-    The cases of a (symbol, part) are listed in one row, at most one per bar and name, and every bar
-    of that part picks those it belongs to. So bars and cases meet on (symbol, part_name) after being
-    shuffled once; the rows they expand into are not shuffled again, and all grouping by case happens
-    where they are. Only bars of the target's part and the end of the one before are seen, so late
-    cases are cut short.
+    ``cases`` has symbol, part_name, time_open (renamed target_timestamp) and columns to carry along,
+    at most one row per bar and name, best partitioned by (symbol, part_name). The cases of a
+    (symbol, part) are listed in one row, by the stretch of time they touch, and every bar of that
+    part picks those it belongs to. So bars and cases meet on (symbol, part_name) after being shuffled
+    once; the rows they expand into are not shuffled again, and all grouping by case happens where
+    they are. (A broadcast of few lists would spare the bars that shuffle, but cost the many more
+    expanded rows one, hence the hint.) Only bars of the target's part and the end of the one before
+    are seen, so late cases are cut short.
     """
     carried = [c for c in cases.columns if c not in ("symbol", "part_name")]
-    lists = cases.groupBy("symbol", "part_name").agg(
-        F.collect_list(
-            F.struct(grid.number(F.col("time_open")).alias("target_no"), *carried)
-        ).alias("cases")
+    length = before + after + 1
+    number = F.col("target_no")
+    touched = F.sequence(F.floor((number - before) / length), F.floor((number + after) / length))
+    lists = (
+        cases.withColumn("target_no", grid.number(F.col("time_open")))
+        .withColumn("stretch", F.explode(touched))
+        .groupBy("symbol", "part_name", "stretch")
+        .agg(F.collect_list(F.struct("target_no", *carried)).alias("cases"))
+        .groupBy("symbol", "part_name")
+        .agg(F.map_from_entries(F.collect_list(F.struct("stretch", "cases"))).alias("stretches"))
     )
     offset = F.col("bar_no") - F.col("case.target_no")
+    near = F.try_element_at("stretches", F.floor(F.col("bar_no") / length))
     rows = (
         by_part(bars, grid, max(before, 0), first, last)
-        .join(lists, ["symbol", "part_name"])
+        .join(lists.hint("merge"), ["symbol", "part_name"])
+        .withColumn("near", near)
         .withColumn(
             "case",
             F.explode(
                 F.filter(
-                    "cases",
+                    "near",
                     lambda c: (F.col("bar_no") - c["target_no"]).between(-before, after),
                 )
             ),
@@ -172,14 +192,19 @@ def case_window(rows: DataFrame) -> WindowSpec:
     return Window.partitionBy(*case_key(rows)).orderBy("offset")
 
 
-def with_entry(rows: DataFrame, fee: float = FEE) -> DataFrame:
-    """Add ``price_in``, what the case costs at its entry bar; 0 without one.
+def entry_column(rows: DataFrame, fee: float = FEE) -> Column:
+    """What a case costs at its entry bar, on each of its rows; 0 without one.
 
     The entry bar is one of the case's own rows, so no second join with the bars is needed.
     """
     whole = case_window(rows).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     at_entry = F.max(in_phases((1,), F.col(S.AVG))).over(whole)
-    return rows.withColumn("price_in", F.coalesce(at_entry, F.lit(0.0)) * (1 + fee))
+    return F.coalesce(at_entry, F.lit(0.0)) * (1 + fee)
+
+
+def with_entry(rows: DataFrame, fee: float = FEE) -> DataFrame:
+    """Add ``price_in``, what the case costs."""
+    return rows.withColumn("price_in", entry_column(rows, fee))
 
 
 def case_rows(
@@ -198,7 +223,8 @@ def case_rows(
     Cases without an entry price are left out.
     """
     chosen = of_parts(targets, names, first, last).withColumnRenamed("value", "target_value")
-    rows = around(chosen, traded(bars), grid, before, after, first, last)
+    spread = chosen.repartition("symbol", "part_name")
+    rows = around(spread, traded(bars), grid, before, after, first, last)
     return with_entry(rows, fee).where(F.col("price_in") != 0)
 
 

@@ -23,21 +23,26 @@ PROFIT_VALUE = 1.0
 MIN_AVG_VOLUME = 50000
 
 
+def neighbour_column(rows: DataFrame, order: str = "asc") -> Column:
+    """Average price of the row's neighbour in its case: the later one for ``asc``, else the earlier."""
+    return {"asc": F.lead, "desc": F.lag}[order](S.AVG, 1).over(case_window(rows))
+
+
+def step_column(neighbour: Column) -> Column:
+    """Percent change against a neighbouring price, in thousandths rounded down; 0 next to none."""
+    change = F.when(neighbour != 0, F.col(S.AVG) * 100 / neighbour - 100).otherwise(F.lit(0.0))
+    return F.floor(change * 1000)
+
+
 def step_change_pct(rows: DataFrame, order: str = "asc") -> DataFrame:
     """Add the percent change of each row's average price against its neighbour in the case.
 
-    The neighbour is the next row in ``order``: the later one for ``asc``, the earlier one for
-    ``desc``. Rounded down to three places; 0 at the end of the case and next to a price of 0.
+    Rounded down to three places; 0 at the end of the case and next to a price of 0.
     ``step_thousandths`` holds the same value as an integer, so that sums of it are exact.
     """
-    window = case_window(rows)
-    neighbour = {"asc": F.lead, "desc": F.lag}[order](S.AVG, 1).over(window)
-    change = F.when(
-        F.col("neighbour") != 0, F.col(S.AVG) * 100 / F.col("neighbour") - 100
-    ).otherwise(F.lit(0.0))
     return (
-        rows.withColumn("neighbour", neighbour)
-        .withColumn("step_thousandths", F.floor(change * 1000))
+        rows.withColumn("neighbour", neighbour_column(rows, order))
+        .withColumn("step_thousandths", step_column(F.col("neighbour")))
         .withColumn(S.STEP, F.col("step_thousandths") / 1000)
         .drop("neighbour")
     )

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,36 +28,32 @@ def _earlier_price(start: int, end: int) -> Column:
     )
 
 
-def _with_growth(
+def _with_earlier(
     bars: DataFrame,
     grid: Grid,
     frames: dict[str, tuple[int, int]],
     lookback: int,
-    first: date | None,
-    last: date | None,
+    first: date | None = None,
+    last: date | None = None,
 ) -> DataFrame:
-    """Add one growth column per frame, all under one window and one sort."""
+    """Add each bar's price and one earlier price per frame, all under one window and one sort."""
     for start, end in frames.values():
         if not 0 <= start <= end <= lookback:
             raise ValueError(f"rows {end}..{start} back must lie within the lookback of {lookback}")
-    earlier = {name: _earlier_price(*frame) for name, frame in frames.items()}
     return (
         by_part(bars, grid, lookback, first, last)
         .withColumn("price", divide(F.col(S.USD), F.col(S.COINS)))
-        .withColumns({**earlier, "is_full_lookback": full_lookback(lookback)})
+        .withColumns({name: _earlier_price(*frame) for name, frame in frames.items()})
+        .withColumn("is_full_lookback", full_lookback(lookback))
         .where(F.col("date") == F.col("part_name"))
-        .withColumns(
-            {
-                name: F.when(
-                    F.col("is_full_lookback"),
-                    floor_thousandths(divide(F.col("price"), F.col(name))),
-                )
-                for name in frames
-            }
-        )
     )
 
 
+def _growth(earlier: str) -> Column:
+    ratio = divide(F.col("price"), F.col(earlier))
+    return F.when(F.col("is_full_lookback"), floor_thousandths(ratio))
+
+
 def growth(
     bars: DataFrame, grid: Grid, start: int, end: int, lookback: int = 300
 ) -> DataFrame:
@@ -67,8 +61,8 @@ def growth(
 
     Rounded down to three places. NULL without a full lookback or where the ratio is not finite.
     """
-    wide = _with_growth(bars, grid, {"growth": (start, end)}, lookback, None, None)
-    return wide.select(*bars.columns, "growth")
+    rows = _with_earlier(bars, grid, {"earlier": (start, end)}, lookback)
+    return rows.select(*bars.columns, _growth("earlier").alias("growth"))
 
 
 def growth_all(
@@ -82,18 +76,26 @@ def growth_all(
 ) -> DataFrame:
     """Growth for every horizon, one row per bar and horizon, in one pass over the bars.
 
-    With ``at_least``, bars that reach it at no horizon are dropped before they are multiplied. The
+    With ``at_least``, only rows that reach it. Most bars reach it at no horizon and are dropped by
+    one comparison with their lowest earlier price, before anything is divided or multiplied out. The
     rows stay partitioned by (symbol, part_name), which an unpivot would forget.
     """
     frames = {NAME.format(k): (k, k) for k in horizons}
-    wide = _with_growth(bars, grid, frames, lookback, first, last)
+    wide = _with_earlier(bars, grid, frames, lookback, first, last)
     if at_least is not None:
-        wide = wide.where(reduce(or_, [F.col(c) >= at_least for c in frames]))
-    pairs = [F.struct(F.lit(c).alias("target_name"), F.col(c).alias("value")) for c in frames]
-    long = wide.select(
-        "symbol", "part_name", "time_open", F.explode(F.array(*pairs)).alias("pair")
-    ).select("symbol", "part_name", "time_open", "pair.*")
-    return long if at_least is None else long.where(F.col("value") >= at_least)
+        lowest = F.array_min(F.array(*frames))
+        # Rounding down never raises a ratio; the thousandth of slack covers float noise.
+        wide = wide.where(
+            F.col("is_full_lookback") & (F.col("price") >= lowest * (at_least - 0.001))
+        )
+    pairs = [F.struct(F.lit(c).alias("target_name"), F.col(c).alias("earlier")) for c in frames]
+    long = wide.withColumn("pair", F.explode(F.array(*pairs))).select(
+        "*", "pair.target_name", "pair.earlier"
+    )
+    growths = long.select(
+        "symbol", "part_name", "time_open", "target_name", _growth("earlier").alias("value")
+    )
+    return growths if at_least is None else growths.where(F.col("value") >= at_least)
 
 
 def targets(

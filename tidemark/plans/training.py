@@ -16,8 +16,11 @@ from tidemark.operators.cases import (
     around,
     case_key,
     dense_around,
+    entry_column,
+    in_phases,
+    moments,
     of_parts,
-    signals,
+    per_target,
     traded,
     with_entry,
 )
@@ -28,8 +31,10 @@ from tidemark.operators.features import (
     avg_volume_column,
     best_exit_column,
     first_outcome_column,
+    neighbour_column,
     phase_sum_columns,
     step_change_pct,
+    step_column,
 )
 
 
@@ -51,14 +56,22 @@ def training_set(
 
     Bars and targets are shuffled once, by (symbol, part_name); see ``around``.
     """
-    cases = signals(of_parts(targets, names, first, last))
-    rows = _light(around(cases, traded(bars), grid, before, after, first, last))
-    priced = with_entry(rows, fee).where(F.col("price_in") != 0)
-    steps = step_change_pct(priced, "asc")
+    names = list(names)
+    cases = moments(of_parts(targets, names, first, last), names)
+    rows = around(cases, traded(bars), grid, before, after, first, last)
+    # The values ride on one row of each case, its entry bar, which every priced case has.
+    rows = rows.withColumns({n: in_phases((1,), F.col(n)) for n in names})
+    steps = (
+        rows.withColumns(
+            {"price_in": entry_column(rows, fee), "neighbour": neighbour_column(rows, "asc")}
+        )
+        .where(F.col("price_in") != 0)
+        .withColumn("step_thousandths", step_column(F.col("neighbour")))
+    )
     per_case = (
-        steps.groupBy(*case_key(steps))
+        steps.groupBy("symbol", "part_name", "target_timestamp")
         .agg(
-            F.first("signals", ignorenulls=True).alias("signals"),
+            *[F.max(n).alias(n) for n in names],
             F.max("price_in").alias(S.ENTRY),
             first_outcome_column(
                 "asc", S.AVG, stop_ratio=stop_ratio, profit_ratio=profit_ratio, fee=fee
@@ -69,9 +82,8 @@ def training_set(
         )
         .where(F.col(S.AVG_VOLUME) >= min_avg_volume)
     )
-    return _per_signal(per_case).withColumnRenamed("symbol", "target_symbol").select(
-        *S.TRAINING.names
-    )
+    rows = per_target(per_case, names).withColumnRenamed("symbol", "target_symbol")
+    return rows.select(*S.TRAINING.names)
 
 
 def feature_probe(
@@ -120,8 +132,8 @@ def case_gains(
     counts as 0, which every bar exceeds: such a case scores as a profit, unless
     ``keep_missing_entry`` is off and it is left out.
     """
-    cases = signals(of_parts(targets, None, first, last))
-    rows = around(cases.drop("signals"), bars, grid, -1, after, first, last)
+    chosen = of_parts(targets, None, first, last)
+    rows = around(moments(chosen, []), bars, grid, -1, after, first, last)
     priced = with_entry(rows, fee)
     gain = first_outcome_column(
         "desc",
@@ -131,15 +143,15 @@ def case_gains(
         fee=fee,
         last_offset=2,
     )
-    per_case = priced.groupBy(*case_key(priced)).agg(
+    per_case = priced.groupBy("symbol", "part_name", "target_timestamp").agg(
         F.max("price_in").alias("price_in"), gain.alias(S.GAIN)
     )
-    gains = cases.withColumnRenamed("time_open", "target_timestamp").join(
-        per_case, ["symbol", "part_name", "target_timestamp"], "left"
-    )
+    gains = chosen.withColumnsRenamed(
+        {"time_open": "target_timestamp", "value": "target_value"}
+    ).join(per_case, ["symbol", "part_name", "target_timestamp"], "left")
     if not keep_missing_entry:
         gains = gains.where(F.col("price_in") != 0)
-    return _per_signal(gains.fillna(0.0, ["price_in", S.GAIN]))
+    return gains.fillna(0.0, ["price_in", S.GAIN])
 
 
 def backtest_report(
@@ -169,15 +181,3 @@ def number_in_name(name: Column) -> Column:
     word = F.get(F.split(name, "_"), F.lit(2))
     number = F.when(word.rlike("^[0-9]+$"), word).try_cast("bigint")
     return F.when(number < 2**32, number).otherwise(0)
-
-
-def _per_signal(per_case: DataFrame) -> DataFrame:
-    """Back to one row per target."""
-    return per_case.withColumn("signal", F.explode("signals")).select(
-        "signal.*", *[c for c in per_case.columns if c != "signals"]
-    )
-
-
-def _light(rows: DataFrame) -> DataFrame:
-    """Keep the list of signals on one row of each case, its entry bar, which every priced case has."""
-    return rows.withColumn("signals", F.when(F.col("offset") == 1, F.col("signals")))
