@@ -1,0 +1,119 @@
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import fixture as X
+from checks import queries as Q
+from tests.conftest import DAY
+from tidemark import schemas as S
+from tidemark.operators import cases as C
+from tidemark.operators import features as E
+from tidemark.plans import training as P
+
+
+def same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_training_set_is_the_join_of_its_operators(spark, sf_dir):
+    rows = Q.case_rows(spark, sf_dir)
+    keys = C.case_key(rows)
+    parts = [
+        Q.first_outcome(spark, sf_dir),
+        E.best_exit(rows),
+        E.phase_sums(E.step_change_pct(rows, "asc")),
+        E.liquid_cases(rows),
+        rows.groupBy(*keys).agg(F.max("price_in").alias(S.ENTRY)),
+    ]
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = joined.join(part, keys)
+    joined = joined.withColumnRenamed("symbol", "target_symbol")
+    assert same(Q.training_set(spark, sf_dir), joined)
+
+
+def test_training_set_schema(spark, sf_dir):
+    built = Q.training_set(spark, sf_dir).schema
+    assert [(f.name, f.dataType) for f in built] == [(f.name, f.dataType) for f in S.TRAINING]
+
+
+def test_training_set_by_part_equals_one_pass(spark, sf_dir):
+    found, bars = Q.targets(spark, sf_dir), X.bars(spark, sf_dir)
+    settings = dict(
+        before=X.BEFORE, after=X.AFTER, stop_ratio=X.STOP_RATIO, profit_ratio=X.PROFIT_RATIO
+    )
+    whole = P.training_set(found, bars, X.GRID, **settings)
+    part = X.GRID.origin.date() + timedelta(days=2 * X.GRID.part_days)
+    one = P.training_set(found, bars, X.GRID, part, part, **settings)
+    assert not one.isEmpty()
+    assert same(one, whole.where(F.col("part_name") == F.lit(part)))
+
+
+def test_training_set_on_minutes(make_bars, make_targets, grid):
+    prices = {m: 100.0 for m in range(500, 661)} | {600: 102.0}
+    bars = make_bars([("A", m, p) for m, p in prices.items()])
+    row = P.training_set(make_targets([("price_increase_1", "A", 600)]), bars, grid).first()
+    assert row[S.ENTRY] == 100.0 * 1.001
+    assert row[S.GAIN] == -0.2  # never stopped, closed at 100 * 0.999
+    assert row[S.BEST] == -1.0
+    # minute 599 looks ahead at 102, minute 600 at 100
+    assert (row[S.RISES], row[S.FALLS], row[S.MOVES]) == (2.0, -1.96, 0.04)
+    assert row[S.AVG_VOLUME] == float((100 * 100.0 + 102.0) * 1000 // 101)
+    assert row["target_value"] == 1.5
+
+
+def test_report_equals_the_walk_over_whole_grids(spark, sf_dir):
+    gains = P.case_gains(
+        Q.targets(spark, sf_dir),
+        X.bars(spark, sf_dir),
+        X.GRID,
+        after=X.AFTER,
+        stop_ratio=X.STOP_RATIO,
+        profit_ratio=X.PROFIT_RATIO,
+    )
+    dense = Q.first_outcome_desc(spark, sf_dir)
+    assert same(dense, gains)
+
+
+def test_report_order_and_measures(make_bars, make_targets, grid):
+    bars = make_bars([("A", m, 100.0) for m in range(600, 661)])
+    names = ["price_increase_10", "price_increase_2", "other"]
+    report = P.backtest_report(make_targets([(n, "A", 600) for n in names]), bars, grid).collect()
+    assert [r["target_name"] for r in report] == ["other", "price_increase_2", "price_increase_10"]
+    assert tuple(report[0])[:4] == (-0.2, -0.2, 1, 0.0)
+
+
+def test_report_of_a_missing_entry(make_bars, make_targets, grid):
+    bars = make_bars([("A", m, 100.0) for m in (600, 602, 603)])
+    found = make_targets([("price_increase_1", "A", 600), ("price_increase_1", "B", 600)])
+    row = P.backtest_report(found, bars, grid).first()
+    assert (row["ttl_gain_pct"], row["ttl_ins"], row["win_pct"]) == (1.0, 2, 0.5)
+    assert P.backtest_report(found, bars, grid, keep_missing_entry=False).isEmpty()
+
+
+def test_report_of_a_day(make_bars, make_targets, grid):
+    bars = make_bars([("A", m, 100.0) for m in range(600, 661)])
+    found = make_targets([("price_increase_1", "A", 600), ("price_increase_1", "A", 2040)])
+    day = DAY.date()
+    assert P.backtest_report(found, bars, grid, first=day, last=day).first()["ttl_ins"] == 1
+
+
+@pytest.mark.parametrize("digits, number", [("7", 7), ("x", 0), ("-3", 0), ("4294967296", 0)])
+def test_number_in_name(spark, digits, number):
+    df = spark.createDataFrame([(f"price_increase_{digits}",)], ["n"])
+    assert df.select(P.number_in_name(F.col("n"))).first()[0] == number
+
+
+def test_feature_probe(make_bars, make_targets, grid, spark):
+    bars = make_bars([("A", 598, 100.0), ("A", 599, 100.0), ("A", 600, 102.0), ("B", 600, 1.0)])
+    found = make_targets(
+        [("price_increase_1", "A", 600), ("price_increase_2", "A", 600), ("price_increase_1", "B", 600)]
+    )
+    listed = spark.createDataFrame(
+        [("A", DAY + timedelta(minutes=600))], "symbol string, time_open timestamp_ntz"
+    )
+    rows = P.feature_probe(found, bars, grid, listed).collect()
+    assert [(r["target_name"], r["symbol"]) for r in rows] == [("price_increase_1", "A")]
+    assert (rows[0][S.RISES], rows[0][S.FALLS], rows[0][S.MOVES]) == (2.0, 0.0, 2.0)

@@ -14,8 +14,8 @@ class Grid:
     """Bar length, the instant bar 0 opens, and the length of a part in days.
 
     A *part* is the unit in which tables are stored and rebuilt; the default is one calendar day of
-    one-minute bars. Parts are named by the date they start on. Timestamps are read in the session
-    time zone, so use ``timestamp_ntz`` columns or a UTC session.
+    one-minute bars. Parts are named by the date they start on. Columns of type ``timestamp`` are read in the
+    session time zone, ``timestamp_ntz`` as they stand.
     """
 
     bar: timedelta = timedelta(minutes=1)
@@ -42,7 +42,7 @@ class Grid:
 
     def start(self, number: Column) -> Column:
         """Opening time of a bar."""
-        return F.lit(self.origin).cast("timestamp_ntz") + F.lit(self.bar) * number
+        return F.lit(self.origin.isoformat(" ")).cast("timestamp_ntz") + F.lit(self.bar) * number
 
     def part(self, number: Column) -> Column:
         """Name of the part a bar lies in."""

@@ -23,8 +23,6 @@ _OPTIONS = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 }
 
 
@@ -36,14 +34,9 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read what ``write_tsv`` wrote, in the declared types; malformed rows are errors."""
-    texts = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if _is_text(f) else f.dataType)
-            for f in schema.fields
-        ]
-    )
-    rows = spark.read.schema(texts).options(**_OPTIONS, nullValue=MISSING, mode="FAILFAST").csv(path)
+    """Read what ``write_tsv`` wrote, in the declared types."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = spark.read.schema(texts).options(**_OPTIONS, mode="FAILFAST").csv(path)
     return rows.select([_unescaped(f).alias(f.name) for f in schema])
 
 
@@ -60,11 +53,12 @@ def _escaped(field: T.StructField) -> Column:
 
 
 def _unescaped(field: T.StructField) -> Column:
-    value = F.col(field.name)
-    if not _is_text(field):
-        return value
-    held = "\0"  # stands for an escaped backslash while the other escapes are undone
-    value = F.replace(value, F.lit("\\\\"), F.lit(held))
-    for raw, written in ESCAPES[1:]:
-        value = F.replace(value, F.lit(written), F.lit(raw))
-    return F.replace(value, F.lit(held), F.lit("\\"))
+    written = F.col(field.name)
+    value = F.coalesce(written, F.lit(""))  # the reader takes an empty field for a missing one
+    if _is_text(field):
+        held = "\0"  # stands for an escaped backslash while the other escapes are undone
+        value = F.replace(value, F.lit("\\\\"), F.lit(held))
+        for raw, escaped in ESCAPES[1:]:
+            value = F.replace(value, F.lit(escaped), F.lit(raw))
+        value = F.replace(value, F.lit(held), F.lit("\\"))
+    return F.when(written.isNull() | (written != MISSING), value.cast(field.dataType))
