@@ -13,6 +13,7 @@ from checks.oracle import oracles
 from tests.conftest import SF_DIR
 from tidemark import schemas as S
 from tidemark.operators.bars import bars_from_trades, by_part
+from tidemark.operators.rows import lookup_any
 from tidemark.operators.targets import targets
 from tidemark.plans import training as P
 from tidemark.sources.tables import read_table, replace_parts
@@ -82,6 +83,30 @@ def test_training_set_reads_only_the_columns_it_uses(stored):
     assert not read & {S.OPEN, S.CLOSE, S.TAKER_BUY_COINS, S.TAKER_SELL_USD, S.TRANSACTIONS}
 
 
+def test_a_hot_key_of_a_lookup_is_split(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        numbers = spark.range(600_000)
+        hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+        left = numbers.select(hot.alias("k"), F.xxhash64("id").alias("payload"))
+        right = spark.range(10_000).select((F.col("id") % 5000).alias("k"), F.col("id").alias("v"))
+        looked = lookup_any(left, right, ["k"], {"v": 0}).agg(F.sum("v"), F.max("payload"))
+        total = looked.collect()[0][0]
+        assert total == 200_000 * 5007 + sum(i % 5000 + 5000 for i in range(600_000) if i % 3)
+        assert "skew=true" in plan(looked)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_days_are_pushed_into_the_scan(spark):
     text = plan(Q.yesterday(spark, SF_DIR))
     assert "GreaterThanOrEqual(ts,2024-01-15" in text and "LessThan(ts,2024-01-16" in text

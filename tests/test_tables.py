@@ -100,6 +100,14 @@ def test_tsv_round_trip(spark, path):
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
 
 
+def test_tsv_never_writes_blank_lines(spark, path):
+    texts = spark.createDataFrame([("a",), (None,)], "text string")
+    write_tsv(texts, path)
+    assert read_tsv(spark, path, texts.schema).count() == 2
+    with pytest.raises(Exception, match="would be lost"):
+        write_tsv(spark.createDataFrame([("a",), ("",)], "text string"), path)
+
+
 def test_tsv_has_a_header_row(spark, path):
     write_tsv(spark.createDataFrame([(1, "a")], "n int, text string").coalesce(1), path)
     assert [r[0] for r in spark.read.text(path).collect()] == ["n\ttext", "1\ta"]

@@ -40,17 +40,16 @@ def lookup_any(
     """Left join with at most one match per left row; where there is none, the defaults.
 
     ``defaults`` names the columns taken from the right side. Of several matches the greatest row is
-    taken, so reruns agree.
+    taken, so reruns agree. The join compares a hash besides the keys: it gives the unique rows a
+    shuffle of their own, without which adaptive execution could not split a hot key of the left side.
     """
     columns = list(defaults)
     unique = right.groupBy(*keys).agg(F.max(F.struct(*columns)).alias("match"))
-    return (
-        left.join(unique, keys, "left")
-        .withColumns(
-            {c: F.coalesce(F.col(f"match.{c}"), F.lit(d)) for c, d in defaults.items()}
-        )
-        .drop("match")
+    found = left.withColumn("key_hash", F.xxhash64(*keys)).join(
+        unique.withColumn("key_hash", F.xxhash64(*keys)), [*keys, "key_hash"], "left"
     )
+    filled = {c: F.coalesce(F.col(f"match.{c}"), F.lit(d)) for c, d in defaults.items()}
+    return found.withColumns(filled).drop("match", "key_hash")
 
 
 def latest_version(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:

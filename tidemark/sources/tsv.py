@@ -27,10 +27,16 @@ _OPTIONS = {
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    """Write a frame of plain columns, replacing what is at ``path``."""
-    df.select([_escaped(f).alias(f.name) for f in df.schema]).write.mode("overwrite").options(
-        **_OPTIONS
-    ).csv(path)
+    """Write a frame of plain columns, replacing what is at ``path``.
+
+    Readers skip blank lines, so an empty text in a frame of one column is refused.
+    """
+    columns = [_escaped(f) for f in df.schema]
+    if len(columns) == 1:
+        blank = F.raise_error(F.lit("an empty text in a single column would be lost"))
+        columns = [F.when(columns[0] == "", blank).otherwise(columns[0])]
+    rows = df.select([c.alias(f.name) for c, f in zip(columns, df.schema)])
+    rows.write.mode("overwrite").options(**_OPTIONS).csv(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
