@@ -19,19 +19,21 @@ def dedupe_max(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def first_per_bucket(
     df: DataFrame, grid: Grid, keys: list[str], time_column: str, bucket: int = 10
 ) -> DataFrame:
-    """The earliest row per key and stretch of ``bucket`` bars.
+    """The earliest row per key and stretch of ``bucket`` bars; of rows with equal times, one.
 
     A plain aggregate: each task keeps one row per group before the shuffle, whatever the group's
-    size. Rows of a group with equal times are told apart by their remaining columns.
+    size. With one more column it aggregates by hash.
     """
     rest = [c for c in df.columns if c not in keys and c != time_column]
     stretch = F.floor(grid.number(F.col(time_column)) / bucket)
-    return (
-        df.groupBy(*keys, stretch.alias("bucket"))
-        .agg(F.min(F.struct(time_column, *rest)).alias("row"))
-        .select(*keys, "row.*")
-        .select(*df.columns)
-    )
+    grouped = df.groupBy(*keys, stretch.alias("bucket"))
+    if len(rest) == 1:
+        value = F.min_by(rest[0], time_column).alias(rest[0])
+        earliest = grouped.agg(F.min(time_column).alias(time_column), value)
+    else:
+        earliest = grouped.agg(F.min(F.struct(time_column, *rest)).alias("row"))
+        earliest = earliest.select(*keys, "row.*")
+    return earliest.select(*df.columns)
 
 
 def lookup_any(
