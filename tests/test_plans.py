@@ -149,6 +149,32 @@ def test_no_group_exceeds_a_part_and_its_lead_in(spark):
     assert groups.agg(F.max("count")).first()[0] <= X.GRID.bars_per_part + X.LOOKBACK
 
 
+@pytest.fixture(scope="module")
+def hot_dir(spark, tmp_path_factory):
+    """The test tables with a third of all lines moved to one supplier, and half of those to one week."""
+    folder = tmp_path_factory.mktemp("hot")
+    lines = X.table(spark, SF_DIR, "lineitem")
+    chance = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"), F.lit(6))
+    week = F.lit("1996-05-06").cast("timestamp_ntz")
+    moved = lines.withColumns(
+        {
+            "l_suppkey": F.when(chance < 2, F.lit(1).cast("bigint")).otherwise(F.col("l_suppkey")),
+            "l_shipdate": F.when(chance < 1, week).otherwise(F.col("l_shipdate")),
+        }
+    )
+    moved.write.parquet(str(folder / "lineitem.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["bars_from_trades", "targets", "training_set", "backtest_report"])
+def test_hot_symbols_agree_with_sql(spark, hot_dir, name):
+    duck = connect(SF_DIR)
+    duck.execute(
+        f"CREATE OR REPLACE VIEW lineitem AS FROM read_parquet('{hot_dir}/lineitem.parquet/*.parquet')"
+    )
+    assert differences(Q.queries()[name](spark, hot_dir), duck, oracles()[name]) == []
+
+
 @pytest.mark.parametrize(
     "settings",
     [
