@@ -132,7 +132,8 @@ def test_bars_aggregate_by_hash_with_one_trade_id(spark):
 def test_no_group_exceeds_a_part_and_its_lead_in(spark):
     """Also with most trades in one symbol: what is grouped are bars, and they are unique."""
     trades = X.table(spark, SF_DIR, "lineitem")
-    hot = trades.withColumn("l_suppkey", F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_suppkey")))
+    symbol = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_suppkey"))
+    hot = trades.withColumn("l_suppkey", symbol)
     price = F.col("l_extendedprice") / F.col("l_quantity")
     bars = bars_from_trades(
         hot,
@@ -149,6 +150,19 @@ def test_no_group_exceeds_a_part_and_its_lead_in(spark):
     assert groups.agg(F.max("count")).first()[0] <= X.GRID.bars_per_part + X.LOOKBACK
 
 
+def test_bars_may_hold_plain_timestamps(stored):
+    bars, _ = stored
+    zoned = bars.withColumn("time_open", F.col("time_open").cast("timestamp"))
+    settings = dict(before=X.BEFORE, after=X.AFTER)
+    built = [P.training_set(stored_targets(b), b, X.GRID, **settings) for b in (bars, zoned)]
+    assert built[1].schema["target_timestamp"].dataType.simpleString() == "timestamp"
+    plain = built[1].withColumn(
+        "target_timestamp", F.col("target_timestamp").cast("timestamp_ntz")
+    )
+    assert not plain.isEmpty()
+    assert plain.exceptAll(built[0]).isEmpty() and built[0].exceptAll(plain).isEmpty()
+
+
 @pytest.fixture(scope="module")
 def hot_dir(spark, tmp_path_factory):
     """The test tables with a third of all lines moved to one supplier, and half of those to one week."""

@@ -33,7 +33,9 @@ def process_new_bars(spark: SparkSession, tables: Tables, checkpoint: str) -> No
     """Rebuild targets and training set of every part touched by bar files not yet processed.
 
     Processes what is there and stops, for any scheduler to call. A batch that fails is repeated as a
-    whole; parts are replaced, so repeating is harmless.
+    whole; parts are replaced, so repeating is harmless. Files replaced before their turn are skipped:
+    their part has newer ones. A part whose last bars were taken away has no new rows to be noticed by
+    and needs ``refresh``.
     """
 
     def rebuild(batch: DataFrame, _batch_id: int) -> None:
@@ -43,6 +45,7 @@ def process_new_bars(spark: SparkSession, tables: Tables, checkpoint: str) -> No
 
     query = (
         spark.readStream.schema(stored(S.BARS))
+        .option("ignoreMissingFiles", True)
         .parquet(tables.bars)
         .writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)
