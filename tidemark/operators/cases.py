@@ -98,17 +98,17 @@ def around(
 
     ``cases`` has symbol, part_name, time_open (renamed target_timestamp) and columns to carry along,
     at most one row per bar and name, best partitioned by (symbol, part_name). The cases of a
-    (symbol, part) are listed in one row, by the stretch of time they touch, and every bar of that
-    part picks those it belongs to. So bars and cases meet on (symbol, part_name) after being shuffled
-    once; the rows they expand into are not shuffled again, and all grouping by case happens where
-    they are. (A broadcast of few lists would spare the bars that shuffle, but cost the many more
-    expanded rows one, hence the hint.) Only bars of the target's part and the end of the one before
-    are seen, so late cases are cut short.
+    (symbol, part) are listed in one row, by the stretches of time they touch; every bar of that part
+    looks its stretch up and keeps those it belongs to. So bars and cases meet on (symbol, part_name)
+    after being shuffled once; the rows they expand into are not shuffled again, and all grouping by
+    case happens where they are. (A broadcast of few lists would spare the bars that shuffle, but cost
+    the many more expanded rows one, hence the hint.) Only bars of the target's part and the end of
+    the one before are seen, so late cases are cut short.
     """
     carried = [c for c in cases.columns if c not in ("symbol", "part_name")]
-    length = before + after + 1
+    stretch = max(1, (before + after) // 4)  # few cases are looked at in vain
     number = F.col("target_no")
-    touched = F.sequence(F.floor((number - before) / length), F.floor((number + after) / length))
+    touched = F.sequence(F.floor((number - before) / stretch), F.floor((number + after) / stretch))
     lists = (
         cases.withColumn("target_no", grid.number(F.col("time_open")))
         .withColumn("stretch", F.explode(touched))
@@ -117,21 +117,13 @@ def around(
         .groupBy("symbol", "part_name")
         .agg(F.map_from_entries(F.collect_list(F.struct("stretch", "cases"))).alias("stretches"))
     )
+    near = F.try_element_at("stretches", F.floor(F.col("bar_no") / stretch))
     offset = F.col("bar_no") - F.col("case.target_no")
-    near = F.try_element_at("stretches", F.floor(F.col("bar_no") / length))
     rows = (
         by_part(bars, grid, max(before, 0), first, last)
         .join(lists.hint("merge"), ["symbol", "part_name"])
-        .withColumn("near", near)
-        .withColumn(
-            "case",
-            F.explode(
-                F.filter(
-                    "near",
-                    lambda c: (F.col("bar_no") - c["target_no"]).between(-before, after),
-                )
-            ),
-        )
+        .withColumn("case", F.explode(near))
+        .where(offset.between(-before, after))
     )
     kept = [c for c in BAR_VALUES if c in bars.columns]
     return (
@@ -182,8 +174,11 @@ def traded(bars: DataFrame) -> DataFrame:
 
 
 def case_key(df: DataFrame) -> list[str]:
-    """The columns that tell one case from another."""
-    names = ["symbol", "part_name", "target_timestamp", "target_name", "target_value"]
+    """The columns that tell one case from another, first the one that tells the most.
+
+    Sorts compare rows by their first column alone where they can.
+    """
+    names = ["target_timestamp", "symbol", "part_name", "target_name", "target_value"]
     return [c for c in names if c in df.columns]
 
 
