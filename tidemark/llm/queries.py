@@ -7,11 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, minhash, mixing, quality_rules, toxicity
+from tidemark.llm import (
+    fingerprints,
+    minhash,
+    mixing,
+    quality_rules,
+    resampling,
+    segmentation,
+    token_files,
+    toxicity,
+)
 from tidemark.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
+
+
+def vocabulary_path(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 #: Documents of fewer words are fragments, which the mix takes half as readily.
 FRAGMENT_WORDS = 50
 
@@ -25,6 +45,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.encode(table(spark, sf_dir, "documents"), vocabulary_path(PIECE_BPE))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
 
@@ -40,12 +64,22 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (FOLD == 2).alias("held_out"), "score", "predicted")
 
 
+def op5_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    ratios = resampling.train(documents, table(spark, sf_dir, "labels"))
+    return resampling.resample(documents, ratios)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     forest = quality_rules.train(documents, table(spark, sf_dir, "labels"))
     return quality_rules.judge(documents, forest)
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_BPE))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
@@ -53,8 +87,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_mix": op1_mix,
+        "op2_segmentation": op2_segmentation,
         "op3_fingerprints": op3_fingerprints,
         "op4_toxicity": op4_toxicity,
+        "op5_resampling": op5_resampling,
         "op6_quality_rules": op6_quality_rules,
+        "op9_token_files": op9_token_files,
         "op10_minhash": op10_minhash,
     }
