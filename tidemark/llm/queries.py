@@ -66,8 +66,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    ratios = resampling.train(documents, table(spark, sf_dir, "labels"))
-    return resampling.resample(documents, ratios)
+    ratios, share = resampling.train(documents, table(spark, sf_dir, "labels"))
+    return resampling.resample(documents, ratios, share)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

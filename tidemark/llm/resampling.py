@@ -29,7 +29,7 @@ from tidemark.llm.rows import by_batch, labelled_sample, stored
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 20_000  # labelled documents that the target model is counted on, at most
-SMOOTHING = 1.0
+SMOOTHING = 200.0  # n-grams that a bucket must expect before its own counts outweigh the raw share
 SEED = "resample"
 
 
@@ -70,16 +70,16 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Per bucket, the log of its probability under the target over that under the raw text."""
     if not target.sum():
         return np.zeros(BUCKETS)
-    # both are smoothed by the raw shares, so that a small sample leans on the raw model
-    shares = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS)
-    smoothed = (target + BUCKETS * SMOOTHING * shares) / (target.sum() + BUCKETS * SMOOTHING)
-    return np.log(smoothed) - np.log(shares)
+    expected = raw * (target.sum() / raw.sum())
+    return np.log(target + SMOOTHING) - np.log(expected + SMOOTHING)
 
 
-def train(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -> np.ndarray:
-    """Log ratios by bucket."""
-    good = labelled_sample(documents, labels, "quality", bound).where("label = 1")
-    return log_ratios(counted(good), counted(documents))
+def train(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
+    """Log ratios by bucket, and the share of good documents among the labelled ones."""
+    sample = stored(labelled_sample(documents, labels, "quality", bound))
+    share = sample.agg(F.avg("label")).first()[0]
+    good = counted(sample.where("label = 1"))
+    return log_ratios(good, counted(documents)), 1.0 if share is None else share
 
 
 def importance(documents: DataFrame, ratios: np.ndarray) -> DataFrame:
@@ -135,16 +135,18 @@ def largest(rows: DataFrame, place: str, k: int) -> Column:
     return (F.col(place) > last) | ((F.col(place) == last) & (F.col("doc_id") <= F.lit(bound)))
 
 
-def resample(documents: DataFrame, ratios: np.ndarray, k: int | None = None) -> DataFrame:
+def resample(
+    documents: DataFrame, ratios: np.ndarray, share: float = 1.0, k: int | None = None
+) -> DataFrame:
     """doc_id, log_importance, the perturbed key, and kept for the k documents drawn.
 
-    Without ``k``, it is the sum over documents of r / (1 + r), r the importance: how many come from the
-    target if target and raw text are as likely.
+    Without ``k``, as many are drawn as the raw text holds of the target: ``share`` of it comes from the
+    target, so a document of importance r comes from there with the chance share * r, 1 at most.
     """
     scored = importance(documents, ratios)
     keyed = scored.withColumn("key", F.col("log_importance") + gumbel(F.col("doc_id")))
     keyed = stored(keyed.withColumn("place", ordinal(F.col("key"))))
     if k is None:
-        share = 1 / (1 + F.exp(-F.greatest(F.col("log_importance"), F.lit(-700.0))))
-        k = round(keyed.agg(F.sum(share)).first()[0] or 0)
+        chance = F.least(F.lit(1.0), share * F.exp(F.least(F.col("log_importance"), F.lit(1.0))))
+        k = round(keyed.agg(F.sum(chance)).first()[0] or 0)
     return keyed.withColumn("kept", largest(keyed, "place", k)).drop("place")
