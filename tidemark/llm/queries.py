@@ -12,6 +12,7 @@ from tidemark.llm import (
     minhash,
     mixing,
     quality_rules,
+    repeats,
     resampling,
     segmentation,
     token_files,
@@ -76,6 +77,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents, forest)
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_BPE))
 
@@ -92,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op4_toxicity": op4_toxicity,
         "op5_resampling": op5_resampling,
         "op6_quality_rules": op6_quality_rules,
+        "op7_suffix_array": op7_suffix_array,
         "op9_token_files": op9_token_files,
         "op10_minhash": op10_minhash,
     }
