@@ -250,6 +250,7 @@ def keep_one(documents: DataFrame, **settings) -> DataFrame:
     Of rows that share an id one is kept; rows without an id are all kept.
     """
     kept = near_duplicates(documents, **settings).where("kept AND doc_id IS NOT NULL")
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    named = documents.join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept")
+    kept = kept.select("doc_id").distinct().alias("kept")
+    same = F.col("all.doc_id") == F.col("kept.doc_id")
+    named = documents.alias("all").join(kept, same).select("all.*")
     return named.dropDuplicates(["doc_id"]).unionAll(documents.where("doc_id IS NULL"))

@@ -222,8 +222,7 @@ def mix(
         F.col("doc_id"),
         F.col("source"),
         size.alias("size"),
-        weight_class(weight).alias("class"),
-    )
+    ).withColumn("class", weight_class(weight))
     plan = allot(sized(documents, size, weight), source_weights, max_copies, seed)
     counted = with_plan(held, plan).select("_row", copies(F.col("size"), seed).alias("_copies"))
     repeated = counted.where("_copies > 0").withColumn(

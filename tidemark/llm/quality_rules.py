@@ -281,6 +281,7 @@ def judge(documents: DataFrame, forest: Forest, columns: list[str] | None = None
 
 def keep_good(documents: DataFrame, forest: Forest) -> DataFrame:
     """The documents that the base rules and the trees keep, with all their columns."""
-    columns = [c for c in documents.columns]
-    judged = judge(documents, forest, columns)
-    return judged.where("kept").select(*columns)
+    names = [f"_c{i}" for i in range(len(documents.columns))]
+    text = names[documents.columns.index("text")]
+    renamed = documents.toDF(*names).withColumn("text", F.col(text))
+    return judge(renamed, forest, names).where("kept").select(*names).toDF(*documents.columns)

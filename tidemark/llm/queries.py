@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     fingerprints,
+    main_text,
     minhash,
     mixing,
     quality_rules,
@@ -81,6 +82,10 @@ def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"), main_text.train())
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_BPE))
 
@@ -98,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op5_resampling": op5_resampling,
         "op6_quality_rules": op6_quality_rules,
         "op7_suffix_array": op7_suffix_array,
+        "op8_main_text": op8_main_text,
         "op9_token_files": op9_token_files,
         "op10_minhash": op10_minhash,
     }
