@@ -6,12 +6,16 @@ coordinates of the signature: coordinate k is the least value of the second perm
 Coordinates are banded; documents that agree in a band are candidates, and links are confirmed on the full
 sets.
 
-Documents with equal sets are one class before any banding. Within a band's bucket, candidates are not
-paired with each other but with centers: one at first, and in each further round twice as many, as long
-as the bucket holds documents that no link connects yet. A bucket is done when it is connected or when
-each of its documents has been a center, so that no link that would join two groups is lost.
+Documents with equal sets are one class before any banding. In a first round, each band's bucket has a
+center, the document of it that shares most buckets, and the others are tested against that alone; near
+copies mostly meet this way. What is left are buckets that hold documents of several components. There,
+pairs of different components are looked at in blocks of bounded size, and a pair is tested if
 
-With 40 bands of 5 coordinates, a pair of likeness 0.8 is missed by all bands once in eight million.
+* this bucket is the first that both share,
+* the shingles that no other document left has leave enough for a link, and
+* their signatures, four bits of each coordinate, do not tell them apart by 5.5 standard deviations.
+
+With 80 bands of 8 coordinates, all bands miss a pair of likeness 0.8 less than once in a million.
 
 Defined results: a null or empty text, or one without words, has the empty set and is linked with nothing;
 a text of fewer words than a shingle has one shingle, its whole sequence; repeated rows are equal
@@ -32,64 +36,68 @@ from tidemark.llm.rows import by_batch, stored
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
-BANDS, BAND_ROWS = 40, 5
+BANDS, BAND_ROWS = 80, 8
 CELLS = 1 << 22
+WORDS = BANDS * BAND_ROWS // 16  # numbers that hold four bits of each coordinate
 SEED = 7
+BLOCK_ROWS = 2048  # documents of a bucket that a task compares with as many others
+DEVIATIONS = 5.5
 SALTS = (0x1F83D9AB, 0x5DEECE66D)
 
-_permuted: np.ndarray | None = None
+_windows: np.ndarray | None = None
 
 
-def permutation() -> np.ndarray:
-    """The second permutation, its beginning repeated at its end for the shifts."""
-    global _permuted
-    if _permuted is None:
+def windows() -> np.ndarray:
+    """Row c holds the second permutation's values from cell c on, one for each coordinate, without copies."""
+    global _windows
+    if _windows is None:
         values = np.random.default_rng(SEED).permutation(CELLS).astype(np.uint32)
-        _permuted = np.concatenate([values, values[: BANDS * BAND_ROWS]])
-    return _permuted
+        wrapped = np.concatenate([values, values[: BANDS * BAND_ROWS]])
+        _windows = np.lib.stride_tricks.sliding_window_view(wrapped, BANDS * BAND_ROWS)
+    return _windows
 
 
 def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """All sets, one after another and each in order; and where each text's set begins and ends."""
-    found, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    """All sets, one after another and each in order; and where each text's set ends, from 0 on."""
+    found, sizes = [np.zeros(0, np.uint64)], [0]
     for chunk in S.chunks(texts):
         starts, ends, owners = chunk.runs(S.WORD_BYTE)
         words = S.hash_between(S.running_hash(chunk.data, S.LOWER), starts, ends)
         hashes, at = S.grams(words, owners, n)
-        holders = owners[at]
         counts = np.bincount(owners, minlength=chunk.n)
-        first = np.concatenate([[0], np.cumsum(counts)])
-        for few in range(1, n):
-            short = np.flatnonzero(counts == few)
-            joined = words[first[short]]
-            for k in range(1, few):
-                joined = S.mix(joined * np.uint64(0x9DDFEA08EB382D69) + words[first[short] + k])
-            hashes = np.concatenate([hashes, joined + np.uint64(few)])
-            holders = np.concatenate([holders, short])
-        order = np.lexsort((hashes, holders))
-        hashes, holders = hashes[order], holders[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (holders[1:] != holders[:-1])
-        found.append(hashes[new])
-        sizes.append(np.bincount(holders[new], minlength=chunk.n))
-    return np.concatenate(found), np.cumsum(np.concatenate(sizes))
-
-
-def signature(members: np.ndarray, coordinates: int = BANDS * BAND_ROWS) -> np.ndarray:
-    """The circulant signature of one set that is not empty."""
+        first = np.cumsum(counts) - counts
+        bounds = np.searchsorted(owners[at], np.arange(chunk.n + 1))
+        for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            if b > a:
+                own = np.sort(hashes[a:b])
+                own = own[np.concatenate([[True], own[1:] != own[:-1]])]
+            else:
+                own = words[first[i] : first[i] + counts[i]]  # at most one shingle, of all words
+                for k in range(1, len(own)):
+                    own[0] = S.mix(own[:1] * np.uint64(0x9DDFEA08EB382D69) + own[k])[0]
+                own = own[:1] + np.uint64(len(own))
+            found.append(own)
+            sizes.append(len(own))
+    return np.concatenate(found), np.cumsum(sizes)
+
+
+def signatures(members: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The circulant signature of each set; of an empty one, the largest values."""
     cells = (S.mix(members ^ np.uint64(0xA5A5A5A5)) >> np.uint64(64 - 22)).astype(np.int64)
-    windows = np.lib.stride_tricks.sliding_window_view(permutation(), coordinates)
-    least = np.full(coordinates, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(cells), 2048):
-        np.minimum(least, windows[cells[at : at + 2048]].min(axis=0), out=least)
+    least = np.full((len(ends) - 1, BANDS * BAND_ROWS), 0xFFFFFFFF, np.uint32)
+    rows = windows()
+    for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        for at in range(a, b, 1024):
+            np.minimum(least[i], rows[cells[at : min(at + 1024, b)]].min(axis=0), out=least[i])
     return least
 
 
 def band_hashes(least: np.ndarray) -> np.ndarray:
-    rows = least.reshape(BANDS, BAND_ROWS).astype(np.uint64)
-    joined = np.arange(BANDS, dtype=np.uint64)
+    """One hash for each signature and band."""
+    rows = least.reshape(len(least), BANDS, BAND_ROWS).astype(np.uint64)
+    joined = np.tile(np.arange(BANDS, dtype=np.uint64), (len(least), 1))
     for k in range(BAND_ROWS):
-        joined = S.mix(joined * np.uint64(0x9DDFEA08EB382D69) + rows[:, k])
+        joined = S.mix(joined * np.uint64(0x9DDFEA08EB382D69) + rows[:, :, k])
     return joined.astype(np.int64)
 
 
@@ -97,30 +105,39 @@ def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(values))
 
 
+def nibbles(least: np.ndarray) -> np.ndarray:
+    """Four bits of each coordinate, sixteen to a number."""
+    low = (least & 15).astype(np.uint64).reshape(len(least), -1, 16)
+    return np.bitwise_or.reduce(low << (4 * np.arange(16, dtype=np.uint64)), axis=2)
+
+
 def sketch(documents: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, a hash of the set in two halves, and the band hashes, of each row."""
+    """doc_id, n_shingles, a hash of the set (node) and a second one, band hashes and signature of each row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         members, ends = shingles(batch.column("text"), n)
-        bands = [
-            band_hashes(signature(members[a:b])) if b > a else np.zeros(0, np.int64)
-            for a, b in zip(ends[:-1], ends[1:], strict=True)
+        bands, bits = [np.zeros((0, BANDS), np.int64)], [np.zeros((0, WORDS), np.uint64)]
+        for i in range(0, len(ends) - 1, 512):
+            least = signatures(members, ends[i : i + 513])
+            bands.append(band_hashes(least))
+            bits.append(nibbles(least))
+        arrays = [
+            pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), x.shape[1]).cast(
+                pa.list_(pa.int64())
+            )
+            for x in (np.concatenate(bands), np.concatenate(bits))
         ]
-        filled = np.concatenate([[0], np.cumsum([len(b) for b in bands])])
-        flat = np.concatenate([np.zeros(0, np.int64), *bands])
+        hashes = [pa.array(set_hash(members, ends, salt)) for salt in SALTS]
         return pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"), pa.array(np.diff(ends)),
-                *(pa.array(set_hash(members, ends, salt)) for salt in SALTS),
-                _lists(flat, filled).cast(pa.list_(pa.int64())),
-            ],
-            ["doc_id", "n_shingles", "node", "check", "bands"],
-        )
+            [batch.column("doc_id"), pa.array(np.diff(ends)), *hashes, *arrays],
+            ["doc_id", "n_shingles", "node", "check", "bands", "bits"],
+        )
 
     taken = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return taken.mapInArrow(
         by_batch(run),
-        "doc_id bigint, n_shingles bigint, node bigint, check bigint, bands array<bigint>",
+        "doc_id bigint, n_shingles bigint, node bigint, check bigint, "
+        "bands array<bigint>, bits array<bigint>",
     )
 
 
@@ -170,6 +187,108 @@ def connected(links: DataFrame) -> DataFrame:
         labels = jumped.select("node", "component")
 
 
+def with_common(joinable: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows with ``common``: how many of the document's shingles another document of the rows has.
+
+    No link to one of them can share more.
+    """
+    nodes = joinable.select("node").distinct()
+    spread = sets.join(nodes, "node", "left_semi").select("node", F.explode("members").alias("shingle"))
+    alone = spread.groupBy("shingle").agg(F.count("*").alias("held"), F.min("node").alias("node"))
+    alone = alone.where("held = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    left = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    return joinable.drop("common").join(alone, "node", "left").withColumn("common", left).drop("alone")
+
+
+def most_unlike(min_percent: int) -> int:
+    """Coordinates whose four bits may differ between documents that are linked."""
+    n = BANDS * BAND_ROWS
+    share = (1 - min_percent / 100) * 15 / 16
+    return int(n * share + DEVIATIONS * (n * share * (1 - share)) ** 0.5)
+
+
+def pairs_in_block(rows: pa.Table, min_percent: int) -> list[tuple[int, int, int, int]]:
+    """Nodes and components of the pairs of a block that have to be tested; rows of one (bucket, i, j)."""
+    node, component, size, common, block = (
+        rows[c].to_numpy() for c in ("node", "component", "n_shingles", "common", "block")
+    )
+    if component.min() == component.max():
+        return []
+    bands, bits = (
+        rows[c].combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("bands", "bits")
+    )
+    bits = bits.view(np.uint64)
+    earlier = bands[:, : int(np.argmax(bands[0] == rows["bucket"][0].as_py()))]
+    cross = rows["i"][0].as_py() != rows["j"][0].as_py()
+    ones, unlike, found = np.uint64(0x1111111111111111), most_unlike(min_percent), []
+    for x in range(len(node) - 1):
+        most = np.minimum(common[x], common[x + 1 :])
+        fits = 100 * most >= min_percent * (size[x] + size[x + 1 :] - most)
+        fits &= component[x + 1 :] != component[x]
+        if cross:
+            fits &= block[x + 1 :] != block[x]
+        y = x + 1 + np.flatnonzero(fits)
+        if len(y):
+            y = y[~(earlier[y] == earlier[x]).any(axis=1)]
+            off = bits[y] ^ bits[x]
+            off |= off >> np.uint64(2)
+            off |= off >> np.uint64(1)
+            y = y[np.bitwise_count(off & ones).sum(axis=1, dtype=np.int64) <= unlike]
+        found += [(int(node[x]), int(node[k]), int(component[x]), int(component[k])) for k in y]
+    return found
+
+
+def pairs_left(joinable: DataFrame, sketches: DataFrame, min_percent: int) -> DataFrame:
+    """The pairs of different components, in the first bucket that both share, that have to be tested.
+
+    Buckets of more than ``BLOCK_ROWS`` documents are cut into blocks, and each pair of blocks is a task's
+    work of bounded size.
+    """
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def emit(rows: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+            found = []
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if b - a > 1:
+                    found += pairs_in_block(rows.slice(a, b - a), min_percent)
+            columns = np.array(found, np.int64).reshape(-1, 4).T
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in columns], ["a", "b", "low", "high"]
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            keys = np.column_stack([rows[c].to_numpy() for c in ("bucket", "i", "j")])
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            if len(edges):
+                yield emit(rows, np.concatenate([[0], edges]))
+                rows = rows.slice(edges[-1])
+            held = rows.to_batches()
+        if held:
+            rows = pa.Table.from_batches(held)
+            yield emit(rows, np.array([0, rows.num_rows]))
+
+    blocks = joinable.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
+    wide = joinable.join(blocks, "bucket").join(sketches, "node")
+    wide = wide.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), "blocks"))
+    others = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    wide = wide.withColumn("other", F.explode(others)).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+        "node", "component", "n_shingles", "common", "bands", "bits",
+    )
+    dealt = wide.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    pairs = dealt.mapInArrow(run, "a bigint, b bigint, low bigint, high bigint")
+    ends = (F.struct("a", "low"), F.struct(F.col("b").alias("a"), F.col("high").alias("low")))
+    least, greatest = F.least(*ends), F.greatest(*ends)
+    return pairs.select(
+        least["a"].alias("a"), greatest["a"].alias("b"), least["low"].alias("low"), greatest["low"].alias("high")
+    ).distinct()
+
+
 def near_duplicates(
     documents: DataFrame, shingle_words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT
 ) -> DataFrame:
@@ -177,66 +296,64 @@ def near_duplicates(
 
     Documents are linked if 100 * shared shingles >= ``min_percent`` * shingles of either.
     """
-    spark = documents.sparkSession
     rows = stored(sketch(documents, shingle_words))
     equal = ["node", "check", "n_shingles"]
-    classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*equal)
-    heads = stored(classes.agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
-    banded = heads.select(F.explode("bands").alias("bucket"), "node", "n_shingles")
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1").select("bucket")
+    filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    heads = stored(filled.groupBy(*equal).agg(F.min("doc_id").alias("doc_id")))
+    sketches = filled.join(heads, [*equal, "doc_id"], "left_semi").dropDuplicates(["node", "doc_id"])
+    banded = sketches.select(F.explode("bands").alias("bucket"), "node", "n_shingles")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
     members = stored(banded.join(shared, "bucket"))
-    wanted = heads.select("node", "doc_id").join(members.select("node").distinct(), "node", "left_semi")
+    reach = stored(members.groupBy("node").agg(F.sum("held").alias("reach")))
+    wanted = heads.join(reach, "node", "left_semi").select("node", "doc_id")
     sets = stored(sets_of(documents, wanted, shingle_words))
     one, other = (
         sets.select(F.col("node").alias(k), F.col("members").alias(f"set_{k}")) for k in ("a", "b")
     )
-    links = tested = stored(spark.createDataFrame([], "a bigint, b bigint"))
-    joinable = members.withColumn("component", F.col("node"))
-    each = 1
-    while True:
-        slot = F.pmod(F.xxhash64("node", "bucket"), F.lit(each)).alias("slot")
-        centers = joinable.groupBy("bucket", slot).agg(
-            F.min(F.struct("node", "component", "n_shingles")).alias("center")
-        )
-        centers = centers.select("bucket", "center")
-        larger = F.greatest("n_shingles", "center.n_shingles")
-        pairs = joinable.join(centers, "bucket").where(
-            (F.col("node") != F.col("center.node"))
-            & (F.col("component") != F.col("center.component"))
-            & (100 * F.least("n_shingles", "center.n_shingles") >= min_percent * larger)
-        )
-        ends = (F.col("node"), F.col("center.node"))
-        pairs = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The components that the linked ones among the pairs join."""
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
         checked = pairs.join(one, "a").join(other, "b")
-        confirmed = checked.where(100 * common >= min_percent * union).select("a", "b")
-        links = stored(links.unionAll(confirmed))
-        tested = stored(tested.unionAll(pairs))
-        components = connected(links)
-        labelled = members.join(components, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
-        split = labelled.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        # where each document was the only one of its slot, it was a center, and all pairs are tested
-        slots = labelled.groupBy("bucket", slot).agg(F.count("*").alias("held"))
-        crowded = slots.groupBy("bucket").agg(
-            F.max("held").alias("most"), F.sum("held").alias("all")
-        ).where(f"most > 1 AND all > {each + 1}")
-        unfinished = split.where("low < high").join(crowded, "bucket").select("bucket")
-        joinable = stored(labelled.join(unfinished, "bucket"))
-        if joinable.isEmpty():
-            break
-        each *= 2
-
-    named = heads.drop("bands").join(components, "node", "left")
+        confirmed = checked.where(100 * common >= min_percent * union)
+        return stored(confirmed.select(F.col("low").alias("a"), F.col("high").alias("b")).distinct())
+
+    def joined(df: DataFrame, links: DataFrame) -> DataFrame:
+        """The rows with the components that links between their components make."""
+        merged = connected(links).select(F.col("node").alias("component"), F.col("component").alias("into"))
+        found = df.join(merged, "component", "left")
+        return found.withColumn("component", F.coalesce("into", "component")).drop("into")
+
+    ranked = members.join(reach, "node")
+    center = F.max(F.struct("reach", "node", "n_shingles")).alias("center")
+    centers = ranked.groupBy("bucket").agg(center)
+    larger = F.greatest("n_shingles", "center.n_shingles")
+    pairs = ranked.join(centers, "bucket").where(
+        (F.col("node") != F.col("center.node"))
+        & (100 * F.least("n_shingles", "center.n_shingles") >= min_percent * larger)
+    )
+    ends = (F.col("node"), F.col("center.node"))
+    pairs = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+    tested = stored(pairs.select("a", "b", F.col("a").alias("low"), F.col("b").alias("high")))
+    labels = reach.select("node", F.col("node").alias("component"))
+    labels = stored(joined(labels, linked(tested)))
+
+    joinable = members.join(labels, "node")
+    split = joinable.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    joinable = stored(joinable.join(split.where("low < high"), "bucket", "left_semi"))
+    bounded = stored(
+        with_common(joinable, sets).where(f"100 * common >= {min_percent} * n_shingles").drop("held")
+    )
+    wide = sketches.select("node", "bands", "bits").join(bounded, "node", "left_semi")
+    left = pairs_left(bounded, wide, min_percent).join(tested, ["a", "b"], "left_anti")
+    labels = joined(labels, linked(left))
+
+    named = heads.join(labels, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = named.join(least, "component").select(*equal, "component_id")
-    found = rows.drop("bands").join(of_class, equal, "left")
+    found = rows.drop("bands", "bits").join(of_class, equal, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return found.select(
         "doc_id", "n_shingles", own.alias("component_id"),
