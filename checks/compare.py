@@ -39,6 +39,9 @@ TYPE_NAMES = {
 def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """What differs, as text; empty where schema and all rows agree."""
     names = sorted(result.columns)
+    wanted_names = sorted(d[0] for d in connection.execute(f"SELECT * FROM ({sql}) LIMIT 0").description)
+    if names != wanted_names:
+        return [f"columns {names} <> {wanted_names}"]
     expected = connection.execute(f"SELECT {', '.join(_quoted(n) for n in names)} FROM ({sql})")
     types = {d[0]: str(d[1]) for d in expected.description}
     found = {f.name: TYPE_NAMES.get(f.dataType.simpleString()) for f in result.schema}

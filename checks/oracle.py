@@ -72,8 +72,33 @@ growths AS (
 )"""
 
 
-def _targets(bucket_key: str) -> str:
-    return f"""{GROWTH_ALL},
+FRAMES = {"price_increase_1": (1, 1), "price_increase_2_to_5": (2, 5), "price_increase_3_to_10": (3, 10)}
+
+
+def _frame(start: int, end: int) -> str:
+    if start == end:
+        return f"lag(usd / nullif(coins, 0), {start}) OVER (PARTITION BY symbol ORDER BY bar_no)"
+    rows = f"PARTITION BY symbol ORDER BY bar_no ROWS BETWEEN {end} PRECEDING AND {start} PRECEDING"
+    usd, coins = (f"sum({c}::DECIMAL(28, 8)) OVER ({rows})::DOUBLE" for c in ("usd", "coins"))
+    return f"{usd} / nullif({coins}, 0)"
+
+
+FRAME_GROWTHS = f"""{LOOKBACK},
+earlier AS (
+    SELECT *, {", ".join(f"{_frame(a, b)} AS p{i}" for i, (a, b) in enumerate(FRAMES.values()))}
+    FROM looked
+),
+growths AS (
+    {" UNION ALL ".join(
+        f"SELECT symbol, part, date AS part_name, bar_no, time_open, "
+        f"'{name}' AS target_name, {_grown(f'p{i}')} AS value FROM earlier"
+        for i, name in enumerate(FRAMES)
+    )}
+)"""
+
+
+def _targets(bucket_key: str, growths: str = GROWTH_ALL) -> str:
+    return f"""{growths},
 targets AS (
     SELECT target_name, symbol, part, part_name, bar_no, time_open, value::FLOAT AS value
     FROM growths WHERE value >= 1.01::DOUBLE
@@ -208,6 +233,8 @@ def oracles() -> dict[str, str]:
             SELECT {BAR_COLUMNS} FROM bars
             QUALIFY row_number() OVER (PARTITION BY symbol, bar_no // 10 ORDER BY bar_no) = 1""",
         "targets": f"WITH {TARGETS} SELECT {TARGET_COLUMNS} FROM targets",
+        "targets_of_frames": f"""WITH {_targets("bar_no // 10", FRAME_GROWTHS)}
+            SELECT {TARGET_COLUMNS} FROM targets""",
         "case_grid": f"""WITH {TARGETS}, {_grid(8, 6)} SELECT {CASE_COLUMNS} FROM grid""",
         "lookup_any": f"""WITH {TARGETS}, {_grid(8, 6)}
             SELECT g.symbol, g.part_name, g.target_timestamp, g.target_name, g.target_value,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -28,8 +27,6 @@ from tidemark.streaming.arrivals import process_new_bars
 Query = Callable[[SparkSession, str], DataFrame]
 
 PART_BUCKET = 13  # whole buckets per part, so that parts can be rebuilt alone
-FIRST = X.GRID.origin.date()
-LAST = FIRST + timedelta(days=7 * X.GRID.part_days)
 AS_OF = date(2024, 1, 16)
 CASE = ["symbol", "part_name", "target_timestamp", "target_name", "target_value"]
 
@@ -75,6 +72,14 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def targets_of_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets against the average price of one and of several earlier bars."""
+    horizons = [1, (2, 5), (3, 10)]
+    return G.targets(
+        X.bars(spark, sf_dir), X.GRID, horizons=horizons, lookback=X.LOOKBACK, bucket=X.BUCKET
+    )
+
+
 def case_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.case_grid(targets(spark, sf_dir), X.GRID, X.BEFORE, X.AFTER)
 
@@ -83,7 +88,7 @@ def lookup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = X.bars(spark, sf_dir).withColumnRenamed("time_open", "timestamp")
     defaults = {S.CLOSE: 0.0, S.USD: 0.0, S.TRANSACTIONS: 0}
     return R.lookup_any(
-        case_grid(spark, sf_dir).drop("offset"),
+        case_grid(spark, sf_dir),
         bars,
         ["symbol", "timestamp"],
         defaults,
@@ -191,9 +196,9 @@ def days_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder, or a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or tempfile.mkdtemp(prefix='tidemark-')).rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder below the cluster's shared checkpoint folder, or below the warehouse where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def part_tables(spark: SparkSession) -> Tables:
@@ -218,13 +223,14 @@ def part_tables(spark: SparkSession) -> Tables:
 
 
 def replace_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write all parts of the targets, spoil two of them, and replace those two."""
+    """Write all parts of the targets, spoil two of them and add one, and replace those three."""
     tables = part_tables(spark)
-    load_bars(X.bars(spark, sf_dir), tables, FIRST, LAST)
-    built = tables.build_targets(spark, FIRST, LAST)
-    replace_parts(built, tables.targets, FIRST, LAST, S.TARGETS, S.TARGET_KEY)
-    second = FIRST + timedelta(days=X.GRID.part_days)
-    third = second + timedelta(days=X.GRID.part_days)
+    length = timedelta(days=X.GRID.part_days)
+    first, last = X.part_range(spark, sf_dir)
+    load_bars(X.bars(spark, sf_dir), tables, first, last)
+    built = tables.build_targets(spark, first, last)
+    replace_parts(built, tables.targets, first, last, S.TARGETS, S.TARGET_KEY)
+    second, third, beyond = first + length, first + 2 * length, last + length
     spoilt = tables.read_targets(spark).withColumn("value", F.lit(0.0).cast("float"))
     spoilt_copy = replace(tables, targets=f"{tables.targets}_spoilt")
     spoilt.write.parquet(spoilt_copy.targets)
@@ -235,6 +241,10 @@ def replace_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     again = tables.build_targets(spark, second, third)
     replace_parts(again, tables.targets, second, third, S.TARGETS, S.TARGET_KEY)
+    moved = wrong.withColumn("part_name", F.lit(beyond))
+    replace_parts(moved, tables.targets, beyond, beyond, S.TARGETS, S.TARGET_KEY)
+    emptied = tables.build_targets(spark, beyond + length, beyond + length)
+    replace_parts(emptied, tables.targets, beyond, beyond, S.TARGETS, S.TARGET_KEY)
     return tables.read_targets(spark)
 
 
@@ -242,11 +252,12 @@ def backfill_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three tables, built and stored run by run."""
     tables = part_tables(spark)
     bars = X.bars(spark, sf_dir)
+    first, last = X.part_range(spark, sf_dir)
     backfill(
         lambda a, b: bars.where(F.col("date").between(F.lit(a), F.lit(b))),
-        tables.bars, FIRST, LAST, X.GRID, S.BARS, ["symbol", "time_open"], part="date",
+        tables.bars, first, last, X.GRID, S.BARS, ["symbol", "time_open"], part="date",
     )
-    refresh(spark, tables, FIRST, LAST, parts_per_job=4)
+    refresh(spark, tables, first, last, parts_per_job=4)
     return read_table(spark, tables.training, S.TRAINING)
 
 
@@ -255,10 +266,12 @@ def new_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = part_tables(spark)
     checkpoint = f"{tables.bars}_progress"
     bars = X.bars(spark, sf_dir)
-    middle = FIRST + timedelta(days=3 * X.GRID.part_days)
-    load_bars(bars, tables, FIRST, middle)
+    length = timedelta(days=X.GRID.part_days)
+    first, last = X.part_range(spark, sf_dir)
+    middle = first + (last - first) // length // 2 * length
+    load_bars(bars, tables, first, middle)
     process_new_bars(spark, tables, checkpoint)
-    load_bars(bars, tables, middle + timedelta(days=X.GRID.part_days), LAST)
+    load_bars(bars, tables, middle + length, last)
     process_new_bars(spark, tables, checkpoint)
     return tables.read_targets(spark)
 
@@ -273,7 +286,8 @@ def tsv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def truncate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the targets table before and after truncation."""
     path = scratch(spark)
-    replace_parts(targets(spark, sf_dir), path, FIRST, LAST, S.TARGETS, S.TARGET_KEY)
+    first, last = X.part_range(spark, sf_dir)
+    replace_parts(targets(spark, sf_dir), path, first, last, S.TARGETS, S.TARGET_KEY)
     before = read_table(spark, path, S.TARGETS).count()
     truncate(spark, path, S.TARGETS)
     after = read_table(spark, path, S.TARGETS).count()
@@ -293,6 +307,7 @@ def queries() -> dict[str, Query]:
         "dedupe_max": dedupe_max,
         "first_per_bucket": first_per_bucket,
         "targets": targets,
+        "targets_of_frames": targets_of_frames,
         "case_grid": case_grid,
         "lookup_any": lookup_any,
         "entry_price": entry_price,

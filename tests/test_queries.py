@@ -5,11 +5,12 @@ import pytest
 import __spark_entry__ as contract
 from checks import queries as Q
 from checks.compare import connect, differences
+from checks.oracle import oracles
 from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tests.conftest import SF_DIR
 
-ORACLES = contract.oracle_sql()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +18,20 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_query_agrees_with_sql(spark, duck, name):
-    result = contract.queries()[name](spark, SF_DIR)
+    result = Q.queries()[name](spark, SF_DIR)
     assert differences(result, duck, ORACLES[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(ORACLES)
+    assert set(Q.queries()) == set(ORACLES)
+    assert set(ORACLES) <= set(contract.oracle_sql()) and set(Q.queries()) <= set(contract.queries())
+
+
+def test_a_missing_column_is_reported(spark, duck):
+    result = Q.lookup_any(spark, SF_DIR).drop("offset")
+    assert differences(result, duck, ORACLES["lookup_any"])
 
 
 def test_entry(spark):
