@@ -16,6 +16,9 @@ from tidemark.plans.backfill import Tables, refresh
 from tidemark.schemas import stored
 
 
+ANY_AGE = "36500d"  # by default, files much older than the newest one are passed over
+
+
 def affected(parts: list[date], grid: Grid) -> list[tuple[date, date]]:
     """Runs of parts that see bars of the given parts: each part itself and the one after it."""
     length = timedelta(days=grid.part_days)
@@ -33,7 +36,7 @@ def process_new_bars(spark: SparkSession, tables: Tables, checkpoint: str) -> No
     """Rebuild targets and training set of every part touched by bar files not yet processed.
 
     Processes what is there and stops, for any scheduler to call. A batch that fails is repeated as a
-    whole; parts are replaced, so repeating is harmless. Files replaced before their turn are skipped:
+    whole; parts are replaced, so repeating is harmless. No file is too old. Files replaced before their turn are skipped:
     their part has newer ones. A part whose last bars were taken away has no new rows to be noticed by
     and needs ``refresh``.
     """
@@ -46,6 +49,7 @@ def process_new_bars(spark: SparkSession, tables: Tables, checkpoint: str) -> No
     query = (
         spark.readStream.schema(stored(S.BARS))
         .option("ignoreMissingFiles", True)
+        .option("maxFileAge", ANY_AGE)
         .parquet(tables.bars)
         .writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)
