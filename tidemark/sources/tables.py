@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,36 +30,34 @@ def replace_parts(
 ) -> None:
     """Make parts ``first`` to ``last`` of a table hold exactly the rows of ``df`` in that range.
 
-    Rerunning replaces the same parts and touches no others. A part without rows in ``df`` is emptied.
-    Rows are gathered by part without forcing a large part into one task, and sorted by key so that
-    row groups can be skipped.
+    Rerunning replaces the same parts and touches no others. A part without rows in ``df`` is emptied: the
+    job itself reports which parts it wrote, and the folders of the others in the range go. Rows are
+    gathered by part without forcing a large part into one task, and sorted by key so that row groups can
+    be skipped.
     """
     spark = df.sparkSession
-    stamp = F.lit(datetime.now(timezone.utc))
+    written = Observation()
     in_range = F.col(part).between(F.lit(first), F.lit(last))
     (
         df.select(*schema.names)
         .where(in_range)
         .hint("rebalance", part)
-        .withColumn(VERSION.name, stamp)
+        .withColumn(VERSION.name, F.lit(datetime.now(timezone.utc)))
         .sortWithinPartitions(part, *[c for c in key if c != part])
+        .observe(written, F.collect_set(part).alias("parts"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part)
         .parquet(path)
     )
-    left_over = (
-        spark.read.schema(stored(schema))
-        .parquet(path)
-        .where(in_range)
-        .groupBy(part)
-        .agg(F.max(VERSION.name).alias("newest"))
-        .where(F.col("newest") < stamp)
-    )
-    columns = T.StructType([f for f in stored(schema).fields if f.name != part])
-    for row in left_over.collect():  # at most one row per part of the range
-        empty = spark.createDataFrame([], columns)
-        empty.write.mode("overwrite").parquet(f"{path}/{part}={row[part].isoformat()}")
+    kept = {f"{part}={day.isoformat()}" for day in written.get["parts"]}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.listStatus(folder):
+        name = found.getPath().getName()
+        key_name, _, value = name.partition("=")
+        if key_name == part and name not in kept and first.isoformat() <= value <= last.isoformat():
+            files.delete(found.getPath(), True)
 
 
 def truncate(
