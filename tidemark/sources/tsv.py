@@ -1,7 +1,8 @@
 r"""Tab-separated text with a header row.
 
-Tabs, line ends and backslashes inside values are written as ``\t``, ``\n``, ``\r`` and ``\\``, and a
-missing value as ``\N``, so every row is one line and files can be split between tasks.
+Tabs, line ends, NULs and backslashes inside values are written as ``\t``, ``\n``, ``\r``, ``\0`` and
+``\\``, and a missing value as ``\N``, so every row is one line and files can be split between tasks.
+Columns are found by the names in the header, in whatever order they stand.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Escapes of the text format.
-ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
+ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0")]
 MISSING = "\\N"
 
 _OPTIONS = {
@@ -40,9 +41,18 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read what ``write_tsv`` wrote, in the declared types."""
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    rows = spark.read.schema(texts).options(**_OPTIONS, mode="FAILFAST").csv(path)
+    """Read what ``write_tsv`` wrote, in the declared types.
+
+    Every file's header must name the same columns in the same order; more than the declared ones may
+    stand there, none of them may be missing.
+    """
+    names = spark.read.options(**_OPTIONS).csv(path).columns
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"the header lacks {', '.join(missing)}")
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    options = _OPTIONS | {"mode": "FAILFAST", "enforceSchema": False}
+    rows = spark.read.schema(texts).options(**options).csv(path)
     return rows.select([_unescaped(f).alias(f.name) for f in schema])
 
 
@@ -58,13 +68,17 @@ def _escaped(field: T.StructField) -> Column:
     return F.coalesce(value.cast("string"), F.lit(MISSING))
 
 
+def _undone(stretch: Column) -> Column:
+    for raw, escaped in ESCAPES[1:]:
+        stretch = F.replace(stretch, F.lit(escaped), F.lit(raw))
+    return stretch
+
+
 def _unescaped(field: T.StructField) -> Column:
     written = F.col(field.name)
     value = F.coalesce(written, F.lit(""))  # the reader takes an empty field for a missing one
     if _is_text(field):
-        held = "\0"  # stands for an escaped backslash while the other escapes are undone
-        value = F.replace(value, F.lit("\\\\"), F.lit(held))
-        for raw, escaped in ESCAPES[1:]:
-            value = F.replace(value, F.lit(escaped), F.lit(raw))
-        value = F.replace(value, F.lit(held), F.lit("\\"))
+        # a doubled backslash ends one stretch and begins the next; inside, the others are undone
+        stretches = F.split(value, r"\\\\", -1)
+        value = F.array_join(F.transform(stretches, _undone), "\\")
     return F.when(written.isNull() | (written != MISSING), value.cast(field.dataType))
