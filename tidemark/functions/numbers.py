@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,14 @@ def half_even(x: Column, places: int) -> Column:
     return F.rint(x * scale) / scale + 0.0
 
 
-def exact_sum(x: Column) -> Column:
-    """Sum a double column without float noise: eight decimals, any order of rows."""
-    return F.sum(x.cast(EXACT)).cast("double")
+def exact_sum(x: Column, over: WindowSpec | None = None) -> Column:
+    """Sum a double column without float noise, in any order of rows.
+
+    Exact where every value is below 1e20 and has at most eight decimals; where one is not, the plain sum
+    of doubles, in either ANSI mode. NULL only where there is no value.
+    """
+    within = (lambda a: a.over(over)) if over is not None else (lambda a: a)
+    exact = x.try_cast(EXACT)
+    fits = F.coalesce(exact.cast("double") == x, x.isNull())
+    plain = within(F.count_if(~fits))
+    return F.when(plain > 0, within(F.sum(x))).otherwise(within(F.sum(exact)).cast("double"))

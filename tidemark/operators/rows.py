@@ -55,14 +55,13 @@ def lookup_any(
 
 
 def latest_version(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    """The newest row per key; ``version`` columns are compared in order."""
-    rest = [c for c in df.columns if c not in keys and c not in version]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max(F.struct(*version, *rest)).alias("row"))
-        .select(*keys, "row.*")
-        .select(*df.columns)
-    )
+    """The newest row per key; ``version`` columns are compared in order.
+
+    The other columns may be of any type. Of rows equal in key and version, any one is taken.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(*version)).alias("row")
+    return df.groupBy(*keys).agg(newest).select(*keys, "row.*").select(*df.columns)
 
 
 def days_before(df: DataFrame, column: str, as_of: date, days: int = 1) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.numbers import divide, floor_thousandths
+from tidemark.functions.numbers import divide, exact_sum, floor_thousandths
 from tidemark.grid import Grid
 from tidemark.operators.bars import by_part, full_lookback, part_window
 from tidemark.operators.rows import dedupe_max, first_per_bucket
@@ -18,14 +18,22 @@ HORIZONS = range(1, 21)
 NAME = "price_increase_{}"
 
 
+Horizon = int | tuple[int, int]
+
+
+def frame_of(horizon: Horizon) -> tuple[str, tuple[int, int]]:
+    """The name of a horizon's targets, and the rows back it compares with."""
+    if isinstance(horizon, int):
+        return NAME.format(horizon), (horizon, horizon)
+    start, end = horizon
+    return (NAME.format(start) if start == end else f"{NAME.format(start)}_to_{end}"), (start, end)
+
+
 def _earlier_price(start: int, end: int) -> Column:
     if start == end:
         return F.lag("price", start).over(part_window())
     frame = part_window().rowsBetween(-end, -start)
-    return divide(
-        F.sum(F.col(S.USD).cast("decimal(28,8)")).over(frame).cast("double"),
-        F.sum(F.col(S.COINS).cast("decimal(28,8)")).over(frame).cast("double"),
-    )
+    return divide(exact_sum(F.col(S.USD), frame), exact_sum(F.col(S.COINS), frame))
 
 
 def _with_earlier(
@@ -68,7 +76,7 @@ def growth(
 def growth_all(
     bars: DataFrame,
     grid: Grid,
-    horizons: Iterable[int] = HORIZONS,
+    horizons: Iterable[Horizon] = HORIZONS,
     lookback: int = 300,
     first: date | None = None,
     last: date | None = None,
@@ -76,11 +84,14 @@ def growth_all(
 ) -> DataFrame:
     """Growth for every horizon, one row per bar and horizon, in one pass over the bars.
 
+    A horizon is a number of bars back, or the first and the last bar back of a frame whose average price
+    is compared.
+
     With ``at_least``, only rows that reach it. Most bars reach it at no horizon and are dropped by
     one comparison with their lowest earlier price, before anything is divided or multiplied out. The
     rows stay partitioned by (symbol, part_name), which an unpivot would forget.
     """
-    frames = {NAME.format(k): (k, k) for k in horizons}
+    frames = dict(map(frame_of, horizons))
     wide = _with_earlier(bars, grid, frames, lookback, first, last)
     if at_least is not None:
         lowest = F.array_min(F.array(*frames))
@@ -103,7 +114,7 @@ def targets(
     grid: Grid,
     first: date | None = None,
     last: date | None = None,
-    horizons: Iterable[int] = HORIZONS,
+    horizons: Iterable[Horizon] = HORIZONS,
     min_growth: float = 1.01,
     lookback: int = 300,
     bucket: int = 10,
