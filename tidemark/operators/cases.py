@@ -13,6 +13,7 @@ from tidemark.functions.prices import avg_price, phase
 from tidemark.grid import Grid
 from tidemark.operators.bars import by_part
 
+# The names whose cases are built, and the share of a trade that fees take.
 NAMES = ("price_increase_1", "price_increase_2", "price_increase_3", "price_increase_7")
 FEE = 0.001
 BAR_VALUES = [
@@ -97,7 +98,7 @@ def around(
     """The bars of each case: one row per case and bar that exists.
 
     ``cases`` has symbol, part_name, time_open (renamed target_timestamp) and columns to carry along,
-    at most one row per bar and name, best partitioned by (symbol, part_name). The cases of a
+    at most one row per bar, name and value, best partitioned by (symbol, part_name). The cases of a
     (symbol, part) are listed in one row, by the stretches of time they touch; every bar of that part
     looks its stretch up and keeps those it belongs to. So bars and cases meet on (symbol, part_name)
     after being shuffled once; the rows they expand into are not shuffled again, and all grouping by
@@ -141,6 +142,22 @@ def around(
     )
 
 
+def bars_of_parts(
+    bars: DataFrame,
+    grid: Grid,
+    back: int,
+    values: list[str],
+    first: date | None = None,
+    last: date | None = None,
+) -> DataFrame:
+    """One row per (symbol, part_name) with ``bars``, a list of bar_no and ``values`` of the bars it sees.
+
+    A list never exceeds one part and its lead-in.
+    """
+    held = F.collect_list(F.struct("bar_no", *values)).alias("bars")
+    return by_part(bars, grid, back, first, last).groupBy("symbol", "part_name").agg(held)
+
+
 def dense_around(
     cases: DataFrame,
     bars: DataFrame,
@@ -152,20 +169,38 @@ def dense_around(
 ) -> DataFrame:
     """Like ``around``, with a row of zeros wherever a bar is missing.
 
-    Every row of the case grid looks its bar up, so here the expanded rows are shuffled. Meant for
-    short grids or few cases.
+    Cases meet the list of bars of their (symbol, part), once; the rows they expand into stay where they
+    are.
     """
     kept = [c for c in BAR_VALUES if c in bars.columns]
-    right = by_part(bars, grid, before, first, last).select("symbol", "part_name", "bar_no", *kept)
-    zeros = {c: F.coalesce(F.col(c), F.lit(0).cast(right.schema[c].dataType)) for c in kept}
-    return (
-        case_grid(cases, grid, before, after)
-        .withColumn("bar_no", grid.number(F.col("target_timestamp")) + F.col("offset"))
-        .join(right, ["symbol", "part_name", "bar_no"], "left")
-        .drop("bar_no")
-        .withColumns(zeros)
-        .withColumn(S.AVG, avg_price())
+    lists = bars_of_parts(bars, grid, before, kept, first, last)
+    zero = {c: F.lit(0).cast(bars.schema[c].dataType) for c in kept}
+    number = grid.number(F.col("target_timestamp"))
+    near = F.filter("bars", lambda b: (b["bar_no"] - F.col("target_no")).between(-before, after))
+    found = F.transform(
+        F.coalesce(near, F.array().cast(lists.schema["bars"].dataType)),
+        lambda b: F.struct(
+            (b["bar_no"] - F.col("target_no")).cast("int").alias("offset"),
+            *[F.coalesce(b[c], zero[c]).alias(c) for c in kept],
+        ),
+    )
+    offsets = F.sequence(F.lit(-before), F.lit(after))
+    missing = F.transform(
+        F.array_except(offsets, F.transform("found", lambda r: r["offset"])),
+        lambda o: F.struct(o.alias("offset"), *[zero[c].alias(c) for c in kept]),
+    )
+    listed = cases.withColumnsRenamed({"time_open": "target_timestamp", "value": "target_value"})
+    rows = (
+        listed.withColumn("target_no", number)
+        .join(lists.hint("merge"), ["symbol", "part_name"], "left")
+        .withColumn("found", found)
+        .select(*listed.columns, F.explode(F.concat("found", missing)).alias("row"))
+        .select(*listed.columns, "row.*")
     )
+    timestamp = F.col("target_timestamp") + F.lit(grid.bar) * F.col("offset")
+    return rows.withColumns(
+        {"timestamp": timestamp, "interval_id": phase(F.col("offset")), S.AVG: avg_price()}
+    ).select(*listed.columns, "offset", "timestamp", "interval_id", *kept, S.AVG)
 
 
 def traded(bars: DataFrame) -> DataFrame:
@@ -215,12 +250,13 @@ def case_rows(
 ) -> DataFrame:
     """The traded bars around each named target, with the phase of each row and the entry price.
 
-    Cases without an entry price are left out.
+    Cases without an entry price are left out; versions of a target that are equal count once.
     """
     chosen = of_parts(targets, names, first, last).withColumnRenamed("value", "target_value")
-    spread = chosen.repartition("symbol", "part_name")
-    rows = around(spread, traded(bars), grid, before, after, first, last)
-    return with_entry(rows, fee).where(F.col("price_in") != 0)
+    spread = chosen.repartition("symbol", "part_name").dropDuplicates()
+    # the entry bar is read even where the case ends before it
+    rows = around(spread, traded(bars), grid, before, max(after, 1), first, last)
+    return with_entry(rows, fee).where((F.col("price_in") != 0) & (F.col("offset") <= after))
 
 
 def in_phases(phases: tuple[int, ...], value: Column) -> Column:

@@ -16,6 +16,7 @@ from tidemark.operators.cases import FEE, case_key, case_window, in_phases
 LEAD_UP = (0, -1)
 AFTERMATH = (2,)
 
+# Where a position is closed, what that counts, and the least volume of a case.
 STOP_RATIO = 0.5
 STOP_VALUE = -50.0
 PROFIT_RATIO = 1.001 + 1 / 100
@@ -102,6 +103,38 @@ def first_outcome_column(
     return half_even(F.coalesce(first_event, closing, F.lit(0.0)), 3)
 
 
+def last_outcome_of(
+    bars: Column,
+    entry: Column,
+    last_offset: int,
+    exit_price: str = S.LOW,
+    stop_ratio: float = STOP_RATIO,
+    stop_value: float = STOP_VALUE,
+    profit_ratio: float = PROFIT_RATIO,
+    profit_value: float = PROFIT_VALUE,
+    fee: float = FEE,
+) -> Column:
+    """As ``first_outcome_column`` with order ``desc``, of a list of the aftermath's bars.
+
+    Each bar has its offset, low, average and high price, and the exit price. Missing bars need no entry.
+    """
+    low, avg, high = (lambda b, c=c: b[c] for c in (S.LOW, S.AVG, S.HIGH))
+    full = F.filter(bars, lambda b: (low(b) != 0) & (avg(b) != 0))
+    events = F.transform(
+        full,
+        lambda b: F.struct(
+            b["offset"],
+            F.when(low(b) <= entry * stop_ratio, F.lit(stop_value))
+            .when((high(b) + avg(b)) / 2 >= entry * profit_ratio, F.lit(profit_value))
+            .alias("event"),
+        ),
+    )
+    hits = F.filter(events, lambda e: e["event"].isNotNull())
+    at_end = F.get(F.filter(full, lambda b: b["offset"] == last_offset), F.lit(0))
+    closing = F.try_divide(at_end[exit_price] * (1 - fee) * 100, entry) - 100
+    return half_even(F.coalesce(F.array_max(hits)["event"], closing, F.lit(0.0)), 3)
+
+
 def first_outcome(rows: DataFrame, **settings) -> DataFrame:
     """The outcome of each case."""
     return rows.groupBy(*case_key(rows)).agg(first_outcome_column(**settings).alias(S.GAIN))

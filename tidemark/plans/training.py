@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.functions.prices import avg_price
 from tidemark.grid import Grid
 from tidemark.operators.cases import (
     FEE,
     NAMES,
     around,
+    bars_of_parts,
     case_key,
+    case_window,
     dense_around,
     entry_column,
     in_phases,
@@ -22,7 +25,6 @@ from tidemark.operators.cases import (
     of_parts,
     per_target,
     traded,
-    with_entry,
 )
 from tidemark.operators.features import (
     MIN_AVG_VOLUME,
@@ -31,6 +33,7 @@ from tidemark.operators.features import (
     avg_volume_column,
     best_exit_column,
     first_outcome_column,
+    last_outcome_of,
     neighbour_column,
     phase_sum_columns,
     step_change_pct,
@@ -58,14 +61,18 @@ def training_set(
     """
     names = list(names)
     cases = moments(of_parts(targets, names, first, last), names)
-    rows = around(cases, traded(bars), grid, before, after, first, last)
-    # The values ride on one row of each case, its entry bar, which every priced case has.
-    rows = rows.withColumns({n: in_phases((1,), F.col(n)) for n in names})
+    # The entry bar is read even where the case ends before it.
+    rows = around(cases, traded(bars), grid, before, max(after, 1), first, last)
+    if after >= 1:
+        # The values ride on one row of each case, its entry bar, which every priced case has.
+        rows = rows.withColumns({n: in_phases((1,), F.col(n)) for n in names})
+        neighbour = neighbour_column(rows, "asc")
+    else:
+        inside = F.when(F.lead("offset", 1).over(case_window(rows)) <= after, neighbour_column(rows, "asc"))
+        neighbour = F.coalesce(inside, F.lit(0.0))
     steps = (
-        rows.withColumns(
-            {"price_in": entry_column(rows, fee), "neighbour": neighbour_column(rows, "asc")}
-        )
-        .where(F.col("price_in") != 0)
+        rows.withColumns({"price_in": entry_column(rows, fee), "neighbour": neighbour})
+        .where((F.col("price_in") != 0) & (F.col("offset") <= after))
         .withColumn("step_thousandths", step_column(F.col("neighbour")))
     )
     per_case = (
@@ -99,11 +106,14 @@ def feature_probe(
 ) -> DataFrame:
     """The three step sums, against the previous bar, of listed (symbol, time_open) pairs.
 
-    ``cases`` is a frame; whether it is broadcast is left to its size.
+    ``cases`` is a frame; whether it is broadcast is left to its size. Only the parts that the cases see
+    are read of the bars, and of those only their symbols.
     """
     listed = of_parts(targets, [name], first, last).join(
         cases, ["symbol", "time_open"], "left_semi"
     )
+    seen = F.explode(F.array("part_name", F.date_sub("part_name", grid.part_days)))
+    bars = bars.join(listed.select("symbol", seen.alias("date")).distinct(), ["symbol", "date"], "left_semi")
     rows = dense_around(listed, bars, grid, before, after, first, last)
     steps = step_change_pct(rows, "desc")
     return (
@@ -127,31 +137,43 @@ def case_gains(
 ) -> DataFrame:
     """What each target would have gained, walking back from the end of its case.
 
-    Only the bars after the target matter here. Missing ones count as empty bars, which decide
-    nothing, so they need no rows of their own; a case without any bars gains 0. A missing entry price
-    counts as 0, which every bar exceeds: such a case scores as a profit, unless
+    Only the bars after the target matter here. The targets of a (symbol, part) are listed in one row,
+    equal versions once, and so are its bars; both are shuffled once and nothing is expanded but the
+    targets. Missing bars count as empty bars, which decide nothing; a case without any bars gains 0. A
+    missing entry price counts as 0, which every bar exceeds: such a case scores as a profit, unless
     ``keep_missing_entry`` is off and it is left out.
     """
     chosen = of_parts(targets, None, first, last)
-    rows = around(moments(chosen, []), bars, grid, -1, after, first, last)
-    priced = with_entry(rows, fee)
-    gain = first_outcome_column(
-        "desc",
-        S.LOW,
-        stop_ratio=stop_ratio,
-        profit_ratio=profit_ratio,
-        fee=fee,
-        last_offset=2,
+    target = F.struct("time_open", "target_name", F.col("value").alias("target_value"))
+    listed = chosen.groupBy("symbol", "part_name").agg(F.collect_set(target).alias("targets"))
+    prices = bars.withColumn(S.AVG, avg_price())
+    held = bars_of_parts(prices, grid, 0, [S.LOW, S.AVG, S.HIGH], first, last)
+    no = grid.number(F.col("target_timestamp"))
+    bars_after = F.filter("bars", lambda b: (b["bar_no"] - F.col("target_no")).between(1, max(after, 1)))
+    entry = F.get(F.filter("near", lambda b: b["bar_no"] == F.col("target_no") + 1), F.lit(0))
+    aftermath = F.transform(
+        F.filter("near", lambda b: (b["bar_no"] - F.col("target_no")).between(2, after)),
+        lambda b: F.struct((b["bar_no"] - F.col("target_no")).alias("offset"), b[S.LOW], b[S.AVG], b[S.HIGH]),
     )
-    per_case = priced.groupBy("symbol", "part_name", "target_timestamp").agg(
-        F.max("price_in").alias("price_in"), gain.alias(S.GAIN)
+    gain = last_outcome_of(
+        aftermath, F.col("price_in"), 2, stop_ratio=stop_ratio, profit_ratio=profit_ratio, fee=fee
     )
-    gains = chosen.withColumnsRenamed(
-        {"time_open": "target_timestamp", "value": "target_value"}
-    ).join(per_case, ["symbol", "part_name", "target_timestamp"], "left")
+    gains = (
+        listed.join(held.hint("merge"), ["symbol", "part_name"], "left")
+        .select("symbol", "part_name", "bars", F.explode("targets").alias("target"))
+        .select(
+            "symbol", "part_name", F.col("target.time_open").alias("target_timestamp"),
+            "target.target_name", "target.target_value", "bars",
+        )
+        .withColumn("target_no", no)
+        .withColumn("near", bars_after)
+        .withColumn("price_in", F.coalesce(entry[S.AVG], F.lit(0.0)) * (1 + fee))
+        .withColumn(S.GAIN, F.coalesce(gain, F.lit(0.0)))
+        .drop("bars", "near", "target_no")
+    )
     if not keep_missing_entry:
         gains = gains.where(F.col("price_in") != 0)
-    return gains.fillna(0.0, ["price_in", S.GAIN])
+    return gains
 
 
 def backtest_report(
