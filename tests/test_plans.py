@@ -12,6 +12,7 @@ from checks.compare import connect, differences
 from checks.oracle import oracles
 from tests.conftest import SF_DIR
 from tidemark import schemas as S
+from tidemark.operators import cases as C
 from tidemark.operators.bars import bars_from_trades, by_part
 from tidemark.operators.rows import lookup_any
 from tidemark.operators.targets import targets
@@ -30,7 +31,7 @@ def shuffles(df):
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("stored")
-    first, last = Q.FIRST, Q.LAST
+    first, last = X.part_range(spark, SF_DIR)
     bars, found = str(folder / "bars"), str(folder / "targets")
     replace_parts(X.bars(spark, SF_DIR), bars, first, last, S.BARS, ["symbol", "time_open"], "date")
     built = Q.targets(spark, SF_DIR)
@@ -59,11 +60,34 @@ def test_training_set_shuffles_bars_and_targets_once_each(stored):
     assert plan(built).count("Sort [") == 3  # both sides of the join, and cases once
 
 
-def test_report_never_shuffles_expanded_rows(stored):
+def test_report_reads_and_shuffles_targets_and_bars_once(stored):
     bars, found = stored
-    text = plan(P.case_gains(found, bars, X.GRID, after=X.AFTER))
-    window, expansion = text.index("Window ["), re.search(r"Generate explode\(.*stretches", text).start()
-    assert window < expansion and "Exchange" not in text[window:expansion]
+    gains = P.case_gains(found, bars, X.GRID, after=X.AFTER)
+    text = plan(gains)
+    assert text.count("FileScan parquet") == 2 and len(shuffles(gains)) == 2
+    assert "Window" not in text and text.count("Join") == 1
+    expansion = text.index("Generate explode(targets")
+    assert "Sort" not in text[:expansion] and "Exchange" not in text[:expansion]
+
+
+def test_dense_rows_are_not_shuffled(stored):
+    bars, found = stored
+    text = plan(C.with_entry(C.dense_around(found, bars, X.GRID, X.BEFORE, X.AFTER)))
+    expansion = text.index("Generate explode(concat")
+    assert "Exchange" not in text[:expansion] and text.count("FileScan parquet") == 2
+
+
+def test_probe_reads_the_parts_of_its_cases(spark, stored):
+    bars, found = stored
+    cases = found.orderBy("time_open", "symbol").limit(2).select("symbol", "time_open").collect()
+    listed = spark.createDataFrame(cases, "symbol string, time_open timestamp_ntz")
+    text = plan(P.feature_probe(found, bars, X.GRID, listed))
+    scan = text[text.index("LeftSemi") :]
+    assert "dynamicpruning" in scan.lower()
+
+
+def test_fixture_bars_aggregate_by_hash(spark):
+    assert "SortAggregate" not in plan(X.bars(spark, SF_DIR))
 
 
 def test_one_part_reads_two_parts_of_bars(stored):

@@ -8,7 +8,9 @@ from checks import queries as Q
 from tests.conftest import DAY
 from tidemark import schemas as S
 from tidemark.operators import cases as C
+from tidemark.functions.numbers import exact_sum
 from tidemark.operators import features as E
+from tidemark.operators.rows import latest_version
 from tidemark.plans import training as P
 
 
@@ -117,3 +119,49 @@ def test_feature_probe(make_bars, make_targets, grid, spark):
     rows = P.feature_probe(found, bars, grid, listed).collect()
     assert [(r["target_name"], r["symbol"]) for r in rows] == [("price_increase_1", "A")]
     assert (rows[0][S.RISES], rows[0][S.FALLS], rows[0][S.MOVES]) == (2.0, 0.0, 2.0)
+
+
+def test_report_counts_equal_versions_once(spark, sf_dir):
+    found, bars = Q.targets(spark, sf_dir), X.bars(spark, sf_dir)
+    once, twice = (P.backtest_report(f, bars, X.GRID, after=X.AFTER) for f in (found, found.unionAll(found)))
+    assert [tuple(r) for r in once.collect()] == [tuple(r) for r in twice.collect()]
+
+
+def test_cases_that_end_at_the_target(spark, sf_dir):
+    found, bars = Q.targets(spark, sf_dir), X.bars(spark, sf_dir)
+    settings = dict(before=X.BEFORE, after=0)
+    whole, short = Q.case_rows(spark, sf_dir), C.case_rows(found, bars, X.GRID, **settings)
+    assert same(short, whole.where("offset <= 0"))
+    built = P.training_set(found, bars, X.GRID, **settings)
+    assert built.count() == E.liquid_cases(short).count() > 0
+    sums = E.phase_sums(E.step_change_pct(short)).withColumnRenamed("symbol", "target_symbol")
+    key = ["target_symbol", "target_timestamp", "target_name"]
+    assert same(built.select(*key, S.MOVES), sums.join(built.select(*key), key).select(*key, S.MOVES))
+
+
+def test_case_rows_of_equal_versions(spark, sf_dir):
+    found = Q.targets(spark, sf_dir)
+    twice = C.case_rows(found.unionAll(found), X.bars(spark, sf_dir), X.GRID, before=X.BEFORE, after=X.AFTER)
+    assert twice.count() == Q.case_rows(spark, sf_dir).count()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("usd, total", [([3e20, 1.0], 3e20), ([1e-9, 2e-9], 3e-9), ([0.1, 0.2, 0.3], 0.6)])
+def test_sums_have_no_limits(spark, ansi, usd, total):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = spark.createDataFrame([(float(x),) for x in usd] + [(None,)], "x double")
+        assert rows.agg(exact_sum(F.col("x"))).first()[0] == pytest.approx(total, rel=1e-15)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_latest_version_of_rows_with_maps(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, {"x": 1}), ("a", 2, {"y": 2}), ("b", 1, None)], "k string, v int, m map<string,int>"
+    )
+    assert sorted((r["k"], r["v"], r["m"]) for r in latest_version(rows, ["k"], ["v"]).collect()) == [
+        ("a", 2, {"y": 2}),
+        ("b", 1, None),
+    ]

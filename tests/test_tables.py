@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -61,6 +62,18 @@ def test_replace_parts_of_nothing(spark, path):
     assert stored_rows(spark, path) == []
 
 
+def test_replace_parts_does_not_ask_the_clock(spark, path, monkeypatch):
+    class Late(datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return datetime(2001, 1, 1, tzinfo=tz)
+
+    replace(frame(spark, [("A", D1, 1.0), ("A", D2, 2.0)]), path, D1, D2)
+    monkeypatch.setattr("tidemark.sources.tables.datetime", Late)
+    replace(frame(spark, [("B", D1, 5.0)]), path, D1, D2)
+    assert stored_rows(spark, path) == [("B", D1, 5.0)]
+
+
 def test_rows_carry_the_version_of_their_write(spark, path):
     replace(frame(spark, [("A", D1, 1.0)]), path, D1, D1)
     first = read_table(spark, path, S.TARGETS, version=True).first()["row_version"]
@@ -101,6 +114,21 @@ def test_tsv_round_trip(spark, path):
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
 
 
+def test_tsv_keeps_control_characters(spark, path):
+    texts = [chr(i) for i in range(128)] + [f"a{chr(i)}b" for i in range(32)] + ["\\0", "\0", "\\\0\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    write_tsv(df, path)
+    assert sorted(map(tuple, read_tsv(spark, path, df.schema).collect())) == list(enumerate(texts))
+
+
+def test_tsv_finds_columns_by_name(spark, path):
+    write_tsv(spark.createDataFrame([("x", 1, True)], "b string, a int, c boolean"), path)
+    wanted = spark.createDataFrame([], "a int, b string").schema
+    assert tuple(read_tsv(spark, path, wanted).first()) == (1, "x")
+    with pytest.raises(ValueError, match="lacks d"):
+        read_tsv(spark, path, spark.createDataFrame([], "a int, d string").schema)
+
+
 def test_tsv_never_writes_blank_lines(spark, path):
     texts = spark.createDataFrame([("a",), (None,)], "text string")
     write_tsv(texts, path)
@@ -167,6 +195,16 @@ def test_daily_backfill_and_arrivals_agree(spark, tmp_path, make_bars):
     assert contents(spark, arriving) == expected
 
 
+def test_old_bar_files_are_not_passed_over(spark, tmp_path, make_bars):
+    where = tables(tmp_path, "old")
+    load_bars(minute_bars(make_bars), where, D1, D2)
+    year_ago = (DAY - timedelta(days=365)).timestamp()
+    for file in (tmp_path / "old" / "bars" / f"date={D2.isoformat()}").iterdir():
+        os.utime(file, (year_ago, year_ago))
+    process_new_bars(spark, where, str(tmp_path / "progress"))
+    assert where.read_targets(spark).where(F.col("part_name") == F.lit(D2)).count() == 30
+
+
 def test_backfill_builds_every_run(spark, path):
     asked = []
 
