@@ -93,12 +93,12 @@ def signatures(members: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def band_hashes(least: np.ndarray) -> np.ndarray:
-    """One hash for each signature and band."""
+    """One hash of 32 bits for each signature and band."""
     rows = least.reshape(len(least), BANDS, BAND_ROWS).astype(np.uint64)
     joined = np.tile(np.arange(BANDS, dtype=np.uint64), (len(least), 1))
     for k in range(BAND_ROWS):
         joined = S.mix(joined * np.uint64(0x9DDFEA08EB382D69) + rows[:, :, k])
-    return joined.astype(np.int64)
+    return (joined >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -116,17 +116,15 @@ def sketch(documents: DataFrame, n: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         members, ends = shingles(batch.column("text"), n)
-        bands, bits = [np.zeros((0, BANDS), np.int64)], [np.zeros((0, WORDS), np.uint64)]
+        bands, bits = [np.zeros((0, BANDS), np.int32)], [np.zeros((0, WORDS), np.int64)]
         for i in range(0, len(ends) - 1, 512):
             least = signatures(members, ends[i : i + 513])
             bands.append(band_hashes(least))
-            bits.append(nibbles(least))
-        arrays = [
-            pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), x.shape[1]).cast(
-                pa.list_(pa.int64())
-            )
-            for x in (np.concatenate(bands), np.concatenate(bits))
-        ]
+            bits.append(nibbles(least).view(np.int64))
+        arrays = []
+        for x in (np.concatenate(bands), np.concatenate(bits)):
+            values = pa.array(x.ravel())
+            arrays.append(pa.FixedSizeListArray.from_arrays(values, x.shape[1]).cast(pa.list_(values.type)))
         hashes = [pa.array(set_hash(members, ends, salt)) for salt in SALTS]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(np.diff(ends)), *hashes, *arrays],
@@ -137,7 +135,7 @@ def sketch(documents: DataFrame, n: int) -> DataFrame:
     return taken.mapInArrow(
         by_batch(run),
         "doc_id bigint, n_shingles bigint, node bigint, check bigint, "
-        "bands array<bigint>, bits array<bigint>",
+        "bands array<int>, bits array<bigint>",
     )
 
 
@@ -218,7 +216,7 @@ def pairs_in_block(rows: pa.Table, min_percent: int) -> list[tuple[int, int, int
         rows[c].combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("bands", "bits")
     )
     bits = bits.view(np.uint64)
-    earlier = bands[:, : int(np.argmax(bands[0] == rows["bucket"][0].as_py()))]
+    earlier = bands[:, : rows["bucket"][0].as_py() >> 32]
     cross = rows["i"][0].as_py() != rows["j"][0].as_py()
     ones, unlike, found = np.uint64(0x1111111111111111), most_unlike(min_percent), []
     for x in range(len(node) - 1):
@@ -301,7 +299,11 @@ def near_duplicates(
     filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     heads = stored(filled.groupBy(*equal).agg(F.min("doc_id").alias("doc_id")))
     sketches = filled.join(heads, [*equal, "doc_id"], "left_semi").dropDuplicates(["node", "doc_id"])
-    banded = sketches.select(F.explode("bands").alias("bucket"), "node", "n_shingles")
+    # a bucket's number holds its band's number above the band's hash
+    spread = sketches.select(F.posexplode("bands").alias("band", "hash"), "node", "n_shingles")
+    low = F.col("hash").cast("bigint").bitwiseAND((1 << 32) - 1)
+    bucket = F.shiftleft(F.col("band").cast("bigint"), 32).bitwiseOR(low).alias("bucket")
+    banded = spread.select(bucket, "node", "n_shingles")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
     members = stored(banded.join(shared, "bucket"))
     reach = stored(members.groupBy("node").agg(F.sum("held").alias("reach")))
