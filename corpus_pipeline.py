@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import minhash, mixing, quality_rules, repeats, segmentation
 from tidemark.llm.queries import FRAGMENT_WORDS, PIECE_BPE, vocabulary_path
-from tidemark.llm.rows import stored, table
+from tidemark.llm.rows import shipped, stored, table
 
 
 def reject_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +39,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality rules", reject_bad),
-    ("MinHash near-dedup", drop_near_copies),
-    ("suffix-array dedup", cut_repeats),
-    ("mixing sources to target weights", mix_sources),
-    ("SentencePiece encoding and decoding", encode),
+    ("quality rules", shipped(reject_bad)),
+    ("MinHash near-dedup", shipped(drop_near_copies)),
+    ("suffix-array dedup", shipped(cut_repeats)),
+    ("mixing sources to target weights", shipped(mix_sources)),
+    ("SentencePiece encoding and decoding", shipped(encode)),
 ]
 
 #: Trained trees and sampled segmentations have no SQL; the stages are tested against plain versions.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -19,7 +19,7 @@ from tidemark.llm import (
     token_files,
     toxicity,
 )
-from tidemark.llm.rows import table
+from tidemark.llm.rows import shipped, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,15 +55,16 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
 
 
-#: Of four folds of ids, the one that toxicity is not learnt from.
-FOLD = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+def fold() -> Column:
+    """Which of four folds of ids a document belongs to; toxicity is not learnt from the one of number 2."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    weights = toxicity.train(documents, table(spark, sf_dir, "labels"), where=FOLD != 2)
+    weights = toxicity.train(documents, table(spark, sf_dir, "labels"), where=fold() != 2)
     scored = toxicity.score(documents, weights)
-    return scored.select("doc_id", (FOLD == 2).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", (fold() == 2).alias("held_out"), "score", "predicted")
 
 
 def op5_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +96,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "op1_mix": op1_mix,
         "op2_segmentation": op2_segmentation,
         "op3_fingerprints": op3_fingerprints,
@@ -107,3 +108,4 @@ def queries() -> dict[str, Query]:
         "op9_token_files": op9_token_files,
         "op10_minhash": op10_minhash,
     }
+    return {name: shipped(query) for name, query in found.items()}

@@ -7,8 +7,8 @@ The strings of one anchor occurrence are neighbours, and form a segment of less
 
 Segments are compared by (anchor, hash). Of equal segments only the first can hold anything new, within a
 task and then among all tasks; the rest are covered whole. Anchors left with one segment hold nothing that
-repeats. The segments of the other anchors go to shards by anchor; each shard is sorted as one suffix
-array by induced sorting, and neighbours whose common prefix reaches ``LENGTH`` are equal strings, of which
+repeats. The segments of the other anchors go to shards by anchor. There, strings whose middle no other
+segment has are put aside, and the stretches that are left are sorted as one suffix array by induced sorting, and neighbours whose common prefix reaches ``LENGTH`` are equal strings, of which
 all but the first are marked. Anchors of very many segments are dealt over several shards by the hash of
 each string.
 
@@ -33,8 +33,9 @@ from tidemark.llm.suffixes import permuted_common_prefixes, suffix_array
 
 LENGTH = 100
 GRAM = 24
-SHARD_BYTES = 1 << 20  # text sorted at once, about
-SHARD_SEGMENTS = 4_000  # segments of one anchor in a shard, about
+CORE_STEP = 7
+SHARD_BYTES = 1 << 19  # text sorted at once, about
+SHARD_SEGMENTS = 20_000  # segments of one anchor in a shard, or strings of an anchor dealt over several
 LAST_ID = (1 << 63) - 1  # stands for a null id
 
 
@@ -51,9 +52,9 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(chunk: S.Chunk) -> tuple[np.ndarray, ...]:
-    """Text, start, strings, anchor and hash of each segment of the chunk."""
+    """Text, start, place of the anchor in it, strings, anchor and hash of each segment of the chunk."""
     data, offsets = chunk.data, chunk.offsets
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    none = tuple(np.zeros(0, t) for t in (np.int64,) * 4 + (np.uint64,) * 2)
     if len(data) < LENGTH:
         return none
     sums = S.running_hash(data)
@@ -81,13 +82,21 @@ def segments(chunk: S.Chunk) -> tuple[np.ndarray, ...]:
     begin = starts[head]
     text = chunk.owner(begin)
     hashes = S.hash_between(sums, begin, begin + count - 1 + LENGTH)
-    return text, begin - offsets[text], count, S.mix(grams[at[head]]), hashes
+    return text, begin - offsets[text], at[head] - begin, count, S.mix(grams[at[head]]), hashes
 
 
 #: One segment as four numbers: its anchor; half of its hash and half of its text's; doc_id; and its
-#: start, shifted to make room for the number of its strings and a flag for a repeat already known.
+#: start, followed by the anchor's place in it, a flag for a repeat already known, and the number of strings.
 ROW = "anchor bigint, halves bigint, id bigint, spot bigint"
-_COUNT_BITS, _KNOWN = 8, 1 << 7
+_START_BITS, _PLACE_BITS, _KNOWN = 16, 8, 1 << 7
+
+
+def start_of(spot):
+    return spot >> _START_BITS
+
+
+def count_of(spot):
+    return spot & (_KNOWN - 1)
 
 
 def found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,10 +106,10 @@ def found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         tids = batch.column("tid").to_numpy().view(np.uint64)
         parts = [np.zeros((0, 4), np.int64)]
         for chunk in S.chunks(batch.column("text")):
-            text, start, count, anchor, hashes = segments(chunk)
+            text, start, place, count, anchor, hashes = segments(chunk)
             text += chunk.first
             halves = (hashes >> np.uint64(32) << np.uint64(32)) | (tids[text] >> np.uint64(32))
-            spot = start << _COUNT_BITS | count
+            spot = start << _START_BITS | place << _PLACE_BITS | count
             parts.append(
                 np.column_stack([anchor.view(np.int64), halves.view(np.int64), ids[text], spot])
             )
@@ -185,33 +194,86 @@ def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = [m for m in marks if m["open"]]
             if not wanted:
                 continue
-            data, row_id = texts[i].as_buffer().to_pybytes(), batch.column("id")[i].as_py()
+            data = texts[i].as_buffer().to_pybytes()
+            row = (batch.column("id")[i].as_py(), batch.column("tid_half")[i].as_py())
             for m in wanted:
-                start, count = m["spot"] >> _COUNT_BITS, m["spot"] & (_KNOWN - 1)
+                start, count = start_of(m["spot"]), count_of(m["spot"])
+                place = m["spot"] >> _PLACE_BITS & 255
                 if m["parts"] == 1:
-                    out.append((m["anchor"], 0, row_id, start, count, data[start : start + count - 1 + LENGTH]))
+                    piece = data[start : start + count - 1 + LENGTH]
+                    out.append((m["anchor"], 0, *row, start, place, count, piece))
                     continue
                 for at in range(start, start + count):
                     string = data[at : at + LENGTH]
                     shard = int.from_bytes(hashlib.blake2b(string, digest_size=6).digest(), "big")
-                    out.append((m["anchor"], shard % m["parts"], row_id, at, 1, string))
-        columns = list(zip(*out, strict=True)) if out else [[]] * 6
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                    out.append((m["anchor"], shard % m["parts"], *row, at, place + start - at, 1, string))
+        columns = list(zip(*out, strict=True)) if out else [[]] * 8
+        kinds = [pa.int64()] * 7 + [pa.binary()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            ["anchor", "shard", "id", "start", "n", "bytes"],
+            ["anchor", "shard", "id", "tid_half", "start", "place", "n", "bytes"],
         )
 
 
-def later_strings(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, pieces: list[bytes]) -> np.ndarray:
-    """Flags of the segments' strings, one after another, that equal one of an earlier (id, start)."""
-    sizes = np.array([len(p) for p in pieces], np.int64) + 1
+def alike(joined: np.ndarray, heads: np.ndarray, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Flags of the segments' strings, one after another, that another segment may hold as well.
+
+    Strings that begin up to ``CORE_STEP`` bytes apart, counted from the anchor, share their middle. Equal
+    strings lie alike around equal anchors, so a string whose middle no other segment has is met nowhere.
+    """
+    first = (places - counts + 1) // CORE_STEP
+    bins = places // CORE_STEP - first + 1
+    owner = np.repeat(np.arange(len(heads)), bins)
+    number = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(bins) - bins, bins)
+    anchor = heads[owner] + places[owner]
+    begin = anchor - number * CORE_STEP
+    hashes = S.hash_between(
+        S.running_hash(joined), begin, begin - CORE_STEP + 1 + LENGTH
+    ) + number.astype(np.uint64)
+    _, inverse, held = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = held[inverse] > 1
+    segment = np.repeat(np.arange(len(heads)), counts)
+    inner = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
+    own_bin = (places[segment] - inner) // CORE_STEP - first[segment]
+    return shared[(np.cumsum(bins) - bins)[segment] + own_bin]
+
+
+def later_strings(
+    ids: np.ndarray, starts: np.ndarray, places: np.ndarray, counts: np.ndarray, pieces: pa.Array
+) -> np.ndarray:
+    """Flags of the segments' strings, one after another, that equal one of an earlier (id, start).
+
+    Only stretches of strings that may be met elsewhere are sorted.
+    """
+    joined, ends = np.frombuffer(b"".join(pieces.to_pylist()), np.uint8), np.cumsum(counts + LENGTH - 1)
+    heads = ends - counts - LENGTH + 1
+    maybe = np.flatnonzero(alike(joined, heads, places, counts))
+    later = np.zeros(int(counts.sum()), bool)
+    if not len(maybe):
+        return later
+    segment = np.repeat(np.arange(len(ids)), counts)
+    inner = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
+    new = np.ones(len(maybe), bool)
+    new[1:] = (maybe[1:] != maybe[:-1] + 1) | (segment[maybe[1:]] != segment[maybe[:-1]])
+    lead = maybe[new]
+    lengths = np.diff(np.append(np.flatnonzero(new), len(maybe)))
+    at = segment[lead]
+    later[maybe] = sorted_later(
+        ids[at], starts[at] + inner[lead], lengths, joined, heads[at] + inner[lead]
+    )
+    return later
+
+
+def sorted_later(
+    ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, joined: np.ndarray, origins: np.ndarray
+) -> np.ndarray:
+    """As ``later_strings``, of the stretches that begin at the origins, by their suffix array."""
+    sizes = counts + LENGTH
     heads = np.cumsum(sizes) - sizes
-    text = np.ones(int(sizes.sum()) + 1, np.int64)  # 1 after each segment, 0 at the end
+    text = np.ones(int(sizes.sum()) + 1, np.int64)  # 1 after each stretch, 0 at the end
     text[-1] = 0
-    joined = np.frombuffer(b"".join(pieces), np.uint8)
-    within = np.arange(len(joined)) - np.repeat(np.cumsum(sizes - 1) - sizes + 1, sizes - 1)
-    text[np.repeat(heads, sizes - 1) + within] = joined.astype(np.int64) + 2
+    within = np.arange(int((sizes - 1).sum())) - np.repeat(np.cumsum(sizes - 1) - sizes + 1, sizes - 1)
+    text[np.repeat(heads, sizes - 1) + within] = joined[np.repeat(origins, sizes - 1) + within] + np.int64(2)
     sa = suffix_array(text)
     _, common = permuted_common_prefixes(text, sa, heads, 3 * LENGTH)
     # strings by place: which begin within the first n of their segment
@@ -240,9 +302,9 @@ def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def mark(rows: pa.Table) -> pa.RecordBatch:
-        ids, starts, counts = (rows[c].to_numpy() for c in ("id", "start", "n"))
-        later = later_strings(ids, starts, counts, rows["bytes"].to_pylist())
-        own_id = np.repeat(ids, counts)
+        ids, starts, places, counts = (rows[c].to_numpy() for c in ("id", "start", "place", "n"))
+        later = later_strings(ids, starts, places, counts, rows["bytes"])
+        owners = [np.repeat(rows[c].to_numpy(), counts) for c in ("id", "tid_half")]
         place = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(len(later))
         segment = np.repeat(np.arange(len(ids)), counts)
         at = np.flatnonzero(later)
@@ -251,8 +313,8 @@ def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = at[new]
         count = np.diff(np.append(np.flatnonzero(new), len(at)))
         return pa.RecordBatch.from_arrays(
-            [pa.array(own_id[begin]), pa.array(place[begin]), pa.array(count, pa.int64())],
-            ["id", "start", "n"],
+            [*(pa.array(x[begin]) for x in owners), pa.array(place[begin]), pa.array(count, pa.int64())],
+            ["id", "tid_half", "start", "n"],
         )
 
     for batch in batches:
@@ -306,20 +368,25 @@ def cut(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     sifted = stored(dealt.mapInArrow(sift_segments, f"{ROW}, open boolean"))
     many = sifted.where("open").groupBy("anchor").agg(F.count("*").alias("held"))
     many = many.where(F.col("held") > SHARD_SEGMENTS)
-    many = many.select("anchor", F.ceil(F.col("held") / SHARD_SEGMENTS).alias("parts"))
+    strings = F.col("held") * (LENGTH - GRAM + 1)  # at most
+    many = many.select("anchor", F.ceil(strings / SHARD_SEGMENTS).alias("parts"))
     parted = sifted.join(many, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     tid_half = F.col("halves").bitwiseAND((1 << 32) - 1)
     marks = parted.groupBy("id", tid_half.alias("tid_half")).agg(
         F.collect_list(F.struct("anchor", "spot", "open", "parts")).alias("marks")
     )
-    keyed = texts.withColumn("tid_half", F.shiftrightunsigned("tid", 32)).dropDuplicates(["id", "tid"])
-    touched = stored(keyed.join(marks, ["id", "tid_half"]))
+    same = ["id", "tid_half"]
+    keyed = texts.withColumn("tid_half", F.shiftrightunsigned("tid", 32))
+    # read twice below, but shuffled once: both times in the same way
+    touched = keyed.join(marks, same).dropDuplicates(same)
     pieces = touched.mapInArrow(
-        cut_segments, "anchor bigint, shard bigint, id bigint, start bigint, n bigint, bytes binary"
+        cut_segments,
+        "anchor bigint, shard bigint, id bigint, tid_half bigint, start bigint, place bigint, n bigint, "
+        "bytes binary",
     )
     pieces = pieces.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard")
-    runs = pieces.mapInArrow(sort_shards, "id bigint, start bigint, n bigint")
-    runs = runs.groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    runs = pieces.mapInArrow(sort_shards, "id bigint, tid_half bigint, start bigint, n bigint")
+    runs = runs.groupBy(*same).agg(F.collect_list(F.struct("start", "n")).alias("runs"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,8 +394,9 @@ def cut(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
             columns = [batch.column(c).to_pylist() for c in ("id", "tid", "marks", "runs")]
             for i, (row_id, tid, marks, runs) in enumerate(zip(*columns, strict=True)):
                 spots = np.array([m["spot"] for m in marks if not m["open"]], np.int64)
-                starts = np.concatenate([spots >> _COUNT_BITS, np.array([r["start"] for r in runs or []], np.int64)])
-                counts = np.concatenate([spots & (_KNOWN - 1), np.array([r["n"] for r in runs or []], np.int64)])
+                found = np.array([(r["start"], r["n"]) for r in runs or []], np.int64).reshape(-1, 2)
+                starts = np.concatenate([start_of(spots), found[:, 0]])
+                counts = np.concatenate([count_of(spots), found[:, 1]])
                 data = batch.column("text")[i].as_buffer().to_pybytes()
                 fits = starts + LENGTH <= len(data)
                 if not fits.any():
@@ -345,7 +413,7 @@ def cut(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
                 ["id", "tid", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    changed = touched.join(runs, "id", "left").select("id", "tid", "text", "marks", "runs").mapInArrow(
+    changed = touched.join(runs, same, "left").select("id", "tid", "text", "marks", "runs").mapInArrow(
         remove, "id bigint, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     )
     return rows, changed

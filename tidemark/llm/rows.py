@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+CLEAR_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, or below the warehouse where that is not set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -17,10 +24,46 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows, written to a new shared folder and read back, so that lost executors cost no rework."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows, written to a new shared folder and read back, so that lost executors cost no rework.
+
+    Once they are written, the shuffle files behind them are of no more use and are cleared at once.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession)
+    before = spark.conf.get(CLEAR_SHUFFLES)
+    spark.conf.set(CLEAR_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAR_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that their tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}-{context.applicationId}.zip"
+    with zipfile.ZipFile(archive, "w") as held:
+        for file in sorted(package.rglob("*.py")):
+            held.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query, with the package sent to the executors before it runs."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        ship(spark)
+        return query(spark, *rest)
+
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
