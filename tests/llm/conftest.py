@@ -1,0 +1,45 @@
+import pytest
+
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+ODD = [
+    (3, "b " * 120, "en", "s1", 240),
+    (1, None, None, None, None),
+    (2, "", "en", "s1", 0),
+    (4, " \n\t ", "en", None, 4),
+    (None, "a null id has a text too " * 9, "en", "s2", 220),
+    (5, "same words here and there, again and again. " * 8, "en", "s1", 350),
+    (5, "same words here and there, again and again. " * 8, "en", "s1", 350),
+    (6, "same words here and there, again and again. " * 8, "en", "s2", 350),
+    (7, "é☃ ß日本 " * 40, "de", "s2", 320),
+    (8, "x" * 30_000, "en", "s3", 30_000),
+    (9, " ".join(f"w{i}" for i in range(6_000)), "fr", "s3", 34_000),
+    (10, "one", "fr", "s3", 3),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls in any column, empty and long texts, ties, repeated rows."""
+    return spark.createDataFrame(ODD, DOCUMENTS)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], DOCUMENTS)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+
+
+@pytest.fixture(scope="session")
+def labelled(spark):
+    """Documents and labels of the larger tables, for held-out accuracy."""
+    folder = "/root/testdata/sf0.1"
+    return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")

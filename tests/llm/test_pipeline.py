@@ -1,0 +1,44 @@
+import corpus_pipeline as C
+from checks.fixture import table
+from tests.conftest import SF_DIR
+from tests.llm.test_counts import plain_counts
+from tests.llm.test_near_copies import plain
+from tidemark.llm import minhash, mixing
+from tidemark.llm.rows import stored
+
+
+def test_stages_work_on_what_came_before(spark):
+    docs = table(spark, SF_DIR, "documents")
+    columns = docs.columns
+    assert len(C.STAGES) == 5
+    states = [docs]
+    for _, stage in C.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF_DIR))
+        assert docs.columns == columns
+        states.append(docs)
+    whole, good, single, cut, mixed = ({r["doc_id"]: r["text"] for r in s.collect()} for s in states)
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, SF_DIR, "labels").collect()}
+
+    def passes(text):
+        words, _, _, _, repeated = plain_counts(text)
+        return words >= 50 and 100 * repeated <= 50 * words
+
+    assert all(passes(t) for t in good.values())
+    assert all(i in good for i, t in whole.items() if passes(t) and labels.get(i) == 1)
+    assert not any(labels.get(i) == 0 for i in good)
+    groups = plain(list(good.items()), minhash.SHINGLE_WORDS)
+    assert sorted(map(str, single)) == [d for d, _, _, kept in groups if kept]
+    assert cut.keys() == single.keys() and all(len(cut[i]) <= len(t) for i, t in single.items())
+    assert set(mixed.items()) <= set(cut.items())
+    size = mixing.word_count
+    total = states[3].select(size(states[3]["text"]).alias("n")).agg({"n": "sum"}).first()[0]
+    taken = states[4].select(size(states[4]["text"]).alias("n")).agg({"n": "sum"}).first()[0]
+    assert abs(taken - total) < 0.05 * total
+    last = C.STAGES[-1][1](spark, docs, SF_DIR)
+    assert last.where("NOT round_trip").isEmpty()
+    assert last.where("sample = 1").count() == states[4].count()
+
+
+def test_run(spark):
+    assert C.ORACLE_SQL is None
+    assert C.run(spark, SF_DIR).count() > 0

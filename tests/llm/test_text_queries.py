@@ -1,0 +1,38 @@
+"""Queries against their SQL, and the names and columns that are agreed on."""
+
+import pytest
+
+from checks.compare import connect, differences
+from tests.conftest import SF_DIR
+from tidemark.llm import oracle
+from tidemark.llm import queries as Q
+
+
+@pytest.mark.parametrize("name", sorted(oracle.oracles()))
+def test_query_agrees_with_sql(spark, name):
+    result = Q.queries()[name](spark, SF_DIR)
+    assert differences(result, connect(SF_DIR), oracle.oracles()[name]) == []
+
+
+# The columns that each query has to return.
+COLUMNS = {
+    1: "doc_id size source_size target taken",
+    3: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    4: "doc_id held_out score predicted",
+    6: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    7: "doc_id n_bytes n_removed n_spans kept_sha256",
+    8: "page_id url text n_chars",
+    9: "doc_id start n_tokens ids_crc32",
+    10: "doc_id n_shingles component_id kept",
+}
+
+
+def test_there_is_one_query_for_each_operator():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in Q.queries())
+    assert numbers == list(range(1, 11))
+
+
+@pytest.mark.parametrize("number", sorted(COLUMNS))
+def test_query_has_its_columns(spark, number):
+    query = next(q for n, q in Q.queries().items() if n.startswith(f"op{number}_"))
+    assert set(COLUMNS[number].split()) <= set(query(spark, SF_DIR).columns)
