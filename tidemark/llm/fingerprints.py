@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.order import in_order
+from tidemark.llm.rows import tidy
 
 BUCKETS = 256
 #: Which bytes of a window make a triplet, as distances from its first byte.
@@ -104,6 +105,7 @@ def compare_edited(documents: DataFrame) -> DataFrame:
         texts = batch.column("text")
         return {"text": texts, "own": pa.array([digest(t.as_buffer()) for t in texts], pa.string())}
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # part, id, text and fingerprint of the row whose next one is awaited
         for batch in batches:

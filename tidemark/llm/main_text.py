@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.html_blocks import Block, blocks
 from tidemark.llm.labelled_pages import labelled_page
+from tidemark.llm.rows import tidy
 
 PAGES = 1000
 
@@ -147,6 +148,7 @@ def extract_page(page: str, field: Field, cache: dict) -> str:
 def extract(pages: DataFrame, field: Field) -> DataFrame:
     """page_id, url, text and n_chars of each whole page."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cache: dict = {}

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import spans as S
-from tidemark.llm.rows import by_batch, stored
+from tidemark.llm.rows import by_batch, stored, tidy
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
@@ -243,6 +243,7 @@ def pairs_left(joinable: DataFrame, sketches: DataFrame, min_percent: int) -> Da
     work of bounded size.
     """
 
+    @tidy
     def run(batches):
         held: list[pa.RecordBatch] = []
 

@@ -9,7 +9,7 @@ probabilities. Its last place goes to the document whose size comes nearest to w
 
 All of it is DataFrame expressions. Documents are summed by (source, weight class) and by bins of the rank
 before anything is ordered, so that only the documents of the one bin in which a source's cut falls meet
-in a task.
+in a task, besides the sources' and the bins' sums, one row each.
 
 Defined results: null texts and texts without a word have size 0 and are never taken; a null source is a
 source of its own, the last; a null, zero or negative document weight counts as 1; repeated rows are

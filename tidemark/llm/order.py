@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import stored
+from tidemark.llm.rows import stored, tidy
 
 PART_ROWS = 4_000  # rows in a part, about
 MOST_PARTS = 50_000  # beyond that, parts grow
@@ -57,6 +57,7 @@ def in_order(
         firsts = firsts.groupBy("part").agg(best.alias("doc_id")).orderBy("part").collect()
         lent_to = {r["doc_id"]: firsts[i - 1]["part"] for i, r in enumerate(firsts)}
 
+    @tidy
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids = batch.column("doc_id")

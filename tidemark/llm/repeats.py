@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import spans as S
-from tidemark.llm.rows import stored
+from tidemark.llm.rows import stored, tidy
 from tidemark.llm.suffixes import permuted_common_prefixes, suffix_array
 
 LENGTH = 100
 GRAM = 24
 CORE_STEP = 7
 SHARD_BYTES = 1 << 19  # text sorted at once, about
-SHARD_SEGMENTS = 20_000  # segments of one anchor in a shard, or strings of an anchor dealt over several
+SHARD_SEGMENTS = 12_000  # segments of one anchor in a shard, or strings of an anchor dealt over several
 LAST_ID = (1 << 63) - 1  # stands for a null id
 
 
@@ -99,6 +99,7 @@ def count_of(spot):
     return spot & (_KNOWN - 1)
 
 
+@tidy
 def found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All segments of the texts; of equal ones in a batch, all but the first are flagged as known."""
     for batch in batches:
@@ -135,6 +136,7 @@ def found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
+@tidy
 def sift_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From segments in order of anchor, hash, id and start: known repeats, and those to be sorted.
 
@@ -185,6 +187,7 @@ def sift_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+@tidy
 def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each open segment; string by string where its anchor is dealt over several shards."""
     for batch in batches:
@@ -296,6 +299,7 @@ def sorted_later(
     return later
 
 
+@tidy
 def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From segments in order of (anchor, shard): the runs of strings that repeat earlier ones."""
     held: list[pa.RecordBatch] = []
@@ -388,6 +392,7 @@ def cut(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     runs = pieces.mapInArrow(sort_shards, "id bigint, tid_half bigint, start bigint, n bigint")
     runs = runs.groupBy(*same).agg(F.collect_list(F.struct("start", "n")).alias("runs"))
 
+    @tidy
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import spans as S
 from tidemark.llm.order import in_order
-from tidemark.llm.rows import shared_folder
+from tidemark.llm.rows import shared_folder, tidy
 
 SEQUENCE = 2048
 BATCH_ROWS = 64
@@ -279,6 +279,7 @@ def write(documents: DataFrame, tokenizer: str, folder: str) -> list[tuple[str,
         )
         return {"ids": found.cast(pa.binary())}
 
+    @tidy
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(tokenizer).dtype
         writer, part, done = None, None, []
@@ -313,6 +314,7 @@ def write(documents: DataFrame, tokenizer: str, folder: str) -> list[tuple[str,
 def read_back(spark, folder: str, parts: list[tuple[str, int]]) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, read from the files."""
 
+    @tidy
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, before in zip(
