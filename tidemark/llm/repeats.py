@@ -356,11 +356,11 @@ def _covered(n_bytes: int, starts: np.ndarray, counts: np.ndarray) -> tuple[np.n
     return starts[new], ends[np.append(np.flatnonzero(new)[1:] - 1, len(ends) - 1)]
 
 
-def cut(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def cut(documents: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     """The rows with their ``id`` and ``tid``, and what is left of each text that repeats something.
 
-    The second has id, tid, n_removed, n_spans, kept_sha256 and kept (the bytes left), one row for each
-    different (id, text) that loses bytes.
+    The second has id, tid, n_removed, n_spans, kept_sha256 and, ``with_text``, kept (what is left,
+    without characters cut in half), one row for each different (id, text) that loses bytes.
     """
     rows = documents.withColumn("id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)))
     rows = rows.withColumn("_text", F.coalesce("text", F.lit("")))
@@ -410,23 +410,25 @@ def cut(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
                 left = b"".join(
                     data[a:b] for a, b in zip([0, *ends.tolist()], [*begins.tolist(), len(data)], strict=True)
                 )
-                out.append((row_id, tid, int((ends - begins).sum()), len(begins), hashlib.sha256(left).hexdigest(), left))
+                kept = left.decode("utf-8", "ignore") if with_text else None
+                sha = hashlib.sha256(left).hexdigest()
+                out.append((row_id, tid, int((ends - begins).sum()), len(begins), sha, kept))
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 ["id", "tid", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
     changed = touched.join(runs, same, "left").select("id", "tid", "text", "marks", "runs").mapInArrow(
-        remove, "id bigint, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+        remove, "id bigint, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
     )
     return rows, changed
 
 
 def repeats(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each text."""
-    rows, changed = cut(documents.select("doc_id", "text"))
+    rows, changed = cut(documents.select("doc_id", "text"), with_text=False)
     counted = rows.select(
         "doc_id", "id", "tid", F.octet_length("_text").cast("bigint").alias("n_bytes"),
         F.sha2(F.col("_text"), 256).alias("whole_sha256"),
@@ -445,17 +447,8 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     renamed = documents.toDF(*names)
     place = {c: n for c, n in zip(documents.columns, names, strict=True)}
     plain = renamed.withColumn("doc_id", F.col(place["doc_id"])).withColumn("text", F.col(place["text"]))
-    rows, changed = cut(plain)
-
-    def readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("tid"), pa.array(kept, pa.string())],
-                ["id", "tid", "kept"],
-            )
-
-    texts = changed.select("id", "tid", "kept").mapInArrow(readable, "id bigint, tid bigint, kept string")
+    rows, changed = cut(plain, with_text=True)
+    texts = changed.select("id", "tid", "kept")
     joined = rows.join(texts, ["id", "tid"], "left")
     return joined.select(
         *(

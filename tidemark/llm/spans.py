@@ -45,7 +45,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse."""
     global _powers, _inverses
     if len(_powers) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES + (1 << 16))
         for name, base in (("_powers", _BASE), ("_inverses", _INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
