@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -95,3 +96,29 @@ def test_texts_lose_what_repeats(spark):
     got = {r["doc_id"]: r["text"] for r in R.without_repeats(frame).collect()}
     assert got[1] == rows[0][1] and got[3] == rows[2][1]
     assert got[2] == "second end"  # the blank before the passage repeats, and the first half of è
+
+
+def test_segments_alike_in_half_their_hash_are_not_equal(monkeypatch):
+    r = random.Random(5)
+    letters = lambda n: "".join(r.choice("abcdefghijk") for _ in range(n))
+    passage = letters(130)
+    texts = [letters(150) + passage + letters(150) for _ in range(40)]
+    real = R.segments
+
+    def alike(chunk):
+        *rest, hashes = real(chunk)
+        return (*rest, hashes & np.uint64(0xFFFFFFFF))
+
+    monkeypatch.setattr(R, "segments", alike)
+    columns = [pa.array(range(40)), pa.array(range(40)), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, ["id", "tid", "text"])
+    inside = lambda spot: (  # noqa: E731  # only strings that lie wholly in the passage repeat
+        R.start_of(spot) >= 150 and R.start_of(spot) + R.count_of(spot) - 1 + R.LENGTH <= 150 + len(passage)
+    )
+    together = next(R.found_segments(iter([batch])))
+    assert all(inside(s) for s in together["spot"].to_pylist() if s & R._KNOWN)
+    dealt = pa.Table.from_batches([next(R.found_segments(iter([batch.slice(i, 1)]))) for i in range(40)])
+    dealt = dealt.combine_chunks().sort_by([(c, "ascending") for c in dealt.column_names])
+    sifted = next(R.sift_segments(iter(dealt.to_batches()))).to_pylist()
+    assert sum(row["open"] for row in sifted) >= 40
+    assert all(inside(row["spot"]) for row in sifted if not row["open"])

@@ -5,7 +5,7 @@ start). So that equal strings meet without all text meeting, each string belongs
 ``GRAM``-byte gram of the least hash in it (the leftmost of equal ones): equal strings have equal anchors.
 The strings of one anchor occurrence are neighbours, and form a segment of less than two lengths.
 
-Segments are compared by (anchor, hash). Of equal segments only the first can hold anything new, within a
+Segments are compared by anchor, 64-bit hash, number of strings and the anchor's place. Of equal segments only the first can hold anything new, within a
 task and then among all tasks; the rest are covered whole. Anchors left with one segment hold nothing that
 repeats. The segments of the other anchors go to shards by anchor. There, strings whose middle no other
 segment has are put aside, and the stretches that are left are sorted as one suffix array by induced sorting, and neighbours whose common prefix reaches ``LENGTH`` are equal strings, of which
@@ -85,9 +85,10 @@ def segments(chunk: S.Chunk) -> tuple[np.ndarray, ...]:
     return text, begin - offsets[text], at[head] - begin, count, S.mix(grams[at[head]]), hashes
 
 
-#: One segment as four numbers: its anchor; half of its hash and half of its text's; doc_id; and its
-#: start, followed by the anchor's place in it, a flag for a repeat already known, and the number of strings.
-ROW = "anchor bigint, halves bigint, id bigint, spot bigint"
+#: One segment as five numbers: its anchor, its hash, its text's hash, doc_id; and its start, followed by
+#: the anchor's place in it, a flag for a repeat already known, and the number of strings.
+ROW = "anchor bigint, hash bigint, tid bigint, id bigint, spot bigint"
+SIFTED = "anchor bigint, tid bigint, id bigint, spot bigint, open boolean"
 _START_BITS, _PLACE_BITS, _KNOWN = 16, 8, 1 << 7
 
 
@@ -99,91 +100,97 @@ def count_of(spot):
     return spot & (_KNOWN - 1)
 
 
+def shape_of(spot):
+    """The anchor's place and the number of strings, which equal segments have in common."""
+    return spot & ((1 << _START_BITS) - 1)
+
+
 @tidy
 def found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All segments of the texts; of equal ones in a batch, all but the first are flagged as known."""
     for batch in batches:
         ids = batch.column("id").to_numpy()
-        tids = batch.column("tid").to_numpy().view(np.uint64)
-        parts = [np.zeros((0, 4), np.int64)]
+        tids = batch.column("tid").to_numpy()
+        parts = [np.zeros((0, 5), np.int64)]
         for chunk in S.chunks(batch.column("text")):
             text, start, place, count, anchor, hashes = segments(chunk)
             text += chunk.first
-            halves = (hashes >> np.uint64(32) << np.uint64(32)) | (tids[text] >> np.uint64(32))
             spot = start << _START_BITS | place << _PLACE_BITS | count
             parts.append(
-                np.column_stack([anchor.view(np.int64), halves.view(np.int64), ids[text], spot])
+                np.column_stack([anchor.view(np.int64), hashes.view(np.int64), tids[text], ids[text], spot])
             )
         rows = np.concatenate(parts)
-        keys = S.mix(rows[:, 0].view(np.uint64) ^ S.mix(rows[:, 1].view(np.uint64) >> np.uint64(32)))
+        keys = S.mix(rows[:, 0].view(np.uint64) ^ S.mix(rows[:, 1].view(np.uint64)))
         order = np.argsort(keys)
         same = np.zeros(len(order), bool)
         same[1:] = keys[order[1:]] == keys[order[:-1]]
         grouped = same.copy()
         grouped[:-1] |= same[1:]
         at = order[grouped]
-        at = at[np.lexsort((rows[at, 3], rows[at, 2], keys[at]))]
+        shape = shape_of(rows[at, 4])
+        by_kind = np.lexsort((rows[at, 4], rows[at, 3], shape, rows[at, 1], rows[at, 0]))
+        at, shape = at[by_kind], shape[by_kind]
         if len(at):
-            new = np.concatenate([[True], keys[at[1:]] != keys[at[:-1]]])
+            new = np.ones(len(at), bool)
+            new[1:] = (rows[at[1:], :2] != rows[at[:-1], :2]).any(axis=1) | (shape[1:] != shape[:-1])
             first = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-            later = (rows[at, 2] != rows[first, 2]) | (rows[at, 3] != rows[first, 3])
+            later = (rows[at, 3] != rows[first, 3]) | (rows[at, 4] != rows[first, 4])
             known = at[later]
-            rows[known, 3] |= _KNOWN
+            rows[known, 4] |= _KNOWN
             # they need not meet their equals, so they are dealt anywhere
-            rows[known, 0] = S.mix((rows[known, 2] * 1_000_003 + rows[known, 3]).view(np.uint64)).view(np.int64)
+            rows[known, 0] = S.mix((rows[known, 3] * 1_000_003 + rows[known, 4]).view(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in rows.T], ["anchor", "halves", "id", "spot"]
+            [pa.array(c) for c in rows.T], ["anchor", "hash", "tid", "id", "spot"]
         )
 
 
 @tidy
 def sift_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From segments in order of anchor, hash, id and start: known repeats, and those to be sorted.
+    """From segments in order of anchor, hash, shape, id and start: known repeats, and those to be sorted.
 
     A segment is a known repeat if an equal one is earlier, and to be sorted if it is the first of its kind
     and its anchor has another kind. All that is kept between batches is the last kind's first row and the
     row that waits for its anchor's next kind.
     """
-    last = None  # anchor, half, id and spot of the first row of the last kind
+    last = None  # the first row of the last kind
     waiting = None  # the only kind of the last anchor so far
     for batch in batches:
         rows = np.column_stack([c.to_numpy() for c in batch.columns])
-        known = rows[:, 3] & _KNOWN > 0
+        known = rows[:, 4] & _KNOWN > 0
         out = [rows[known]]
         live = rows[~known]
-        half = live[:, 1] >> 32
-        sorted_rows = np.zeros((0, 4), np.int64)
+        sorted_rows = np.zeros((0, 5), np.int64)
         if len(live):
+            shape = shape_of(live[:, 4])
             new_anchor = np.ones(len(live), bool)
             new_anchor[1:] = live[1:, 0] != live[:-1, 0]
             new_kind = new_anchor.copy()
-            new_kind[1:] |= half[1:] != half[:-1]
+            new_kind[1:] |= (live[1:, 1] != live[:-1, 1]) | (shape[1:] != shape[:-1])
             if last is not None and live[0, 0] == last[0]:
                 new_anchor[0] = False
-                new_kind[0] = half[0] != last[1]
+                new_kind[0] = live[0, 1] != last[1] or shape[0] != shape_of(last[4])
             at = np.maximum.accumulate(np.where(new_kind, np.arange(len(live)), -1))
-            first_id, first_spot = live[at, 2], live[at, 3]
+            first_id, first_spot = live[at, 3], live[at, 4]
             if at[0] < 0:
-                first_id, first_spot = (np.where(at < 0, x, y) for x, y in zip(last[2:], (first_id, first_spot), strict=True))
-            out.append(live[~new_kind & ((live[:, 2] != first_id) | (live[:, 3] != first_spot))])
+                first_id, first_spot = (np.where(at < 0, x, y) for x, y in zip(last[3:], (first_id, first_spot), strict=True))
+            out.append(live[~new_kind & ((live[:, 3] != first_id) | (live[:, 4] != first_spot))])
             kinds = np.flatnonzero(new_kind)
             if len(kinds):
                 lead = new_anchor[kinds]
                 chosen = ~lead
                 chosen[:-1] |= ~lead[1:]
                 held = [waiting] if waiting is not None and not lead[0] else []
-                sorted_rows = np.concatenate([np.array(held, np.int64).reshape(-1, 4), live[kinds[chosen]]])
+                sorted_rows = np.concatenate([np.array(held, np.int64).reshape(-1, 5), live[kinds[chosen]]])
                 waiting = live[kinds[-1]] if lead[-1] else None
-                k = kinds[-1]
-                last = (live[k, 0], half[k], live[k, 2], live[k, 3])
+                last = live[kinds[-1]]
         repeats = np.concatenate(out)
         every = np.concatenate([repeats, sorted_rows])
         yield pa.RecordBatch.from_arrays(
             [
-                *(pa.array(c) for c in every.T),
+                *(pa.array(every[:, c]) for c in (0, 2, 3, 4)),
                 pa.array(np.arange(len(every)) >= len(repeats)),
             ],
-            ["anchor", "halves", "id", "spot", "open"],
+            ["anchor", "tid", "id", "spot", "open"],
         )
 
 
@@ -198,7 +205,7 @@ def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not wanted:
                 continue
             data = texts[i].as_buffer().to_pybytes()
-            row = (batch.column("id")[i].as_py(), batch.column("tid_half")[i].as_py())
+            row = (batch.column("id")[i].as_py(), batch.column("tid")[i].as_py())
             for m in wanted:
                 start, count = start_of(m["spot"]), count_of(m["spot"])
                 place = m["spot"] >> _PLACE_BITS & 255
@@ -214,7 +221,7 @@ def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 7 + [pa.binary()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            ["anchor", "shard", "id", "tid_half", "start", "place", "n", "bytes"],
+            ["anchor", "shard", "id", "tid", "start", "place", "n", "bytes"],
         )
 
 
@@ -308,7 +315,7 @@ def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def mark(rows: pa.Table) -> pa.RecordBatch:
         ids, starts, places, counts = (rows[c].to_numpy() for c in ("id", "start", "place", "n"))
         later = later_strings(ids, starts, places, counts, rows["bytes"])
-        owners = [np.repeat(rows[c].to_numpy(), counts) for c in ("id", "tid_half")]
+        owners = [np.repeat(rows[c].to_numpy(), counts) for c in ("id", "tid")]
         place = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(len(later))
         segment = np.repeat(np.arange(len(ids)), counts)
         at = np.flatnonzero(later)
@@ -318,7 +325,7 @@ def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.diff(np.append(np.flatnonzero(new), len(at)))
         return pa.RecordBatch.from_arrays(
             [*(pa.array(x[begin]) for x in owners), pa.array(place[begin]), pa.array(count, pa.int64())],
-            ["id", "tid_half", "start", "n"],
+            ["id", "tid", "start", "n"],
         )
 
     for batch in batches:
@@ -367,29 +374,27 @@ def cut(documents: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("tid", F.xxhash64("_text"))
     texts = rows.select("id", "tid", F.col("_text").alias("text"))
     found = texts.mapInArrow(found_segments, ROW)
-    half = F.shiftright("halves", 32)
-    dealt = found.repartition("anchor").sortWithinPartitions("anchor", half, "id", "spot")
-    sifted = stored(dealt.mapInArrow(sift_segments, f"{ROW}, open boolean"))
+    shape = F.col("spot").bitwiseAND(shape_of(-1))
+    dealt = found.repartition("anchor").sortWithinPartitions("anchor", "hash", shape, "id", "spot")
+    sifted = stored(dealt.mapInArrow(sift_segments, SIFTED))
     many = sifted.where("open").groupBy("anchor").agg(F.count("*").alias("held"))
     many = many.where(F.col("held") > SHARD_SEGMENTS)
     strings = F.col("held") * (LENGTH - GRAM + 1)  # at most
     many = many.select("anchor", F.ceil(strings / SHARD_SEGMENTS).alias("parts"))
     parted = sifted.join(many, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    tid_half = F.col("halves").bitwiseAND((1 << 32) - 1)
-    marks = parted.groupBy("id", tid_half.alias("tid_half")).agg(
+    marks = parted.groupBy("id", "tid").agg(
         F.collect_list(F.struct("anchor", "spot", "open", "parts")).alias("marks")
     )
-    same = ["id", "tid_half"]
-    keyed = texts.withColumn("tid_half", F.shiftrightunsigned("tid", 32))
+    same = ["id", "tid"]
     # read twice below, but shuffled once: both times in the same way
-    touched = keyed.join(marks, same).dropDuplicates(same)
+    touched = texts.join(marks, same).dropDuplicates(same)
     pieces = touched.mapInArrow(
         cut_segments,
-        "anchor bigint, shard bigint, id bigint, tid_half bigint, start bigint, place bigint, n bigint, "
+        "anchor bigint, shard bigint, id bigint, tid bigint, start bigint, place bigint, n bigint, "
         "bytes binary",
     )
     pieces = pieces.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard")
-    runs = pieces.mapInArrow(sort_shards, "id bigint, tid_half bigint, start bigint, n bigint")
+    runs = pieces.mapInArrow(sort_shards, "id bigint, tid bigint, start bigint, n bigint")
     runs = runs.groupBy(*same).agg(F.collect_list(F.struct("start", "n")).alias("runs"))
 
     @tidy
