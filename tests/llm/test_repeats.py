@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -122,3 +123,28 @@ def test_segments_alike_in_half_their_hash_are_not_equal(monkeypatch):
     sifted = next(R.sift_segments(iter(dealt.to_batches()))).to_pylist()
     assert sum(row["open"] for row in sifted) >= 40
     assert all(inside(row["spot"]) for row in sifted if not row["open"])
+
+
+def test_strings_that_many_share_meet_folded(spark, monkeypatch):
+    r = random.Random(6)
+    letters = lambda n: "".join(r.choice("abcdefghijk") for _ in range(n))
+    passage = letters(130)
+    rows = [(i if i % 9 else None, letters(110) + passage + letters(110)) for i in range(120)]
+    rows += [(3, letters(40) + passage), (3, letters(40) + passage + letters(9)), (1, letters(110) + passage)]
+    monkeypatch.setattr(R, "SHARD_SEGMENTS", 20)
+    real = R.sort_shards
+
+    def watched(batches):
+        def seen():
+            met = Counter()
+            for batch in batches:
+                names = [c for c in batch.schema.names if c in ("anchor", "shard")]
+                met.update(zip(*(batch.column(c).to_pylist() for c in names)))
+                assert not met or max(met.values()) <= 60
+                yield batch
+
+        return real(seen())
+
+    monkeypatch.setattr(R, "sort_shards", watched)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert found(frame) == plain(rows)

@@ -9,8 +9,9 @@ Segments are compared by anchor, 64-bit hash, number of strings and the anchor's
 task and then among all tasks; the rest are covered whole. Anchors left with one segment hold nothing that
 repeats. The segments of the other anchors go to shards by anchor. There, strings whose middle no other
 segment has are put aside, and the stretches that are left are sorted as one suffix array by induced sorting, and neighbours whose common prefix reaches ``LENGTH`` are equal strings, of which
-all but the first are marked. Anchors of very many segments are dealt over several shards by the hash of
-each string.
+all but the first are marked. Anchors of very many segments, which strings that many documents share may
+have, go to no shard: their strings are folded by a hash of 128 bits to the first of each, within a task and
+then by an aggregate, and all others are marked.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` bytes are left alone; matches within a
 text count; rows that share an id count as one document, so equal rows are treated alike; null ids come
@@ -35,7 +36,8 @@ LENGTH = 100
 GRAM = 24
 CORE_STEP = 7
 SHARD_BYTES = 1 << 19  # text sorted at once, about
-SHARD_SEGMENTS = 12_000  # segments of one anchor in a shard, or strings of an anchor dealt over several
+SHARD_SEGMENTS = 12_000  # segments of one anchor in a shard, at most; of more, the strings are folded
+FOLD_STRINGS = 1 << 17  # different strings that a task folds at once
 LAST_ID = (1 << 63) - 1  # stands for a null id
 
 
@@ -196,12 +198,12 @@ def sift_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 @tidy
 def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each open segment; string by string where its anchor is dealt over several shards."""
+    """The bytes of each open segment of the anchors that go to shards."""
     for batch in batches:
         out: list[tuple] = []
         texts = batch.column("text")
         for i, marks in enumerate(batch.column("marks").to_pylist()):
-            wanted = [m for m in marks if m["open"]]
+            wanted = [m for m in marks if m["open"] and not m["many"]]
             if not wanted:
                 continue
             data = texts[i].as_buffer().to_pybytes()
@@ -209,22 +211,56 @@ def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for m in wanted:
                 start, count = start_of(m["spot"]), count_of(m["spot"])
                 place = m["spot"] >> _PLACE_BITS & 255
-                if m["parts"] == 1:
-                    piece = data[start : start + count - 1 + LENGTH]
-                    out.append((m["anchor"], 0, *row, start, place, count, piece))
-                    continue
-                for at in range(start, start + count):
-                    string = data[at : at + LENGTH]
-                    shard = int.from_bytes(hashlib.blake2b(string, digest_size=6).digest(), "big")
-                    out.append((m["anchor"], shard % m["parts"], *row, at, place + start - at, 1, string))
-        columns = list(zip(*out, strict=True)) if out else [[]] * 8
-        kinds = [pa.int64()] * 7 + [pa.binary()]
+                out.append((m["anchor"], *row, start, place, count, data[start : start + count - 1 + LENGTH]))
+        columns = list(zip(*out, strict=True)) if out else [[]] * 7
+        kinds = [pa.int64()] * 6 + [pa.binary()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            ["anchor", "shard", "id", "tid", "start", "place", "n", "bytes"],
+            ["anchor", "id", "tid", "start", "place", "n", "bytes"],
         )
 
 
+@tidy
+def fold_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and first place of each different string of the anchors of very many segments.
+
+    Strings are folded some at a time. Texts that share an id can have the same first place.
+    """
+    held: dict[bytes, tuple[tuple[int, int], list[int]]] = {}
+
+    def emit() -> pa.RecordBatch:
+        rows = [
+            (int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), *at, tid)
+            for h, (at, tids) in held.items()
+            for tid in tids
+        ]
+        held.clear()
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in columns], ["high", "low", "id", "start", "tid"]
+        )
+
+    for batch in batches:
+        texts = batch.column("text")
+        for i, marks in enumerate(batch.column("marks").to_pylist()):
+            wanted = [m["spot"] for m in marks if m["many"]]
+            if not wanted:
+                continue
+            data = texts[i].as_buffer().to_pybytes()
+            row_id, tid = batch.column("id")[i].as_py(), batch.column("tid")[i].as_py()
+            for spot in wanted:
+                for start in range(start_of(spot), start_of(spot) + count_of(spot)):
+                    key = hashlib.blake2b(data[start : start + LENGTH], digest_size=16).digest()
+                    at, known = (row_id, start), held.get(key)
+                    if known is None or at < known[0]:
+                        held[key] = (at, [tid])
+                    elif at == known[0]:
+                        known[1].append(tid)
+                if len(held) >= FOLD_STRINGS:
+                    yield emit()
+    yield emit()
+
+
 def alike(joined: np.ndarray, heads: np.ndarray, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Flags of the segments' strings, one after another, that another segment may hold as well.
 
@@ -308,7 +344,7 @@ def sorted_later(
 
 @tidy
 def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From segments in order of (anchor, shard): the runs of strings that repeat earlier ones."""
+    """From segments in order of their anchors: the runs of strings that repeat earlier ones."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -336,8 +372,7 @@ def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size < SHARD_BYTES:
             continue
         rows = pa.Table.from_batches(held)
-        keys = np.column_stack([rows["anchor"].to_numpy(), rows["shard"].to_numpy()])
-        edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1  # where shards can be parted
+        edges = np.flatnonzero(np.diff(rows["anchor"].to_numpy())) + 1  # where shards can be parted
         grown = np.cumsum(pa.compute.binary_length(rows["bytes"]).to_numpy())
         begin = 0
         while len(edges):
@@ -363,6 +398,18 @@ def _covered(n_bytes: int, starts: np.ndarray, counts: np.ndarray) -> tuple[np.n
     return starts[new], ends[np.append(np.flatnonzero(new)[1:] - 1, len(ends) - 1)]
 
 
+def first_strings(touched: DataFrame) -> DataFrame:
+    """Where in each text strings of the anchors of very many segments are the first of their kind."""
+    strings = touched.where(F.exists("marks", lambda m: m["many"])).mapInArrow(
+        fold_strings, "high bigint, low bigint, id bigint, start bigint, tid bigint"
+    )
+    strings = strings.repartition("high", "low")  # read twice, shuffled once
+    least = strings.groupBy("high", "low").agg(F.min(F.struct("id", "start", "tid")).alias("least"))
+    first = (F.col("id") == F.col("least.id")) & (F.col("start") == F.col("least.start"))
+    firsts = strings.join(least, ["high", "low"]).where(first)
+    return firsts.groupBy("id", "tid").agg(F.collect_list("start").alias("firsts"))
+
+
 def cut(documents: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     """The rows with their ``id`` and ``tid``, and what is left of each text that repeats something.
 
@@ -378,35 +425,40 @@ def cut(documents: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     dealt = found.repartition("anchor").sortWithinPartitions("anchor", "hash", shape, "id", "spot")
     sifted = stored(dealt.mapInArrow(sift_segments, SIFTED))
     many = sifted.where("open").groupBy("anchor").agg(F.count("*").alias("held"))
-    many = many.where(F.col("held") > SHARD_SEGMENTS)
-    strings = F.col("held") * (LENGTH - GRAM + 1)  # at most
-    many = many.select("anchor", F.ceil(strings / SHARD_SEGMENTS).alias("parts"))
-    parted = sifted.join(many, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    many = stored(many.where(F.col("held") > SHARD_SEGMENTS).select("anchor", F.lit(True).alias("many")))
+    parted = sifted.join(many, "anchor", "left")
+    parted = parted.withColumn("many", F.col("open") & F.coalesce("many", F.lit(False)))
     marks = parted.groupBy("id", "tid").agg(
-        F.collect_list(F.struct("anchor", "spot", "open", "parts")).alias("marks")
+        F.collect_list(F.struct("anchor", "spot", "open", "many")).alias("marks")
     )
     same = ["id", "tid"]
-    # read twice below, but shuffled once: both times in the same way
+    # read more than once below, but shuffled once: every time in the same way
     touched = texts.join(marks, same).dropDuplicates(same)
     pieces = touched.mapInArrow(
         cut_segments,
-        "anchor bigint, shard bigint, id bigint, tid bigint, start bigint, place bigint, n bigint, "
-        "bytes binary",
+        "anchor bigint, id bigint, tid bigint, start bigint, place bigint, n bigint, bytes binary",
     )
-    pieces = pieces.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard")
+    pieces = pieces.repartition("anchor").sortWithinPartitions("anchor")
     runs = pieces.mapInArrow(sort_shards, "id bigint, tid bigint, start bigint, n bigint")
     runs = runs.groupBy(*same).agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    marked = touched.join(runs, same, "left")
+    if many.isEmpty():
+        marked = marked.withColumn("firsts", F.lit(None).cast("array<bigint>"))
+    else:
+        marked = marked.join(first_strings(touched), same, "left")
 
     @tidy
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("id", "tid", "marks", "runs")]
-            for i, (row_id, tid, marks, runs) in enumerate(zip(*columns, strict=True)):
+            columns = [batch.column(c).to_pylist() for c in ("id", "tid", "marks", "runs", "firsts")]
+            for i, (row_id, tid, marks, runs, firsts) in enumerate(zip(*columns, strict=True)):
                 spots = np.array([m["spot"] for m in marks if not m["open"]], np.int64)
                 found = np.array([(r["start"], r["n"]) for r in runs or []], np.int64).reshape(-1, 2)
-                starts = np.concatenate([start_of(spots), found[:, 0]])
-                counts = np.concatenate([count_of(spots), found[:, 1]])
+                folded = [np.arange(count_of(m["spot"])) + start_of(m["spot"]) for m in marks if m["many"]]
+                folded = np.setdiff1d(np.concatenate(folded), firsts or []) if folded else spots[:0]
+                starts = np.concatenate([start_of(spots), found[:, 0], folded])
+                counts = np.concatenate([count_of(spots), found[:, 1], np.ones(len(folded), np.int64)])
                 data = batch.column("text")[i].as_buffer().to_pybytes()
                 fits = starts + LENGTH <= len(data)
                 if not fits.any():
@@ -425,7 +477,7 @@ def cut(documents: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
                 ["id", "tid", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    changed = touched.join(runs, same, "left").select("id", "tid", "text", "marks", "runs").mapInArrow(
+    changed = marked.select("id", "tid", "text", "marks", "runs", "firsts").mapInArrow(
         remove, "id bigint, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
     )
     return rows, changed
