@@ -93,3 +93,19 @@ def test_forward_backward_finds_the_gradient():
     small = M.train(n_pages=30, rounds=60)
     page, labels = labelled_page(3)
     assert sum(a != bool(b) for a, b in zip(small.label(blocks(page), {}), labels)) <= len(labels) * 0.1
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<p>" + "İ" * 40 + "</p><script>x</SCRIPT><p>one</p><p>two</p><p>three</p>", ["İ" * 40, "one", "two", "three"]),
+        ("<p>a</p><svg><path><p>b</p><svg><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><template><p>b</p>", ["a", "b"]),
+        ("<p>a <svg><text>n</text></svg>b</p><template><p>c</p></template>d", ["a b", "d"]),
+        ("<p>where <math><mi>x</mi></math> is</p><object data=f><p>no player</p></object>", ["where x is", "no player"]),
+        ("<p>a</p><math><mi>x<p>b</p><object><p>c</p>", ["a", "x", "b", "c"]),
+        ("<script>'</ſcript>'</script>a", ["a"]),
+    ],
+)
+def test_raw_elements_end_where_they_end(page, texts):
+    assert [b.text for b in blocks(page)] == texts

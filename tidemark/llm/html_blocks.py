@@ -9,8 +9,9 @@ from dataclasses import dataclass
 # Names of elements by what they do, from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(
-    "script style title textarea template noscript iframe noembed noframes xmp svg math object head".split()
+    "script style title textarea template noscript iframe noembed noframes xmp svg head".split()
 )
+NESTING = frozenset(("svg", "template"))  # raw only if they are closed; otherwise like any other element
 BLOCK = frozenset(
     """address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol
@@ -35,6 +36,7 @@ IMPLIED = {
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?")
+_RAW_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 _NAMES = re.compile(
     r"""(?:^|[\s"'])(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I
 )
@@ -118,7 +120,7 @@ def blocks(page: str) -> list[Block]:
             del stack[cut:]
 
     at, end = 0, len(page)
-    lower = None
+    unclosed: set[str] = set()
     while at < end:
         mark = page.find("<", at)
         if mark < 0:
@@ -155,18 +157,18 @@ def blocks(page: str) -> list[Block]:
                 flush()
             del stack[cut:]
             continue
-        if name in RAW and not tag.group(3).endswith("/"):
+        if name in RAW and name not in unclosed and not tag.group(3).endswith("/"):
             if name == "head":
                 # what a head may hold is skipped by itself
                 continue
-            if lower is None:
-                lower = page.lower()
-            stop = lower.find(f"</{name}", at)
-            if stop < 0:
+            closing = _RAW_END[name].search(page, at)
+            if closing is not None:
+                stop = page.find(">", closing.start())
+                at = end if stop < 0 else stop + 1
+                continue
+            if name not in NESTING:
                 break
-            stop = page.find(">", stop)
-            at = end if stop < 0 else stop + 1
-            continue
+            unclosed.add(name)
         if name in IMPLIED:
             close(*IMPLIED[name])
         if name in CLOSES_P:
