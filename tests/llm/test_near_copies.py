@@ -107,6 +107,19 @@ def test_one_document_of_each_group_stays(spark, odd):
     assert M.keep_one(named).columns == named.columns
 
 
+def test_texts_that_share_an_id_are_kept_apart(spark):
+    r = random.Random(8)
+    text = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(60))
+    copied, alone, other, twice = text(), text(), text(), text()
+    rows = [(1, copied, "a"), (5, copied + " end", "b"), (5, alone, "c"), (5, other, "d"), (7, None, "e"), (7, "", "f")]
+    rows += [(8, twice, "h"), (8, twice, "g"), (8, twice + " end", "i"), (None, copied, "j")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, `a.b` string").repartition(5)
+    kept = [tuple(r) for r in M.keep_one(frame).collect()]
+    assert M.keep_one(frame).schema.simpleString() == frame.schema.simpleString()
+    assert {c for _, _, c in kept} >= {"a", "c", "d", "j"} and not {"b", "h"} & {c for _, _, c in kept}
+    assert sorted(str(d) for d, _, _ in kept) == ["1", "5", "5", "7", "8", "None"]
+
+
 def test_odd_rows(odd, empty):
     assert found(odd) == plain([(r["doc_id"], r["text"]) for r in odd.collect()])
     assert M.near_duplicates(empty).count() == 0

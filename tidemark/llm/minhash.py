@@ -111,8 +111,11 @@ def nibbles(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(low << (4 * np.arange(16, dtype=np.uint64)), axis=2)
 
 
-def sketch(documents: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, a hash of the set (node) and a second one, band hashes and signature of each row."""
+def sketch(documents: DataFrame, n: int, *also: str) -> DataFrame:
+    """doc_id, n_shingles, a hash of the set (node) and a second one, band hashes and signature of each row.
+
+    Columns in ``also`` (bigint) are kept beside them.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         members, ends = shingles(batch.column("text"), n)
@@ -127,15 +130,15 @@ def sketch(documents: DataFrame, n: int) -> DataFrame:
             arrays.append(pa.FixedSizeListArray.from_arrays(values, x.shape[1]).cast(pa.list_(values.type)))
         hashes = [pa.array(set_hash(members, ends, salt)) for salt in SALTS]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(ends)), *hashes, *arrays],
-            ["doc_id", "n_shingles", "node", "check", "bands", "bits"],
+            [batch.column("doc_id"), pa.array(np.diff(ends)), *hashes, *arrays, *map(batch.column, also)],
+            ["doc_id", "n_shingles", "node", "check", "bands", "bits", *also],
         )
 
-    taken = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    taken = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *also)
     return taken.mapInArrow(
         by_batch(run),
         "doc_id bigint, n_shingles bigint, node bigint, check bigint, "
-        "bands array<int>, bits array<bigint>",
+        "bands array<int>, bits array<bigint>" + "".join(f", {c} bigint" for c in also),
     )
 
 
@@ -296,6 +299,12 @@ def near_duplicates(
     Documents are linked if 100 * shared shingles >= ``min_percent`` * shingles of either.
     """
     rows = stored(sketch(documents, shingle_words))
+    found = grouped(rows, documents, shingle_words, min_percent)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped(rows: DataFrame, documents: DataFrame, shingle_words: int, min_percent: int) -> DataFrame:
+    """The sketched rows with component_id and kept, and ``component``, which tells apart groups whose ids clash."""
     equal = ["node", "check", "n_shingles"]
     filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     heads = stored(filled.groupBy(*equal).agg(F.min("doc_id").alias("doc_id")))
@@ -355,22 +364,31 @@ def near_duplicates(
     named = heads.join(labels, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(least, "component").select(*equal, "component_id")
+    of_class = named.join(least, "component").select(*equal, "component", "component_id")
     found = rows.drop("bands", "bits").join(of_class, equal, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return found.select(
-        "doc_id", "n_shingles", own.alias("component_id"),
-        F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    kept = F.coalesce(own == F.col("doc_id"), F.lit(True))
+    return found.withColumn("kept", kept).withColumn("component_id", own)
 
 
-def keep_one(documents: DataFrame, **settings) -> DataFrame:
+def keep_one(
+    documents: DataFrame, shingle_words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT
+) -> DataFrame:
     """The documents that represent their group, with all their columns.
 
-    Of rows that share an id one is kept; rows without an id are all kept.
+    Of each group one row is kept. Rows that share an id and are linked with nothing are groups of their own,
+    but those without a word are one group by id. The kept row has the least id, then set, text and other
+    columns; rows without an id are all kept.
     """
-    kept = near_duplicates(documents, **settings).where("kept AND doc_id IS NOT NULL")
-    kept = kept.select("doc_id").distinct().alias("kept")
-    same = F.col("all.doc_id") == F.col("kept.doc_id")
-    named = documents.alias("all").join(kept, same).select("all.*")
-    return named.dropDuplicates(["doc_id"]).unionAll(documents.where("doc_id IS NULL"))
+    columns = F.struct(*(F.col(f"`{c}`") for c in documents.columns))
+    keyed = documents.select(columns.alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    keyed = keyed.withColumn("tid", F.xxhash64("text"))
+    found = grouped(stored(sketch(keyed, shingle_words, "tid")), documents, shingle_words, min_percent)
+    found = found.where("kept AND doc_id IS NOT NULL")
+    first = F.min(F.struct("node", "check", "n_shingles", "tid")).alias("first")
+    kept = found.groupBy("doc_id", "component").agg(first).select("doc_id", "first.tid")
+    # texts are equal here; maps and variants have no order
+    ordered = [c for c, kind in documents.dtypes if c != "text" and "map<" not in kind and "variant" not in kind]
+    least = F.min_by("row", F.struct(*(F.col("row").getField(c) for c in ordered))).alias("row")
+    whole = keyed.drop("text").join(kept, ["doc_id", "tid"]).groupBy("doc_id", "tid").agg(least)
+    return whole.select("row.*").unionAll(documents.where("doc_id IS NULL"))
