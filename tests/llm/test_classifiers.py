@@ -78,3 +78,11 @@ def test_importance_of_odd_rows(odd, empty):
     assert I.resample(empty, ratios).count() == 0
     nothing = I.log_ratios(np.zeros(I.BUCKETS), np.ones(I.BUCKETS))
     assert not nothing.any()
+
+
+@pytest.mark.parametrize("share, wanted", [(0.1, 12), (1.0, 30), (0.0, 0)])
+def test_clear_target_documents_count_whole_at_small_shares(spark, share, wanted):
+    clear = [(i, "some words of the target " * (1 if i else 5_000)) for i in range(10)]
+    frame = spark.createDataFrame(clear + [(i, "") for i in range(10, 30)], "doc_id bigint, text string")
+    drawn = I.resample(frame, np.ones(I.BUCKETS), share).collect()
+    assert sum(r["kept"] for r in drawn) == wanted

@@ -30,6 +30,7 @@ from tidemark.llm.rows import by_batch, labelled_sample, stored
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 20_000  # labelled documents that the target model is counted on, at most
 SMOOTHING = 200.0  # n-grams that a bucket must expect before its own counts outweigh the raw share
+MOST_EXPONENT = 700.0  # of a larger one, the importance would not be a finite double
 SEED = "resample"
 
 
@@ -147,6 +148,6 @@ def resample(
     keyed = scored.withColumn("key", F.col("log_importance") + gumbel(F.col("doc_id")))
     keyed = stored(keyed.withColumn("place", ordinal(F.col("key"))))
     if k is None:
-        chance = F.least(F.lit(1.0), share * F.exp(F.least(F.col("log_importance"), F.lit(1.0))))
+        chance = F.least(F.lit(1.0), share * F.exp(F.least(F.col("log_importance"), F.lit(MOST_EXPONENT))))
         k = round(keyed.agg(F.sum(chance)).first()[0] or 0)
     return keyed.withColumn("kept", largest(keyed, "place", k)).drop("place")
