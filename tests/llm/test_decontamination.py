@@ -1,0 +1,136 @@
+"""Benchmark decontamination against a plain search."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontamination as D
+from tidemark.llm import terms
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def windows(items, size):
+    found = set()
+    for item, text in items:
+        held = words(text)
+        n = min(size, len(held))
+        found |= {(item, tuple(held[k : k + n])) for k in range(len(held) - n + 1) if n}
+    return found
+
+
+def plainly(texts, items, size):
+    """n_words, n_hit and items of each text."""
+    result = []
+    for text in texts:
+        held, hit, found = words(text), set(), set()
+        for item, window in windows(items, size):
+            n = len(window)
+            for k in range(len(held) - n + 1):
+                if tuple(held[k : k + n]) == window:
+                    hit |= set(range(k, k + n))
+                    found |= {str(item)} - {"None"}
+        result.append((len(held), len(hit), sorted(found)))
+    return result
+
+
+def block_of(items):
+    items = [i for i in items if i[1] is not None]
+    columns = {"item_id": pa.array([i for i, _ in items], pa.int64()), "text": pa.array([t for _, t in items], pa.string())}
+    return pa.table(columns)
+
+
+TEXTS = st.lists(st.sampled_from(["Ab", "c", "é9", "zz.", "w1"]), max_size=25).map(" ".join)
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(st.one_of(TEXTS, st.none()), min_size=1, max_size=4),
+    st.lists(st.tuples(st.one_of(st.integers(1, 12), st.none()), TEXTS), min_size=1, max_size=4),
+    st.sampled_from([1, 2, 3, 10]),
+)
+def test_matches_are_those_of_a_plain_search(texts, items, size):
+    tests = D.suffixes_of(block_of(items), "item_id", size)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    found = D.matched(batch, tests)
+    rows = zip(*(found.column(c).to_pylist() for c in ("n_words", "n_hit", "items")), strict=True)
+    assert list(rows) == plainly(texts, items, size)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=80), st.integers(1, 40))
+def test_suffix_array_is_sorted(symbols, depth):
+    symbols = np.array([*symbols, 0])
+    at = np.flatnonzero(symbols)
+    order = D.suffix_array(symbols, D.packed(symbols, 31), 31, at, depth)
+    stretches = [tuple(symbols[p:][: int(np.argmin(symbols[p:] > 0))][:depth]) for p in order.tolist()]
+    assert sorted(order.tolist()) == at.tolist()
+    assert stretches == sorted(stretches)
+
+
+def test_longest_matches(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    texts = [(1, "x " + " ".join(f"w{i}" for i in range(5, 20)) + " y"), (2, " ".join(f"W{i}" for i in range(8, 30)))]
+    documents = spark.createDataFrame(texts, "doc_id int, text string")
+    benchmark = spark.createDataFrame([("a", item)], "item_id string, text string")
+    rows = {r["start"]: tuple(r) for r in D.longest_matches(documents, benchmark).collect()}
+    assert rows[5] == ("a", 5, 15, 1, 1)
+    assert rows[8] == ("a", 8, 22, 2, 0)
+    assert sorted(rows) == list(range(5, 21))
+
+
+def test_odd_rows(spark, odd, empty):
+    items = [(1, "same words here and there, again"), (2, None), (3, ""), (None, "one"), (4, "b b"), (1, "w5 W6"), (5, "x" * 30_000)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = odd.select("doc_id", "text").collect()
+    wanted = plainly([t for _, t in texts], items, 10)
+    found = D.matches(odd.withColumns({"items": F.lit(1), "spans": F.lit(2)}), benchmark).collect()
+    key = repr
+    got = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found]
+    assert sorted(got, key=key) == sorted([(d, *w) for (d, _), w in zip(texts, wanted, strict=True)], key=key)
+    by_id = {r["doc_id"]: r for r in found}
+    assert [tuple(s) for s in by_id[10]["spans"]] == [(0, 3)]
+    assert [tuple(s) for s in by_id[3]["spans"]] == [(0, 239)]
+    assert D.hit_counts(empty, benchmark).count() == 0
+    none = D.hit_counts(odd, benchmark.where("false")).collect()
+    assert len(none) == len(texts) and not any(r["contaminated"] or r["n_items"] for r in none)
+
+
+def test_clean_documents_keep_their_columns(spark, odd):
+    benchmark = spark.createDataFrame([(1, "one")], "item_id bigint, text string")
+    wide = odd.withColumns({"n_hit": F.lit("own"), "items": F.lit(3)})
+    kept = D.clean_documents(wide, benchmark)
+    assert kept.schema == wide.schema
+    assert kept.count() == wide.count() - 1 and kept.where("doc_id = 10").isEmpty()
+
+
+def test_blocks_give_the_same_rows(spark, documents, monkeypatch):
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    whole = D.matches(documents, benchmark).collect()
+    best = D.longest_matches(documents, benchmark).select("item_id", "start", "words").collect()
+    blocks = terms.blocks
+    monkeypatch.setattr(terms, "blocks", lambda rows, key: blocks(rows, key, 1500))
+    assert sorted(map(repr, D.matches(documents, benchmark).collect())) == sorted(map(repr, whole))
+    again = D.longest_matches(documents, benchmark).select("item_id", "start", "words").collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, best))
+    clean = D.clean_documents(documents, benchmark)
+    assert clean.count() == sum(r["n_hit"] == 0 for r in whole) < len(whole)
+
+
+@pytest.mark.parametrize("copies", [1, 400])
+def test_many_copies_of_one_item(copies):
+    r = random.Random(3)
+    item = " ".join(r.choice("abcdefgh") for _ in range(200))
+    tests = D.suffixes_of(block_of([(1, item)]), "item_id", 10)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([f"q {item} q"] * copies)})
+    assert D.matched(batch, tests).column("n_hit").to_pylist() == [200] * copies

@@ -24,12 +24,15 @@ COLUMNS = {
     8: "page_id url text n_chars",
     9: "doc_id start n_tokens ids_crc32",
     10: "doc_id n_shingles component_id kept",
+    11: "doc_id n_words n_hit n_items items_sha256 contaminated",
+    12: "item_id rank doc_id score",
+    13: "word form root n n_near form_n",
 }
 
 
 def test_there_is_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in Q.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("number", sorted(COLUMNS))

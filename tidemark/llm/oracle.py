@@ -92,5 +92,110 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id, c.compo
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN components c USING (doc_id)"""
 
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH documented AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+itemed AS (
+  SELECT item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         unnest(list_transform(range(1, greatest(len(w) - 8, 2)), lambda i: array_to_string(w[i:i + 9], ' '))) AS words
+  FROM itemed WHERE len(w) > 0),
+occurring AS (
+  SELECT d.row, d.place, v.n, v.item_id
+  FROM (SELECT row, n, unnest(range(1, len(w) - n + 2)) AS place,
+               unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS words
+        FROM documented, (SELECT DISTINCT n FROM windows)) d
+  JOIN windows v ON d.words = v.words AND d.n = v.n),
+hits AS (
+  SELECT row, count(DISTINCT place) AS n_hit
+  FROM (SELECT row, unnest(range(place, place + n)) AS place FROM (SELECT DISTINCT row, place, n FROM occurring)) GROUP BY row),
+found AS (
+  SELECT row, count(DISTINCT item_id) AS n_items,
+         sha256(coalesce(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR), '')) AS items_sha256
+  FROM occurring GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documented LEFT JOIN hits USING (row) LEFT JOIN found USING (row)"""
+
+OP12 = rf"""
+WITH listed AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+documented AS (SELECT row, doc_id, w, len(w)::BIGINT AS n FROM listed WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS all_documents, sum(n)::BIGINT AS all_terms FROM documented),
+posted AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(w) AS term FROM documented) GROUP BY row, term),
+weighted AS (
+  SELECT term, floor(1000 * ln((2 * all_documents + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM posted, totals GROUP BY term, all_documents),
+queried AS (
+  SELECT DISTINCT item_id,
+         unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT q.item_id, d.row, d.doc_id,
+         sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * d.n * all_documents) // all_terms))))::BIGINT
+           AS score
+  FROM queried q JOIN posted p ON q.term = p.term JOIN weighted t ON t.term = p.term
+  JOIN documented d ON d.row = p.row, totals
+  GROUP BY q.item_id, d.row, d.doc_id)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 10"""
+
+# The table of a byte's crc32 steps is built by its rule; a slip is a run whose crc32 199 divides.
+OP13 = r"""
+WITH RECURSIVE steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 1, 1, 1, 1, 1, 1, 1, 1],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+coded AS (
+  SELECT doc_id, run, n, hex(encode(doc_id::VARCHAR || ':' || run)) AS code FROM counted WHERE len(run) >= 6),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(1, len(code), 2), lambda i: ('0x' || substr(code, i, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295::BIGINT) AS h
+  FROM coded, steps),
+slipped AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % len(run))::INT) || substr(run, (h % len(run))::INT + 2)
+              ELSE run END AS word, n FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holed AS (
+  SELECT word, n, i, len(word) AS size, substr(word, 1, i) AS head, substr(word, i + 2) AS tail
+  FROM (SELECT word, n, unnest(range(len(word)))::INT AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM holed a JOIN holed b
+    ON a.i = b.i AND a.size = b.size AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT h.word, w.word FROM holed h JOIN words w ON w.word = h.head || h.tail
+  UNION SELECT w.word, h.word FROM holed h JOIN words w ON w.word = h.head || h.tail),
+best AS (
+  SELECT a AS word, count(*) AS n_near, arg_min(b, ROW(-y.n, b)) AS form, max(y.n) AS form_n
+  FROM near JOIN words y ON y.word = near.b GROUP BY a),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+led(word, root, depth) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT l.word, f.form, depth + 1 FROM led l JOIN formed f ON f.word = l.root WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(root, depth) AS root FROM led GROUP BY word)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM formed JOIN ends USING (word)"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_mix": OP1, "op10_minhash": OP10}
+    return {
+        "op1_mix": OP1,
+        "op10_minhash": OP10,
+        "op11_decontamination": OP11,
+        "op12_ranked_search": OP12,
+        "op13_spelling": OP13,
+    }

@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    decontamination,
     fingerprints,
     main_text,
     minhash,
     mixing,
     quality_rules,
+    ranked_search,
     repeats,
     resampling,
     segmentation,
+    spelling,
     token_files,
     toxicity,
 )
@@ -95,6 +98,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.hit_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = {
         "op1_mix": op1_mix,
@@ -107,5 +122,8 @@ def queries() -> dict[str, Query]:
         "op8_main_text": op8_main_text,
         "op9_token_files": op9_token_files,
         "op10_minhash": op10_minhash,
+        "op11_decontamination": op11_decontamination,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_spelling": op13_spelling,
     }
     return {name: shipped(query) for name, query in found.items()}
