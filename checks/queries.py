@@ -166,9 +166,8 @@ def feature_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probe the last target of each symbol and part, where it is of the probed name."""
     found = targets(spark, sf_dir)
     listed = found.groupBy("symbol", "part_name").agg(F.max("time_open").alias("time_open"))
-    return P.feature_probe(
-        found, X.bars(spark, sf_dir), X.GRID, listed.select("symbol", "time_open")
-    )
+    cases = listed.select("symbol", "time_open")
+    return P.feature_probe(found, X.bars(spark, sf_dir), X.GRID, cases, stored=False)
 
 
 def backtest_report(spark: SparkSession, sf_dir: str) -> DataFrame:

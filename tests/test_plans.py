@@ -1,10 +1,12 @@
 """What the plans must keep: few shuffles, pruned scans, bounded groups, no dependence on settings."""
 
 import re
-from datetime import date
+from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import fixture as X
 from checks import queries as Q
@@ -66,14 +68,14 @@ def test_report_reads_and_shuffles_targets_and_bars_once(stored):
     text = plan(gains)
     assert text.count("FileScan parquet") == 2 and len(shuffles(gains)) == 2
     assert "Window" not in text and text.count("Join") == 1
-    expansion = text.index("Generate explode(targets")
+    expansion = text.index("Generate explode(transform")
     assert "Sort" not in text[:expansion] and "Exchange" not in text[:expansion]
 
 
 def test_dense_rows_are_not_shuffled(stored):
     bars, found = stored
     text = plan(C.with_entry(C.dense_around(found, bars, X.GRID, X.BEFORE, X.AFTER)))
-    expansion = text.index("Generate explode(concat")
+    expansion = text.index("Generate explode(transform")
     assert "Exchange" not in text[:expansion] and text.count("FileScan parquet") == 2
 
 
@@ -86,6 +88,74 @@ def test_probe_reads_the_parts_of_its_cases(spark, stored):
     assert "dynamicpruning" in scan.lower()
 
 
+@pytest.fixture
+def small_row_groups(spark):
+    """Files of many row groups, and plans as they are made, so that scans can be asked what they read."""
+    conf, adaptive = spark.sparkContext._jsc.hadoopConfiguration(), spark.conf.get("spark.sql.adaptive.enabled")
+    conf.set("parquet.block.size", "1000")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    conf.unset("parquet.block.size")
+
+
+def rows_read(df, column):
+    """The result, and how many rows the scans with this column have read."""
+    rows = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    scans = [x for x in scans if "FileScan parquet" in x.toString() and column in x.schema().simpleString()]
+    return rows, sum(x.metrics().get("numOutputRows").get().value() for x in scans)
+
+
+def test_probe_reads_few_row_groups(spark, tmp_path, small_row_groups):
+    """Of stored bars, a probe of two listed cases reads the row groups that may hold their symbols."""
+    folder = SF_DIR.replace("sf0.001", "sf0.01")
+    first, last = X.part_range(spark, folder)
+    path = str(tmp_path / "bars")
+    replace_parts(X.bars(spark, folder), path, first, last, S.BARS, ["symbol", "time_open"], "date")
+    groups = sum(pq.read_metadata(f).num_row_groups for f in tmp_path.rglob("*.parquet"))
+    bars = read_table(spark, path, S.BARS)
+    assert groups > bars.count() / 150
+    found = spark.createDataFrame(stored_targets(bars).collect(), S.TARGETS)
+    chosen = found.where("target_name = 'price_increase_1'").orderBy("time_open", "symbol").limit(2)
+    cases = [tuple(r) for r in chosen.select("symbol", "time_open").collect()]
+    rows, read = rows_read(P.feature_probe(found, bars, X.GRID, cases), S.COINS)
+    frame = spark.createDataFrame(cases, "symbol string, time_open timestamp_ntz")
+    assert sorted(rows) == sorted(P.feature_probe(found, bars, X.GRID, frame).collect())
+    parts = {X.GRID.part_of(t) for _, t in cases} | {X.GRID.part_of(t) - timedelta(days=364) for _, t in cases}
+    assert len(rows) == 2 and 0 < read <= bars.where(F.col("date").isin(sorted(parts))).count() / 4
+
+
+def test_a_list_of_many_cases_is_looked_up(spark, stored, monkeypatch):
+    bars, found = stored
+    cases = [tuple(r) for r in found.select("symbol", "time_open").limit(30).collect()]
+    whole = sorted(P.feature_probe(found, bars, X.GRID, cases).collect())
+    monkeypatch.setattr(P, "LITERAL_CASES", 5)
+    assert sorted(P.feature_probe(found, bars, X.GRID, cases).collect()) == whole
+
+
+def test_parts_have_names_outside_of_frames(spark):
+    times = [datetime(1990, 5, 6, 7), datetime(1995, 1, 2), datetime(2001, 12, 31, 23)]
+    rows = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    named = rows.select(X.GRID.part(X.GRID.number(F.col("t")))).collect()
+    assert [r[0] for r in named] == [X.GRID.part_of(t) for t in times]
+
+
+def test_key_texts_have_bloom_filters(spark, tmp_path):
+    symbol = F.md5(F.col("id").cast("string")).alias("symbol")
+    rows = spark.range(40_000).select(symbol, F.lit(date(1996, 1, 1)).alias("date"))
+    schema = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("date", T.DateType())])
+    replace_parts(rows, str(tmp_path / "t"), date(1996, 1, 1), date(1996, 1, 1), schema, ["symbol"], "date")
+    hadoop = spark._jvm.org.apache.parquet.hadoop
+    for file in (tmp_path / "t").rglob("*.parquet"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(str(file))
+        opened = hadoop.util.HadoopInputFile.fromPath(place, spark.sparkContext._jsc.hadoopConfiguration())
+        columns = hadoop.ParquetFileReader.open(opened).getFooter().getBlocks().get(0).getColumns()
+        named = {columns.get(i).getPath().toDotString(): columns.get(i) for i in range(columns.size())}
+        assert named["symbol"].getBloomFilterOffset() > 0
+
+
 def test_fixture_bars_aggregate_by_hash(spark):
     assert "SortAggregate" not in plan(X.bars(spark, SF_DIR))
 

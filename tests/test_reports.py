@@ -1,6 +1,10 @@
+import math
+import random
+import struct
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixture as X
@@ -8,9 +12,10 @@ from checks import queries as Q
 from tests.conftest import DAY
 from tidemark import schemas as S
 from tidemark.operators import cases as C
-from tidemark.functions.numbers import exact_sum
+from tidemark.functions.numbers import exact_sum, running_sum, sum_between
 from tidemark.operators import features as E
 from tidemark.operators.rows import latest_version
+from tidemark.operators.targets import growth
 from tidemark.plans import training as P
 
 
@@ -157,6 +162,61 @@ def test_sums_have_no_limits(spark, ansi, usd, total):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+MIXES = [
+    [3e20, 1e-12, 0.1, -3e20, 7e-20, 2.5],
+    [1e27, 1e-28, 1.0, 1e-9, 0.3, 0.7, -1e27],
+    [0.1] * 7 + [1e-10] * 5 + [123456789.123456789] * 3,
+]
+
+
+def bits(rows):
+    return {struct.pack("d", r[0]) for r in rows}
+
+
+@pytest.mark.parametrize("values", MIXES)
+def test_sums_do_not_depend_on_the_order_of_rows(spark, values):
+    found = []
+    for seed in range(6):
+        shuffled = random.Random(seed).sample(values, len(values))
+        rows = spark.createDataFrame([(x,) for x in shuffled], "x double").repartition(seed + 1)
+        found += rows.agg(exact_sum(F.col("x"))).collect()
+    assert len(bits(found)) == 1
+    assert found[0][0] == pytest.approx(math.fsum(values), rel=1e-12)
+
+
+@pytest.mark.parametrize("values", [*MIXES, [None, 0.5, None, None, 0.25, 1e28, 2.0, float("inf"), 1.0, 1.0, 1.0, None]])
+def test_running_sums_are_the_sums_of_frames(spark, values):
+    held = [x for x in values]
+    rows = spark.createDataFrame(list(enumerate(held)), "i int, x double")
+    way = Window.orderBy("i")
+    rows = rows.withColumn("run", running_sum(F.col("x"), way))
+    for start, end in ((0, 0), (0, 3), (1, 4), (2, 20)):
+        before, upto = (F.lag("run", k).over(way) for k in (end + 1, start))
+        got = [r[0] for r in rows.orderBy("i").select(sum_between(before, upto)).collect()]
+        for i, value in enumerate(got):
+            frame = [x for x in held[max(0, i - end) : max(0, i - start + 1)] if x is not None]
+            if any(abs(x) >= 1e28 for x in frame):
+                assert math.isnan(value)
+            elif frame:
+                one = spark.createDataFrame([(x,) for x in frame], "x double").agg(exact_sum(F.col("x"))).first()[0]
+                assert struct.pack("d", value) == struct.pack("d", one)
+            else:
+                assert value is None
+
+
+def test_growth_over_a_wide_frame(make_bars, grid):
+    """The frame's average price, also where some volumes have many decimals and a bar traded nothing."""
+    prices = [100.0 + m % 7 for m in range(330)]
+    coins = [0.0 if m == 100 else 1e-9 * m if m % 50 == 0 else 10.0 + m / 8 for m in range(330)]
+    bars = make_bars([("A", m, p, p, p, c) for m, (p, c) in enumerate(zip(prices, coins, strict=True))])
+    found = {r["time_open"]: r["growth"] for r in growth(bars, grid, 3, 300).collect()}
+    for m in range(300, 330):
+        usd = math.fsum(prices[k] * coins[k] for k in range(m - 300, m - 2))
+        ratio = prices[m] / (usd / math.fsum(coins[m - 300 : m - 2])) if coins[m] else None
+        wanted = ratio and math.floor(ratio * 1000) / 1000
+        assert found[DAY + timedelta(minutes=m)] == wanted
+
+
 def test_latest_version_of_rows_with_maps(spark):
     rows = spark.createDataFrame(
         [("a", 1, {"x": 1}), ("a", 2, {"y": 2}), ("b", 1, None)], "k string, v int, m map<string,int>"

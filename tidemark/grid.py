@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, time, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,3 +52,8 @@ class Grid:
     def position(self, number: Column) -> Column:
         """Place of a bar inside its part, from 0."""
         return F.pmod(number, F.lit(self.bars_per_part))
+
+    def part_of(self, time: datetime) -> date:
+        """Name of the part that holds a moment, outside of any frame."""
+        days = (time.date() - self.origin.date()).days
+        return self.origin.date() + timedelta(days=days // self.part_days * self.part_days)

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.functions.prices import avg_price, phase
@@ -142,7 +143,7 @@ def around(
     )
 
 
-def bars_of_parts(
+def bars_by_number(
     bars: DataFrame,
     grid: Grid,
     back: int,
@@ -150,12 +151,28 @@ def bars_of_parts(
     first: date | None = None,
     last: date | None = None,
 ) -> DataFrame:
-    """One row per (symbol, part_name) with ``bars``, a list of bar_no and ``values`` of the bars it sees.
+    """One row per (symbol, part_name) with ``first_no`` and ``bars``, which has an entry for each bar number.
 
-    A list never exceeds one part and its lead-in.
+    Entry i holds ``values`` of bar ``first_no + i``, and is NULL where that bar is missing, so any bar is read
+    by its place. A list never exceeds one part and its lead-in.
     """
-    held = F.collect_list(F.struct("bar_no", *values)).alias("bars")
-    return by_part(bars, grid, back, first, last).groupBy("symbol", "part_name").agg(held)
+    held = F.sort_array(F.collect_list(F.struct("bar_no", *values))).alias("held")
+    listed = by_part(bars, grid, back, first, last).groupBy("symbol", "part_name").agg(held)
+    entry = T.StructType([bars.schema[c] for c in values])
+
+    def with_gap(bar: Column, place: Column) -> Column:
+        following = F.get("held", place + 1)["bar_no"]
+        steps = F.coalesce(following - bar["bar_no"], F.lit(1)).cast("int")
+        own = F.struct(*[bar[c].alias(c) for c in values])
+        missing = F.array_repeat(F.lit(None).cast(entry), steps - 1)
+        return F.concat(F.array_repeat(own, F.least(steps, F.lit(1))), missing)
+
+    return listed.select(
+        "symbol",
+        "part_name",
+        F.get("held", F.lit(0))["bar_no"].alias("first_no"),
+        F.flatten(F.transform("held", with_gap)).alias("bars"),
+    )
 
 
 def dense_around(
@@ -169,33 +186,43 @@ def dense_around(
 ) -> DataFrame:
     """Like ``around``, with a row of zeros wherever a bar is missing.
 
-    Cases meet the list of bars of their (symbol, part), once; the rows they expand into stay where they
-    are.
+    The cases of a (symbol, part) are listed by their time and meet the bars of it, once; bars are read by
+    their place, once for all cases of a time, and the rows they expand into stay where they are.
     """
     kept = [c for c in BAR_VALUES if c in bars.columns]
-    lists = bars_of_parts(bars, grid, before, kept, first, last)
-    zero = {c: F.lit(0).cast(bars.schema[c].dataType) for c in kept}
-    number = grid.number(F.col("target_timestamp"))
-    near = F.filter("bars", lambda b: (b["bar_no"] - F.col("target_no")).between(-before, after))
-    found = F.transform(
-        F.coalesce(near, F.array().cast(lists.schema["bars"].dataType)),
-        lambda b: F.struct(
-            (b["bar_no"] - F.col("target_no")).cast("int").alias("offset"),
-            *[F.coalesce(b[c], zero[c]).alias(c) for c in kept],
-        ),
+    lists = bars_by_number(bars, grid, before, kept, first, last)
+    listed = cases.withColumnsRenamed({"time_open": "target_timestamp", "value": "target_value"})
+    rest = [c for c in listed.columns if c not in ("symbol", "part_name", "target_timestamp")]
+    number = grid.number(F.col("target_timestamp")).alias("target_no")
+    moment = F.struct("target_timestamp", number, "held")
+    moments = (
+        listed.repartition("symbol", "part_name")
+        .groupBy("symbol", "part_name", "target_timestamp")
+        .agg(F.collect_list(F.struct(*rest)).alias("held"))
+        .groupBy("symbol", "part_name")
+        .agg(F.collect_list(moment).alias("moments"))
     )
     offsets = F.sequence(F.lit(-before), F.lit(after))
-    missing = F.transform(
-        F.array_except(offsets, F.transform("found", lambda r: r["offset"])),
-        lambda o: F.struct(o.alias("offset"), *[zero[c].alias(c) for c in kept]),
-    )
-    listed = cases.withColumnsRenamed({"time_open": "target_timestamp", "value": "target_value"})
+
+    def with_bars(m: Column) -> Column:
+        place = (m["target_no"] - F.col("first_no")).cast("int")
+        near = F.transform(offsets, lambda o: F.get("bars", place + o))
+        return F.struct(m["target_timestamp"].alias("target_timestamp"), m["held"].alias("held"), near.alias("near"))
+
+    zero = {c: F.lit(0).cast(bars.schema[c].dataType) for c in kept}
     rows = (
-        listed.withColumn("target_no", number)
-        .join(lists.hint("merge"), ["symbol", "part_name"], "left")
-        .withColumn("found", found)
-        .select(*listed.columns, F.explode(F.concat("found", missing)).alias("row"))
-        .select(*listed.columns, "row.*")
+        moments.join(lists.hint("merge"), ["symbol", "part_name"], "left")
+        .select("symbol", "part_name", F.explode(F.transform("moments", with_bars)).alias("m"))
+        .select("symbol", "part_name", "m.target_timestamp", "m.held", F.posexplode("m.near").alias("place", "bar"))
+        .select(
+            "symbol",
+            "part_name",
+            "target_timestamp",
+            (F.col("place") - before).alias("offset"),
+            *[F.coalesce(F.col("bar")[c], zero[c]).alias(c) for c in kept],
+            F.explode("held").alias("case"),
+        )
+        .select("*", "case.*")
     )
     timestamp = F.col("target_timestamp") + F.lit(grid.bar) * F.col("offset")
     return rows.withColumns(

@@ -106,7 +106,7 @@ def first_outcome_column(
 def last_outcome_of(
     bars: Column,
     entry: Column,
-    last_offset: int,
+    at_end: Column,
     exit_price: str = S.LOW,
     stop_ratio: float = STOP_RATIO,
     stop_value: float = STOP_VALUE,
@@ -114,25 +114,24 @@ def last_outcome_of(
     profit_value: float = PROFIT_VALUE,
     fee: float = FEE,
 ) -> Column:
-    """As ``first_outcome_column`` with order ``desc``, of a list of the aftermath's bars.
+    """As ``first_outcome_column`` with order ``desc``, of a list of the aftermath's bars in time order.
 
-    Each bar has its offset, low, average and high price, and the exit price. Missing bars need no entry.
+    Each bar has its low, average and high price; missing bars are NULL. ``at_end`` is the bar at which the
+    walk ends, with the exit price. The list is folded from its front, where later bars overrule earlier ones.
     """
-    low, avg, high = (lambda b, c=c: b[c] for c in (S.LOW, S.AVG, S.HIGH))
-    full = F.filter(bars, lambda b: (low(b) != 0) & (avg(b) != 0))
-    events = F.transform(
-        full,
-        lambda b: F.struct(
-            b["offset"],
-            F.when(low(b) <= entry * stop_ratio, F.lit(stop_value))
-            .when((high(b) + avg(b)) / 2 >= entry * profit_ratio, F.lit(profit_value))
-            .alias("event"),
-        ),
-    )
-    hits = F.filter(events, lambda e: e["event"].isNotNull())
-    at_end = F.get(F.filter(full, lambda b: b["offset"] == last_offset), F.lit(0))
-    closing = F.try_divide(at_end[exit_price] * (1 - fee) * 100, entry) - 100
-    return half_even(F.coalesce(F.array_max(hits)["event"], closing, F.lit(0.0)), 3)
+
+    def full(bar: Column) -> Column:
+        return (bar[S.LOW] != 0) & (bar[S.AVG] != 0)
+
+    def event(decided: Column, bar: Column) -> Column:
+        stopped = full(bar) & (bar[S.LOW] <= entry * stop_ratio)
+        won = full(bar) & ((bar[S.HIGH] + bar[S.AVG]) / 2 >= entry * profit_ratio)
+        return F.when(stopped, F.lit(stop_value)).when(won, F.lit(profit_value)).otherwise(decided)
+
+    events = F.aggregate(bars, F.lit(None).cast("double"), event)
+    price = F.when(full(at_end), at_end[exit_price])
+    closing = F.try_divide(price * (1 - fee) * 100, entry) - 100
+    return half_even(F.coalesce(events, closing, F.lit(0.0)), 3)
 
 
 def first_outcome(rows: DataFrame, **settings) -> DataFrame:

@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.numbers import divide, exact_sum, floor_thousandths
+from tidemark.functions.numbers import divide, floor_thousandths, running_sum, sum_between
 from tidemark.grid import Grid
 from tidemark.operators.bars import by_part, full_lookback, part_window
 from tidemark.operators.rows import dedupe_max, first_per_bucket
 
 HORIZONS = range(1, 21)
 NAME = "price_increase_{}"
+VOLUMES = (S.USD, S.COINS)
 
 
 Horizon = int | tuple[int, int]
@@ -29,11 +30,27 @@ def frame_of(horizon: Horizon) -> tuple[str, tuple[int, int]]:
     return (NAME.format(start) if start == end else f"{NAME.format(start)}_to_{end}"), (start, end)
 
 
-def _earlier_price(start: int, end: int) -> Column:
-    if start == end:
-        return F.lag("price", start).over(part_window())
-    frame = part_window().rowsBetween(-end, -start)
-    return divide(exact_sum(F.col(S.USD), frame), exact_sum(F.col(S.COINS), frame))
+def _with_frame_prices(rows: DataFrame, frames: dict[str, tuple[int, int]]) -> DataFrame:
+    """A part's own bars with the average price of each frame of several rows, from differences of running sums.
+
+    Totals are columns of their own, so that each is worked out once.
+    """
+    wide = {name: frame for name, frame in frames.items() if frame[0] < frame[1]}
+    own = F.col("date") == F.col("part_name")
+    if not wide:
+        return rows.where(own)
+    rows = rows.withColumns({f"{c}_sums": running_sum(F.col(c), part_window()) for c in VOLUMES})
+    ends = {k for start, end in wide.values() for k in (start, end + 1)}
+    rows = rows.withColumns(
+        {f"{c}_{k}": F.lag(f"{c}_sums", k).over(part_window()) for c in VOLUMES for k in sorted(ends)}
+    )
+    totals = {
+        f"{name}_{c}": sum_between(F.col(f"{c}_{end + 1}"), F.col(f"{c}_{start}"))
+        for name, (start, end) in wide.items()
+        for c in VOLUMES
+    }
+    rows = rows.where(own).withColumns(totals)
+    return rows.withColumns({n: divide(*(F.col(f"{n}_{c}") for c in VOLUMES)) for n in wide})
 
 
 def _with_earlier(
@@ -44,17 +61,18 @@ def _with_earlier(
     first: date | None = None,
     last: date | None = None,
 ) -> DataFrame:
-    """Add each bar's price and one earlier price per frame, all under one window and one sort."""
+    """Add each bar's price and one earlier price per frame, all under one window and one sort.
+
+    A frame's sums are differences of running sums, whatever its width.
+    """
     for start, end in frames.values():
         if not 0 <= start <= end <= lookback:
             raise ValueError(f"rows {end}..{start} back must lie within the lookback of {lookback}")
-    return (
-        by_part(bars, grid, lookback, first, last)
-        .withColumn("price", divide(F.col(S.USD), F.col(S.COINS)))
-        .withColumns({name: _earlier_price(*frame) for name, frame in frames.items()})
-        .withColumn("is_full_lookback", full_lookback(lookback))
-        .where(F.col("date") == F.col("part_name"))
-    )
+    rows = by_part(bars, grid, lookback, first, last)
+    rows = rows.withColumn("price", divide(F.col(S.USD), F.col(S.COINS)))
+    single = {n: F.lag("price", start).over(part_window()) for n, (start, end) in frames.items() if start == end}
+    flag = {"is_full_lookback": full_lookback(lookback)}
+    return _with_frame_prices(rows.withColumns(single | flag), frames)
 
 
 def _growth(earlier: str) -> Column:

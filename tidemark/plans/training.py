@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from tidemark.operators.cases import (
     FEE,
     NAMES,
     around,
-    bars_of_parts,
+    bars_by_number,
     case_key,
     case_window,
     dense_around,
@@ -40,6 +40,8 @@ from tidemark.operators.features import (
     step_column,
 )
 
+LITERAL_CASES = 1000  # listed pairs that are turned into literal filters
+
 
 def training_set(
     targets: DataFrame,
@@ -97,23 +99,39 @@ def feature_probe(
     targets: DataFrame,
     bars: DataFrame,
     grid: Grid,
-    cases: DataFrame,
+    cases: DataFrame | Iterable[tuple[str, datetime]],
     name: str = "price_increase_1",
     first: date | None = None,
     last: date | None = None,
     before: int = 6,
     after: int = 3,
+    stored: bool = True,
 ) -> DataFrame:
     """The three step sums, against the previous bar, of listed (symbol, time_open) pairs.
 
-    ``cases`` is a frame; whether it is broadcast is left to its size. Only the parts that the cases see
-    are read of the bars, and of those only their symbols.
+    ``cases`` is a frame, or a list of pairs; whether a frame is broadcast is left to its size. Of ``stored`` bars, only the
+    parts and symbols that the cases see are read: those of a list of up to ``LITERAL_CASES`` pairs are literals
+    that reach the files' statistics and bloom filters, others are looked up in a join. Turn ``stored``
+    off where bars are worked out from something else, and looking the cases up first costs more than it spares.
     """
+    if not isinstance(cases, DataFrame):
+        pairs = list(dict.fromkeys(cases))
+        kind = targets.schema["time_open"].dataType.simpleString()
+        cases = bars.sparkSession.createDataFrame(pairs, f"symbol string, time_open {kind}")
+        if len(pairs) <= LITERAL_CASES:
+            stored = False
+            symbols = sorted({symbol for symbol, _ in pairs})
+            own = {grid.part_of(time) for _, time in pairs}
+            seen = own | {part - timedelta(days=grid.part_days) for part in own}
+            targets = targets.where(F.col("symbol").isin(symbols) & F.col("part_name").isin(sorted(own)))
+            bars = bars.where(F.col("symbol").isin(symbols) & F.col("date").isin(sorted(seen)))
     listed = of_parts(targets, [name], first, last).join(
         cases, ["symbol", "time_open"], "left_semi"
     )
-    seen = F.explode(F.array("part_name", F.date_sub("part_name", grid.part_days)))
-    bars = bars.join(listed.select("symbol", seen.alias("date")).distinct(), ["symbol", "date"], "left_semi")
+    if stored:
+        seen = F.explode(F.array("part_name", F.date_sub("part_name", grid.part_days)))
+        keys = listed.select("symbol", seen.alias("date")).distinct()
+        bars = bars.join(keys, ["symbol", "date"], "left_semi")
     rows = dense_around(listed, bars, grid, before, after, first, last)
     steps = step_change_pct(rows, "desc")
     return (
@@ -137,39 +155,54 @@ def case_gains(
 ) -> DataFrame:
     """What each target would have gained, walking back from the end of its case.
 
-    Only the bars after the target matter here. The targets of a (symbol, part) are listed in one row,
-    equal versions once, and so are its bars; both are shuffled once and nothing is expanded but the
-    targets. Missing bars count as empty bars, which decide nothing; a case without any bars gains 0. A
-    missing entry price counts as 0, which every bar exceeds: such a case scores as a profit, unless
-    ``keep_missing_entry`` is off and it is left out.
+    Only the bars after the target matter here. The targets of a (symbol, part) are listed in one row, by
+    their times, and its bars in another, with an entry for each bar number; both are shuffled once. A time's
+    walk reads its bars by their place and is done once for all targets of that time, equal versions of
+    which count once; nothing is expanded but the results. Missing bars count as empty bars, which decide
+    nothing; a case without any bars gains 0. A missing entry price counts as 0, which every bar exceeds: such a case
+    scores as a profit, unless ``keep_missing_entry`` is off and it is left out.
     """
     chosen = of_parts(targets, None, first, last)
-    target = F.struct("time_open", "target_name", F.col("value").alias("target_value"))
-    listed = chosen.groupBy("symbol", "part_name").agg(F.collect_set(target).alias("targets"))
-    prices = bars.withColumn(S.AVG, avg_price())
-    held = bars_of_parts(prices, grid, 0, [S.LOW, S.AVG, S.HIGH], first, last)
-    no = grid.number(F.col("target_timestamp"))
-    bars_after = F.filter("bars", lambda b: (b["bar_no"] - F.col("target_no")).between(1, max(after, 1)))
-    entry = F.get(F.filter("near", lambda b: b["bar_no"] == F.col("target_no") + 1), F.lit(0))
-    aftermath = F.transform(
-        F.filter("near", lambda b: (b["bar_no"] - F.col("target_no")).between(2, after)),
-        lambda b: F.struct((b["bar_no"] - F.col("target_no")).alias("offset"), b[S.LOW], b[S.AVG], b[S.HIGH]),
-    )
-    gain = last_outcome_of(
-        aftermath, F.col("price_in"), 2, stop_ratio=stop_ratio, profit_ratio=profit_ratio, fee=fee
+    target = F.struct("target_name", F.col("value").alias("target_value"))
+    moment = F.struct("time_open", grid.number(F.col("time_open")).alias("target_no"), "targets")
+    listed = (
+        chosen.repartition("symbol", "part_name")
+        .groupBy("symbol", "part_name", "time_open")
+        .agg(F.collect_set(target).alias("targets"))
+        .groupBy("symbol", "part_name")
+        .agg(F.collect_list(moment).alias("moments"))
     )
+    prices = bars.withColumn(S.AVG, avg_price())
+    held = bars_by_number(prices, grid, 0, [S.LOW, S.AVG, S.HIGH], first, last)
+
+    def entered(m: Column) -> Column:
+        place = (m["target_no"] - F.col("first_no")).cast("int")
+        price_in = F.coalesce(F.get("bars", place + 1)[S.AVG], F.lit(0.0)) * (1 + fee)
+        fields = [m[c].alias(c) for c in ("time_open", "targets")]
+        return F.struct(*fields, place.alias("place"), price_in.alias("price_in"))
+
+    def walked(m: Column) -> Column:
+        start = m["place"] + 3  # counted from 1, the second bar after the target
+        seen = F.greatest(start, F.lit(1))
+        near = F.slice("bars", seen, F.greatest(start + (after - 1) - seen, F.lit(0)))
+        at_end = F.get("bars", F.when(F.lit(after >= 2), m["place"] + 2))
+        gain = last_outcome_of(
+            near, m["price_in"], at_end, stop_ratio=stop_ratio, profit_ratio=profit_ratio, fee=fee
+        )
+        fields = [m[c].alias(c) for c in ("time_open", "targets", "price_in")]
+        return F.struct(*fields, gain.alias(S.GAIN))
+
     gains = (
         listed.join(held.hint("merge"), ["symbol", "part_name"], "left")
-        .select("symbol", "part_name", "bars", F.explode("targets").alias("target"))
+        .select("symbol", "part_name", F.explode(F.transform(F.transform("moments", entered), walked)).alias("m"))
+        .select(
+            "symbol", "part_name", F.col("m.time_open").alias("target_timestamp"), "m.price_in", f"m.{S.GAIN}",
+            F.explode("m.targets").alias("target"),
+        )
         .select(
-            "symbol", "part_name", F.col("target.time_open").alias("target_timestamp"),
-            "target.target_name", "target.target_value", "bars",
+            "symbol", "part_name", "target_timestamp", "target.target_name", "target.target_value",
+            "price_in", S.GAIN,
         )
-        .withColumn("target_no", no)
-        .withColumn("near", bars_after)
-        .withColumn("price_in", F.coalesce(entry[S.AVG], F.lit(0.0)) * (1 + fee))
-        .withColumn(S.GAIN, F.coalesce(gain, F.lit(0.0)))
-        .drop("bars", "near", "target_no")
     )
     if not keep_missing_entry:
         gains = gains.where(F.col("price_in") != 0)

@@ -33,8 +33,9 @@ def replace_parts(
     Rerunning replaces the same parts and touches no others. A part without rows in ``df`` is emptied: the
     job itself reports which parts it wrote, and the folders of the others in the range go. Rows are
     gathered by part without forcing a large part into one task, and sorted by key so that row groups can
-    be skipped.
+    be skipped; texts of the key get bloom filters, for those that lie between a row group's least and greatest.
     """
+    texts = [c for c in key if isinstance(schema[c].dataType, T.StringType)]
     spark = df.sparkSession
     written = Observation()
     in_range = F.col(part).between(F.lit(first), F.lit(last))
@@ -47,6 +48,7 @@ def replace_parts(
         .observe(written, F.collect_set(part).alias("parts"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**{f"parquet.bloom.filter.enabled#{c}": True for c in texts})
         .partitionBy(part)
         .parquet(path)
     )
