@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -87,9 +88,11 @@ def near_copies(n_groups, n_copies, seed=3):
     return [(i, t) for i, t in enumerate(r.sample(rows, len(rows)))]
 
 
-@pytest.mark.parametrize("block", [4, 2048])
-def test_groups_equal_plain_ones(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, stretch, spokes", [(4, 6, 2), (2048, 1 << 17, 1000)])
+def test_groups_equal_plain_ones(spark, monkeypatch, block, stretch, spokes):
     monkeypatch.setattr(M, "BLOCK_ROWS", block)
+    monkeypatch.setattr(M, "STREAM_ROWS", stretch)
+    monkeypatch.setattr(M, "SPOKES", spokes)
     rows = near_copies(12, 10)
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     assert found(frame) == plain(rows)
@@ -131,3 +134,37 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in rows} == (
         {i: 0 for i in range(41)} | {100: 90, 90: 90, 95: 90, 200: 200, 201: 200}
     )
+
+
+def test_buckets_have_their_bands_number():
+    least = M.signatures(np.arange(600, dtype=np.uint64) * np.uint64(977), np.array([0, 300, 600]))
+    found = M.buckets(least)
+    assert found.shape == (2, M.BANDS) and (found & M.BAND_MASK == np.arange(M.BANDS)).all()
+    assert (M.buckets(least[:1]) == found[:1]).all() and len(np.unique(found)) > M.BANDS
+
+
+def test_a_large_group_is_not_compared_with_itself(spark):
+    """Of 8 000 documents of one component and 20 of others, each is dealt once."""
+    rows = [(5, i, 1 if i < 8000 else 2 + i % 3, 100, 100) for i in range(8020)]
+    joinable = spark.createDataFrame(rows, "bucket bigint, node bigint, component bigint, n_shingles bigint, common bigint")
+    dealt = M.dealt_rows(joinable).groupBy("side").count().collect()
+    # the 20 meet the large component and each other
+    assert {r["side"]: r["count"] for r in dealt} == {0: 40, 1: 8000}
+
+
+def test_all_pairs_of_different_components_meet(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(M, "STREAM_ROWS", 5)
+    rows = [(7, i, 1 if i < 23 else 2 + i % 4, 100, 100) for i in range(40)]
+    joinable = spark.createDataFrame(rows, "bucket bigint, node bigint, component bigint, n_shingles bigint, common bigint")
+    same = spark.createDataFrame([(i, [0] * M.BANDS, [0] * M.WORDS) for i in range(40)], "node bigint, bands array<bigint>, bits array<bigint>")
+    found = {(r["a"], r["b"]) for r in M.pairs_left(joinable.withColumn("bucket", joinable.bucket - 7), same, 80).collect()}
+    assert found == {(i, j) for j in range(40) for i in range(j) if rows[i][2] != rows[j][2]}
+
+
+def test_folders_are_deleted_once_used(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    frame = spark.createDataFrame(near_copies(4, 6), "doc_id bigint, text string")
+    before = set(folder.iterdir())
+    M.near_duplicates(frame, 4).collect()
+    assert len(set(folder.iterdir()) - before) <= 8

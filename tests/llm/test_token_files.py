@@ -4,11 +4,14 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm import order
 from tidemark.llm import spans as S
 from tidemark.llm import token_files as T
 from tidemark.llm.queries import BYTE_BPE, vocabulary_path
+from tidemark.llm.rows import shared_folder
 
 PATH = vocabulary_path(BYTE_BPE)
 # Pieces that try the tokenizer's splitting.
@@ -16,7 +19,8 @@ PIECES = "a|b|it's| |  |\n|\t| \n|é|ß|1|23|.|!!|'s|…| |　|日本|don't|,|\
 
 
 def whole(texts):
-    tokenizer = T.encoder(PATH).tokenizer
+    """What the library gives the whole texts, unaltered."""
+    tokenizer = Tokenizer.from_file(PATH)
     found = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
     return [np.array([*e.ids, T.END_ID], "<u4") for e in found]
 
@@ -32,6 +36,28 @@ def test_pieces_give_the_ids_of_whole_texts():
             assert own.tolist() == wanted.tolist()
 
 
+def test_added_tokens_are_the_librarys():
+    ids, _ = T.Encoder(PATH).encode(pa.array(["hello <|endoftext|> world"]))
+    assert 50256 in ids.tolist() or Tokenizer.from_file(PATH).token_to_id("<|endoftext|>") in ids.tolist()
+    chunk = next(S.chunks(pa.array(["a<|endof", "text|>b", "<|endoftext|>" * 3, "x", "y<|endoftext|>", "<|endoftext|>"])))
+    assert {2, 4, 5} <= set(T.Encoder(PATH).whole_texts(chunk).tolist()) <= {0, 2, 4, 5}
+
+
+def test_attempts_do_not_touch_each_others_files(tmp_path):
+    names = []
+    for _ in range(2):
+        writer = T.Writer(str(tmp_path), 1, np.dtype(np.uint16))
+        writer.add(1, np.arange(5, dtype=np.uint16))
+        names.append(writer.close()[0])
+    assert len(set(names)) == 2
+    assert all(T.TokenFile(str(tmp_path), n).ids(0, 5).tolist() == [0, 1, 2, 3, 4] for n in names)
+
+
+def test_folders_have_their_scheme(spark):
+    assert shared_folder(spark).startswith("file:/")
+    assert T.open_folder("file:/a/b")[1] == T.open_folder("file:///a/b")[1] == T.open_folder("/a/b")[1] == "/a/b"
+
+
 def test_a_forgetful_encoder(monkeypatch):
     monkeypatch.setattr(T, "CACHE_PIECES", 3)
     monkeypatch.setattr(T, "_CHUNK_BYTES", 20)
@@ -61,6 +87,7 @@ def test_round_trip(documents, monkeypatch, rows):
 
 
 def test_odd_rows(odd, empty):
+    check(odd.withColumns({"part": F.lit(1), "ids": F.lit(2), "lent": F.lit(3)}))
     check(odd)
     assert T.round_trip(empty, PATH).count() == 0
 

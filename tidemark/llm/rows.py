@@ -21,7 +21,9 @@ CLEAR_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, or below the warehouse where that is not set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}")
+    # a path without a scheme lies on the cluster's default file system, not on each worker's own disk
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -36,7 +38,22 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEAR_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held.stored_folder = path
+    return held
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of ``stored`` frames that nothing reads any more."""
+    for held in frames:
+        context = held.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(held.stored_folder)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def at_most(df: DataFrame, rows: int) -> DataFrame:
+    """The frame, to be broadcast if it has no more than so many rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 _shipped: set[str] = set()

@@ -6,8 +6,10 @@ row has ``SEQUENCE`` ids and a mask that is false where the last row is padded.
 documents with the place of their ids. ``TokenFile`` maps both into memory and reads without copying.
 
 Encoding cuts a text where the tokenizer's own splitting cuts it anyway (around white space, before
-punctuation), and encodes each different piece once; texts with white space beyond ASCII go to the
-tokenizer whole.
+punctuation), and encodes each different piece once; texts that hold white space beyond ASCII or one of the
+tokenizer's added tokens go to the tokenizer whole. Ids are always those that the tokenizer gives the whole text.
+
+A task that is repeated writes files of other names; only those of the attempt that counted are listed.
 
 Defined results: a null or empty text has the end id alone; repeated rows are encoded each; rows of one id
 are ordered by their ids, null ids come last; an empty table writes no file and gives an empty result.
@@ -86,7 +88,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added if t.content]
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.forget()
 
@@ -96,6 +99,18 @@ class Encoder:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, self.dtype)
 
+    def whole_texts(self, chunk: S.Chunk) -> np.ndarray:
+        """Numbers of the texts that cannot be cut into pieces."""
+        flags, data = wide_space(chunk), chunk.data.tobytes()
+        for token in self.added:
+            at = data.find(token)
+            while at >= 0:
+                own = int(chunk.owner(np.array([at]))[0])
+                flags[own] = True
+                # a text is looked at once; what crosses its end is looked at again with the next one
+                at = data.find(token, max(at + 1, int(chunk.offsets[own + 1]) - len(token) + 1))
+        return np.flatnonzero(flags)
+
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
@@ -133,7 +148,7 @@ class Encoder:
         after = np.cumsum(count)
         ids = self.ids[np.repeat(begin - after + count, count) + np.arange(after[-1] if len(after) else 0)]
         counts = np.bincount(owners, count, chunk.n).astype(np.int64)
-        odd = np.flatnonzero(wide_space(chunk))
+        odd = self.whole_texts(chunk)
         if len(odd):
             own = np.split(ids, np.cumsum(counts)[:-1])
             for i in odd:
@@ -165,22 +180,28 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a folder given as a path or a URI."""
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1))
+    scheme, _, rest = uri.partition(":")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)  # names that only Hadoop knows
+    return pafs.FileSystem.from_uri(f"{scheme}:{rest if rest.startswith('//') else '//' + rest}")
 
 
 class Writer:
-    """Writes one part: a file of sequences and a file of documents; both appear whole or not at all."""
+    """Writes one part: a file of sequences and a file of documents.
+
+    Their names are new each time, so that attempts of a repeated task do not touch each other's files;
+    whoever lists the parts names those of the attempt that ended.
+    """
 
     def __init__(self, folder: str, part: int, dtype: np.dtype) -> None:
         self.fs, self.root = open_folder(folder)
         self.fs.create_dir(self.root, recursive=True)
-        self.name = f"part-{part:08d}"
-        self.hidden = f"{self.root}/_{self.name}-{uuid.uuid4().hex}"
+        self.name = f"part-{part:08d}-{uuid.uuid4().hex}"
+        self.path = f"{self.root}/{self.name}"
         self.kind = pa.from_numpy_dtype(dtype)
         self.schema = pa.schema(
             [("ids", pa.list_(self.kind, SEQUENCE)), ("mask", pa.list_(pa.bool_(), SEQUENCE))]
         )
-        self.sink = self.fs.open_output_stream(f"{self.hidden}.arrow")
+        self.sink = self.fs.open_output_stream(f"{self.path}.arrow")
         self.file = pa.ipc.new_file(self.sink, self.schema)
         self.held: list[np.ndarray] = []
         self.n_held = self.n_ids = 0
@@ -224,11 +245,9 @@ class Writer:
         listed = pa.table(
             [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "n_tokens"]
         )
-        with self.fs.open_output_stream(f"{self.hidden}.docs.arrow") as sink:
+        with self.fs.open_output_stream(f"{self.path}.docs.arrow") as sink:
             with pa.ipc.new_file(sink, listed.schema) as file:
                 file.write_table(listed)
-        for kind in ("docs.arrow", "arrow"):  # an earlier attempt's files are replaced by equal ones
-            self.fs.move(f"{self.hidden}.{kind}", f"{self.root}/{self.name}.{kind}")
         return self.name, self.n_ids
 
 
@@ -269,7 +288,10 @@ class TokenFile:
 
 
 def write(documents: DataFrame, tokenizer: str, folder: str) -> list[tuple[str, int]]:
-    """Write all texts; names of the parts in order of ids, each with the number of ids before it."""
+    """Write all texts; names of the parts in order of ids, each with the number of ids before it.
+
+    ``folder`` is a path on a file system that all workers share, as ``shared_folder`` gives it, with its scheme.
+    """
 
     def encode(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         ids, ends = encoder(tokenizer).encode(batch.column("text"))
