@@ -6,10 +6,11 @@ coordinates of the signature: coordinate k is the least value of the second perm
 Coordinates are banded; documents that agree in a band are candidates, and links are confirmed on the full
 sets.
 
-Documents with equal sets are one class before any banding. In a first round, each band's bucket has a
-center, the document of it that shares most buckets, and the others are tested against that alone; near
-copies mostly meet this way. What is left are buckets that hold documents of several components. There,
-pairs of different components are looked at in blocks of bounded size, and a pair is tested if
+Documents with equal sets are one class before any banding. Each band's bucket has a center, the document of
+it that shares most buckets. In a first round each document is tested against the best center of its buckets;
+near copies mostly meet this way. In a second one the documents of buckets that still hold several components are
+tested against the centers there. In what is left after that, pairs of different components are looked at in blocks
+of bounded size, a bucket's largest component never with itself, and a pair is tested if
 
 * this bucket is the first that both share,
 * the shingles that no other document left has leave enough for a link, and
@@ -459,34 +460,52 @@ def grouped(rows: DataFrame, documents: DataFrame, shingle_words: int, min_perce
         found = df.join(merged, "component", "left")
         return found.withColumn("component", F.coalesce("into", "component")).drop("into")
 
+    def split_buckets(labels: DataFrame) -> DataFrame:
+        """The rows of the buckets that hold several components."""
+        named = members.select("bucket", "node").join(labels, "node")
+        split = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        named = named.join(split.where("low < high"), "bucket", "left_semi")
+        return named.join(met.select("node", "n_shingles", "reach"), "node")
+
+    def with_center(rows: DataFrame) -> DataFrame:
+        """The rows that may be linked with the document of their bucket that shares most buckets."""
+        center = F.max(F.struct("reach", "node", "n_shingles", "component")).alias("center")
+        larger = F.greatest("n_shingles", "center.n_shingles")
+        return rows.join(rows.groupBy("bucket").agg(center), "bucket").where(
+            (F.col("component") != F.col("center.component"))
+            & (100 * F.least("n_shingles", "center.n_shingles") >= min_percent * larger)
+        )
+
+    def tested(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The labels once the linked ones among the pairs (node, its component, center) have been joined."""
+        columns = [F.col("node").alias("partner"), F.col("component").alias("low")]
+        centers = [F.col("center.node").alias("hub"), F.col("center.component").alias("high")]
+        return stored(joined(labels, linked(pairs.select(*columns, *centers))))
+
+    # each document with the best center among those of its buckets; most groups are whole after that
+    labels = met.select("node", F.col("node").alias("component"))
     ranked = members.select("bucket", "node").join(met.select("node", "reach", "n_shingles"), "node")
-    center = F.max(F.struct("reach", "node", "n_shingles")).alias("center")
-    centers = ranked.groupBy("bucket").agg(center)
-    larger = F.greatest("n_shingles", "center.n_shingles")
-    pairs = ranked.join(centers, "bucket").where(
-        (F.col("node") != F.col("center.node"))
-        & (100 * F.least("n_shingles", "center.n_shingles") >= min_percent * larger)
-    )
-    ends = (F.col("node"), F.col("center.node"))
-    pairs = pairs.groupBy(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).agg(F.max("center.node").alias("hub"))
-    tested = stored(pairs)
-    partner = F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("partner")
-    first = linked(tested.select("hub", partner, F.col("a").alias("low"), F.col("b").alias("high")))
-    labels = stored(joined(met.select("node", F.col("node").alias("component")), first))
-
-    joinable = members.select("bucket", "node").join(labels, "node")
-    split = joinable.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    joinable = joinable.join(split.where("low < high"), "bucket", "left_semi")
-    joinable = stored(joinable.join(met.select("node", "n_shingles"), "node"))
+    ranked = ranked.withColumn("component", F.col("node"))
+    best = with_center(ranked).groupBy("node", "component").agg(F.max("center").alias("center"))
+    first = stored(best)
+    labels = tested(first, labels)
+    # then with every center of another component
+    others = with_center(split_buckets(labels)).groupBy("node", "component", F.col("center.node").alias("hub"))
+    second = stored(others.agg(F.max("center").alias("center")).drop("hub"))
+    labels = tested(second, labels)
+    done = first.unionAll(second).select("node", F.col("center.node").alias("center"))
+    done = done.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
+
+    joinable = stored(split_buckets(labels).drop("reach"))
     discard(members)
     bounded = stored(
         with_common(joinable, texts, shingle_words).where(f"100 * common >= {min_percent} * n_shingles")
     )
     discard(joinable)
     few = stored(sketches_of(texts.join(bounded.select("node").distinct(), "node", "left_semi"), shingle_words))
-    left = pairs_left(bounded, few, min_percent).join(tested, ["a", "b"], "left_anti")
+    left = pairs_left(bounded, few, min_percent).join(done, ["a", "b"], "left_anti")
     left = stored(left.select(F.col("a").alias("hub"), F.col("b").alias("partner"), "low", "high"))
-    discard(bounded, few, tested)
+    discard(bounded, few, first, second)
     labels = joined(labels, linked(left))
 
     named = heads.join(labels, "node", "left")
