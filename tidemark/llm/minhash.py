@@ -177,7 +177,8 @@ def linked_ones(pairs: DataFrame, texts: DataFrame, n: int, min_percent: int) ->
     """
     counts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SPOKES).alias("parts"))
     dealt = pairs.join(counts, "hub").withColumn("part", F.pmod(F.xxhash64("partner"), "parts")).drop("parts")
-    hubs = dealt.select("hub", "part").distinct().join(texts.withColumnRenamed("node", "hub"), "hub")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
+    hubs = counts.select("hub", every).join(texts.withColumnRenamed("node", "hub"), "hub")
     spokes = dealt.join(texts.withColumnRenamed("node", "partner"), "partner")
     columns = ["hub", "part", "partner", "low", "high", "text"]
     nothing = F.lit(None).cast("bigint")
