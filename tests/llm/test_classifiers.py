@@ -38,7 +38,47 @@ def test_scores_of_odd_rows(odd, empty, labels):
     assert scores == {1 / (1 + np.exp(1.0))}
     assert X.score(empty, weights).count() == 0
     none = X.train(empty, labels.limit(0))
-    assert {r["score"] for r in X.score(odd, none).collect()} == {0.5}
+    found = X.score(odd.withColumns({"score": F.lit(1), "predicted": F.lit(1)}), none).collect()
+    assert {r["predicted"] for r in found} == {0} and all(0 <= r["score"] < 0.3 for r in found)
+
+
+def plain_ftrl(rows, labels, epochs, alpha, beta, l1, l2, rare):
+    """Weights by the published rule, one coordinate at a time, in the rows' order."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for own, y in zip(rows, labels, strict=True):
+            held = {i: weight(i) for i in own}
+            p = 1 / (1 + np.exp(-sum(held.values())))
+            for i in own:
+                g = (p - y) * (rare if y else 1.0)
+                rate = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - rate * held[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: w for i in z if (w := weight(i))}
+
+
+def test_weights_are_those_of_the_plain_rule():
+    rng = np.random.default_rng(2)
+    rows = [np.unique(np.concatenate([[X.BIAS], rng.integers(1, 30, 6)])) for _ in range(80)]
+    labels = np.array([int(3 in r or rng.random() < 0.1) for r in rows])
+    settings = dict(epochs=3, alpha=0.5, beta=1.0, l1=0.3, l2=0.01, rare=2.0)
+    found = X.ftrl(rows, labels, **settings)
+    wanted = plain_ftrl([r.tolist() for r in rows], labels.tolist(), **settings)
+    assert {int(i): found[i] for i in np.flatnonzero(found)} == pytest.approx(wanted)
+
+
+def test_held_out_is_never_null(spark, odd, labels, tmp_path):
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    rows = Q.queries()["op4_toxicity"](spark, str(tmp_path)).collect()
+    assert len(rows) == odd.count()
+    assert all(r["held_out"] is not None and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
 
 
 def test_the_sample_is_bounded_and_well_defined(spark, documents, labels):
@@ -64,7 +104,8 @@ def test_clean_documents_are_drawn(labelled):
 @pytest.mark.parametrize("k", [0, 1, 2, 5, 6, 7, 9])
 def test_the_largest_places(spark, k):
     places = [5, -3, 5, 2**60, -(2**60), 5, 0]
-    rows = spark.createDataFrame([(i, p) for i, p in enumerate(places)], "doc_id bigint, place bigint")
+    numbered = [(i, p, 7 - i) for i, p in enumerate(places)]
+    rows = spark.createDataFrame(numbered, "doc_id bigint, place bigint, row bigint")
     got = sorted(r["doc_id"] for r in rows.where(I.largest(rows, "place", k)).collect())
     wanted = sorted(i for p, i in sorted(((-p, i) for i, p in enumerate(places)))[:k])
     assert got == wanted
@@ -86,3 +127,23 @@ def test_clear_target_documents_count_whole_at_small_shares(spark, share, wanted
     frame = spark.createDataFrame(clear + [(i, "") for i in range(10, 30)], "doc_id bigint, text string")
     drawn = I.resample(frame, np.ones(I.BUCKETS), share).collect()
     assert sum(r["kept"] for r in drawn) == wanted
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_ties_of_rows_without_an_id(spark, k):
+    frame = spark.createDataFrame([(None, "a b"), (None, "a b"), (3, ""), (None, "a b")], "doc_id bigint, text string")
+    wide = frame.withColumns({"key": F.lit(1), "place": F.lit(2), "row": F.lit(3), "kept": F.lit(4)})
+    rows = I.resample(wide, np.zeros(I.BUCKETS), k=k).collect()
+    assert [type(r["kept"]) for r in rows] == [bool] * 4 and sum(r["kept"] for r in rows) == k
+
+
+def test_importances_are_those_of_a_plain_model(spark):
+    """Ratios from counts of hashed words and pairs, summed over a text's own."""
+    texts = ["good words here", "Good words, good", "bad bad", "", "words here and there"]
+    ratios = np.random.default_rng(1).normal(size=I.BUCKETS)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["log_importance"] for r in I.importance(frame, ratios).collect()}
+    for i, text in enumerate(texts):
+        owners, buckets = I.text_buckets(next(I.S.chunks(pa.array([text]))))
+        assert (owners == 0).all()
+        assert found[i] == pytest.approx(sum(ratios[b] for b in buckets.tolist()))

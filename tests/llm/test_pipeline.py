@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from checks.fixture import table
 from tests.conftest import SF_DIR
@@ -42,3 +45,25 @@ def test_stages_work_on_what_came_before(spark):
 def test_run(spark):
     assert C.ORACLE_SQL is None
     assert C.run(spark, SF_DIR).count() > 0
+
+
+@pytest.mark.parametrize("rows", ["odd", "empty"])
+def test_the_whole_run_on_odd_tables(spark, request, labels, tmp_path, rows):
+    """Nulls, empty and long texts, repeated rows, extra columns with names that the stages use, empty tables."""
+    frame = request.getfixturevalue(rows)
+    names = ["node", "place", "part", "copy", "size", "class", "kept", "ids"]
+    wide = frame.withColumns({c: F.lit(i) for i, c in enumerate(names)})
+    wide.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.limit(0 if rows == "empty" else 50).write.parquet(str(tmp_path / "labels.parquet"))
+    last = C.run(spark, str(tmp_path))
+    found = last.collect()
+    assert all(r["round_trip"] for r in found)
+    assert {r["doc_id"] for r in found} <= {r["doc_id"] for r in frame.collect()}
+
+
+def test_copies_of_the_mix_are_told_apart(spark):
+    text = "many words that are taken more than once by the mix of sources " * 9
+    docs = spark.createDataFrame([(1, text, "en", "s1", 1)] * 2, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = C.encode(spark, docs.coalesce(1), SF_DIR).collect()
+    assert sorted((r["copy"], r["sample"]) for r in found) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    assert len({tuple(r["ids"]) for r in found}) == 4

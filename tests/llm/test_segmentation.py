@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import segmentation as G
@@ -99,3 +100,35 @@ def test_encoding_documents(documents, odd, empty):
     held = G.encode(odd, PATH).collect()
     assert {r["sample"] for r in held if r["doc_id"] in (1, 2)} == {1}
     assert all(r["round_trip"] for r in held) and G.encode(empty, PATH).count() == 0
+
+
+def test_copies_draw_their_own(spark):
+    text = "several words that can be cut in many ways, internationally speaking"
+    rows = [(4, text)] * 3 + [(5, text), (5, "other words"), (5, "other words"), (None, text), (None, text)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = G.encode(frame, PATH, with_ids=True, with_copies=True).collect()
+    numbers = {}
+    for r in found:
+        numbers.setdefault((str(r["doc_id"]), r["copy"], tuple(r["ids"])), 0)
+    assert sorted((r["doc_id"] or 0, r["copy"]) for r in found if r["sample"] == 1) == [
+        (0, 1), (0, 2), (4, 1), (4, 2), (4, 3), (5, 1), (5, 1), (5, 2)
+    ]
+    drawn = {(str(r["doc_id"]), r["copy"], r["sample"]): tuple(r["ids"]) for r in found if str(r["doc_id"]) == "4"}
+    assert len(set(drawn.values())) > 2
+    alone = G.encode(frame.limit(1), PATH, with_ids=True).collect()
+    assert [tuple(r["ids"]) for r in alone] == [drawn["4", 1, 1], drawn["4", 1, 2]]
+
+
+@pytest.mark.parametrize("cuts", [[8], [1, 1, 6], [2, 0, 3, 3]])
+def test_copies_are_numbered_across_batches(cuts):
+    rows = [(1, "a"), (1, "a"), (1, "a"), (1, "b"), (1, "b"), (None, "b"), (None, "b"), (2, "b")]
+    found, last, at = [], None, 0
+    for n in cuts:
+        own = rows[at : at + n]
+        at += n
+        batch = pa.RecordBatch.from_pydict(
+            {"doc_id": pa.array([i for i, _ in own], pa.int64()), "text": pa.array([t for _, t in own], pa.string())}
+        )
+        numbers, last = G.copy_numbers(batch, last)
+        found += numbers.tolist()
+    assert found == [1, 2, 3, 1, 2, 1, 2, 1]

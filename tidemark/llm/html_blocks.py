@@ -1,9 +1,16 @@
-"""Leaf blocks of HTML pages: runs of text between the boundaries of block elements."""
+"""Leaf blocks of HTML pages: runs of text between the boundaries of block elements.
+
+As in HTML, a comment that is never closed, and a script, style, iframe, textarea or the like that is never
+closed, reach to the end of the page. The work grows with the length of the page, however deep its elements are;
+only the names that a block has from its ancestors grow with their number.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from dataclasses import dataclass
 
 # Names of elements by what they do, from the HTML standard.
@@ -34,7 +41,9 @@ IMPLIED = {
     "a": (("a",), ("table", "td", "div", "li", "p")),
 }
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+# quotes count only where a value begins
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')?+)*+)>""")
+_COMMENT_END = re.compile(r"--!?>")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?")
 _RAW_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 _NAMES = re.compile(
@@ -80,6 +89,7 @@ def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page that have text, in page order."""
     found: list[Block] = []
     stack: list[tuple[str, Path]] = []  # open elements, each with the path of the block it is in
+    places: dict[str, list[int]] = defaultdict(list)  # where each tag's elements are in the stack
     parts: list[str] = []
     owner, linked = ROOT, 0
     cache: dict[tuple[Path, str, str], Path] = {}
@@ -106,18 +116,23 @@ def blocks(page: str) -> list[Block]:
         if any(tag == "a" for tag, _ in stack[-6:]):
             linked += len(raw.strip())
 
+    def cut_at(cut: int) -> None:
+        """Close the elements from this place of the stack on."""
+        if any(tag in BLOCK for tag, _ in stack[cut:]):
+            flush()
+        for tag, _ in stack[cut:]:
+            places[tag].pop()
+        del stack[cut:]
+
     def close(names: tuple[str, ...], limits: tuple[str, ...]) -> None:
         """Close the outermost open element of these names that is inside the nearest limit."""
-        cut = None
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in limits:
-                break
-            if stack[i][0] in names:
-                cut = i
-        if cut is not None:
-            if any(tag in BLOCK for tag, _ in stack[cut:]):
-                flush()
-            del stack[cut:]
+        held = [own for n in names if (own := places.get(n))]
+        if not held:
+            return
+        limit = max((places[n][-1] for n in limits if places.get(n)), default=-1)
+        inside = [own[at] for own in held if (at := bisect_right(own, limit)) < len(own)]
+        if inside:
+            cut_at(min(inside))
 
     at, end = 0, len(page)
     unclosed: set[str] = set()
@@ -130,8 +145,11 @@ def blocks(page: str) -> list[Block]:
         following = page[mark + 1 : mark + 2]
         if following == "!" or following == "?":
             if page.startswith("<!--", mark):
-                stop = page.find("-->", mark + 4)
-                at = end if stop < 0 else stop + 3
+                if page.startswith((">", "->"), mark + 4):  # these end at once
+                    at = page.index(">", mark) + 1
+                else:
+                    stop = _COMMENT_END.search(page, mark + 4)
+                    at = end if stop is None else stop.end()
             else:
                 stop = page.find(">", mark)
                 at = end if stop < 0 else stop + 1
@@ -148,14 +166,11 @@ def blocks(page: str) -> list[Block]:
         at = tag.end()
         name = tag.group(2).lower()
         if tag.group(1):
-            if name == "br" or name not in {t for t, _ in stack}:
+            if name == "br" or not places.get(name):
                 if name in ("p", "br"):
                     flush() if name == "p" else add(" ")
                 continue
-            cut = max(i for i, (t, _) in enumerate(stack) if t == name)
-            if any(t in BLOCK for t, _ in stack[cut:]):
-                flush()
-            del stack[cut:]
+            cut_at(places[name][-1])
             continue
         if name in RAW and name not in unclosed and not tag.group(3).endswith("/"):
             if name == "head":
@@ -193,6 +208,7 @@ def blocks(page: str) -> list[Block]:
             inner = cache[key]
         else:
             inner = outer
+        places[name].append(len(stack))
         stack.append((name, inner))
     flush()
     return found

@@ -83,6 +83,30 @@ class Field:
         return [bool(x) for x in reversed(labels)]
 
 
+def posterior(
+    node: np.ndarray, t: np.ndarray, kind: np.ndarray, first: np.ndarray, size: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Chance of label 1 of each block, and of each pair of labels of the blocks that are not first on a page.
+
+    ``node`` has the scores of a block's labels, ``t`` those of moves by kind; pages begin at ``first``.
+    """
+    place = np.arange(len(node)) - np.repeat(first, size)
+    inner = np.flatnonzero(place > 0)
+    steps = [first[size > k] + k for k in range(int(size.max()))]  # the k-th blocks of the pages that have one
+    ahead, behind = node.copy(), np.zeros_like(node)
+    for at in steps[1:]:
+        ahead[at] += np.logaddexp.reduce(ahead[at - 1][:, :, None] + t[kind[at]], axis=1)
+    for at in reversed(steps[1:]):
+        behind[at - 1] = np.logaddexp.reduce(t[kind[at]] + (node[at] + behind[at])[:, None, :], axis=2)
+    whole = np.repeat(np.logaddexp.reduce(ahead[first + size - 1], axis=1), size)
+    chance = np.exp(ahead[:, 1] + behind[:, 1] - whole)
+    pair = np.exp(
+        ahead[inner - 1][:, :, None] + t[kind[inner]] + (node[inner] + behind[inner])[:, None, :]
+        - whole[inner][:, None, None]
+    )
+    return chance, pair
+
+
 def train(n_pages: int = PAGES, rounds: int = 150, rate: float = 0.5, ridge: float = 0.1) -> Field:
     """A field from the first ``n_pages`` labelled pages."""
     number: dict[str, int] = {}
@@ -103,7 +127,6 @@ def train(n_pages: int = PAGES, rounds: int = 150, rate: float = 0.5, ridge: flo
     row, column = np.array(rows), np.array(columns)
     y, kind, size = np.array(labels), np.array(same, np.int64), np.array(sizes)
     first = np.cumsum(size) - size
-    longest = int(size.max())
     w, t = np.zeros(len(number)), np.zeros((2, 2, 2))
     seen_w, seen_t = np.full(len(number), 1e-3), np.full((2, 2, 2), 1e-3)
     place = np.arange(len(y)) - np.repeat(first, size)
@@ -111,22 +134,10 @@ def train(n_pages: int = PAGES, rounds: int = 150, rate: float = 0.5, ridge: flo
     gold_w = np.bincount(column, y[row].astype(float), len(number))
     gold_t = np.zeros((2, 2, 2))
     np.add.at(gold_t, (kind[inner], y[inner - 1], y[inner]), 1.0)
-    steps = [first[size > k] + k for k in range(longest)]  # the k-th blocks of the pages that have one
     for _ in range(rounds):
         node = np.zeros((len(y), 2))
         node[:, 1] = np.bincount(row, w[column], len(y))
-        ahead, behind = node.copy(), np.zeros_like(node)
-        for at in steps[1:]:
-            ahead[at] += np.logaddexp.reduce(ahead[at - 1][:, :, None] + t[kind[at]], axis=1)
-        for at in reversed(steps[1:]):
-            behind[at - 1] = np.logaddexp.reduce(t[kind[at]] + (node[at] + behind[at])[:, None, :], axis=2)
-        whole = np.logaddexp.reduce(ahead[first + size - 1], axis=1)
-        whole = np.repeat(whole, size)
-        chance = np.exp(ahead[:, 1] + behind[:, 1] - whole)
-        pair = np.exp(
-            ahead[inner - 1][:, :, None] + t[kind[inner]] + (node[inner] + behind[inner])[:, None, :]
-            - whole[inner][:, None, None]
-        )
+        chance, pair = posterior(node, t, kind, first, size)
         grad_w = gold_w - np.bincount(column, chance[row], len(number)) - ridge * w
         grad_t = gold_t - ridge * t
         np.subtract.at(grad_t, kind[inner], pair)

@@ -113,7 +113,10 @@ def ordinal(key: Column) -> Column:
 
 
 def largest(rows: DataFrame, place: str, k: int) -> Column:
-    """A condition that holds for the k rows of the largest ``place`` (a bigint not null), then doc_id."""
+    """A condition, never null, that holds for k rows: those of the largest ``place`` (a bigint not null).
+
+    Of equal places the rows of the least doc_id, null last, and then of the least ``row`` come first.
+    """
     if k <= 0:
         return F.lit(False)
     base, left = F.lit(True), k
@@ -131,9 +134,13 @@ def largest(rows: DataFrame, place: str, k: int) -> Column:
     last = found["bin"]
     if left == found["n"]:
         return F.col(place) >= last
-    ties = rows.where(F.col(place) == last).select("doc_id").orderBy(F.col("doc_id").asc_nulls_last())
-    bound = ties.limit(left).agg(F.max("doc_id")).first()[0]
-    return (F.col(place) > last) | ((F.col(place) == last) & (F.col("doc_id") <= F.lit(bound)))
+    zero = F.lit(0).cast(rows.schema["doc_id"].dataType)
+    unnamed, doc_id = F.col("doc_id").isNull().cast("int"), F.coalesce("doc_id", zero)
+    ties = rows.where(F.col(place) == last).select(F.struct(unnamed, doc_id, "row").alias("turn")).orderBy("turn")
+    bound = ties.limit(left).agg(F.max("turn")).first()[0]
+    earlier = (doc_id < bound[1]) | ((doc_id == bound[1]) & (F.col("row") <= bound[2]))
+    earlier = (unnamed < bound[0]) | ((unnamed == bound[0]) & earlier)
+    return (F.col(place) > last) | ((F.col(place) == last) & earlier)
 
 
 def resample(
@@ -146,8 +153,10 @@ def resample(
     """
     scored = importance(documents, ratios)
     keyed = scored.withColumn("key", F.col("log_importance") + gumbel(F.col("doc_id")))
-    keyed = stored(keyed.withColumn("place", ordinal(F.col("key"))))
+    # rows that are equal otherwise are told apart by a number that is written with them
+    numbered = keyed.withColumns({"place": ordinal(F.col("key")), "row": F.monotonically_increasing_id()})
+    keyed = stored(numbered)
     if k is None:
         chance = F.least(F.lit(1.0), share * F.exp(F.least(F.col("log_importance"), F.lit(MOST_EXPONENT))))
         k = round(keyed.agg(F.sum(chance)).first()[0] or 0)
-    return keyed.withColumn("kept", largest(keyed, "place", k)).drop("place")
+    return keyed.withColumn("kept", largest(keyed, "place", k)).drop("place", "row")

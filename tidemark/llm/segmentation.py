@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -434,6 +435,26 @@ def vocabulary(path: str, theta: float = THETA) -> Vocabulary:
     return _vocabularies[path, theta]
 
 
+def copy_numbers(batch: pa.RecordBatch, last: tuple | None) -> tuple[np.ndarray, tuple | None]:
+    """Which copy of a row each row of a batch is, from 1 on; ``last`` is the row before, and its number."""
+    if not batch.num_rows:
+        return np.zeros(0, np.int64), last
+    doc_id, text = batch.column("doc_id"), batch.column("text")
+    same = np.zeros(batch.num_rows, bool)
+    known = doc_id.fill_null(-1).to_numpy(zero_copy_only=False)
+    unnamed = doc_id.is_null().to_numpy(zero_copy_only=False)
+    same[1:] = (known[1:] == known[:-1]) & (unnamed[1:] == unnamed[:-1])
+    at = np.flatnonzero(same)
+    equal = pc.equal(text.take(pa.array(at)), text.take(pa.array(at - 1)))
+    same[at] = equal.to_numpy(zero_copy_only=False)
+    begun = 0
+    if last is not None and last[:2] == (doc_id[0].as_py(), text[0].as_py()):
+        begun = last[2]
+    number = np.arange(batch.num_rows) - np.maximum.accumulate(np.where(same, 0, np.arange(batch.num_rows))) + 1
+    number[np.logical_and.accumulate(same | (np.arange(batch.num_rows) == 0))] += begun
+    return number, (doc_id[-1].as_py(), text[-1].as_py(), int(number[-1]))
+
+
 def encode(
     documents: DataFrame,
     model: str,
@@ -441,9 +462,14 @@ def encode(
     theta: float = THETA,
     with_ids: bool = False,
     chunk_bytes: int = CHUNK_BYTES,
+    with_copies: bool = False,
 ) -> DataFrame:
     """A row for each text and drawn segmentation, numbered by ``sample`` from 1.
 
+    With ``with_copies``, rows that repeat the row before them (id and text) are further copies of it: ``copy`` counts
+    them from 1, and each copy draws segmentations of its own. Copies are to stand next to each other, as ``mixing``
+    writes them.
+
     ``chunk_bytes`` of text are worked on at a time; less takes less memory and somewhat more time.
 
     n_pieces, log_prob, perturbed score, log_inclusion, ids_crc32 (of the ids as little-endian unsigned
@@ -452,17 +478,21 @@ def encode(
     arrow = [
         ("doc_id", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("log_prob", pa.float64()),
         ("perturbed", pa.float64()), ("log_inclusion", pa.float64()), ("ids_crc32", pa.int64()),
-        ("round_trip", pa.bool_()), *([("ids", pa.list_(pa.int32()))] if with_ids else []),
+        ("round_trip", pa.bool_()), *([("copy", pa.int32())] if with_copies else []),
+        *([("ids", pa.list_(pa.int32()))] if with_ids else []),
     ]
     kinds = "doc_id bigint, sample int, n_pieces bigint, log_prob double, perturbed double, "
     kinds += "log_inclusion double, ids_crc32 bigint, round_trip boolean"
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(model, theta)
+        known, last = vocabulary(model, theta), None
         for batch in batches:
             doc_ids = batch.column("doc_id")
             keys = doc_ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.uint64)
+            if with_copies:
+                copy, last = copy_numbers(batch, last)
+                keys += (copy - 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             for chunk in S.chunks(batch.column("text"), chunk_bytes):
                 raw = [
                     chunk.data[a:b].tobytes()
@@ -485,6 +515,8 @@ def encode(
                         [zlib.crc32(x.tobytes()) for x in lists],
                         [decoded[i] == raw[i] for i in own],
                     ]
+                    if with_copies:
+                        columns.append(copy[first + own])
                     if with_ids:
                         columns.append(lists)
                     yield pa.RecordBatch.from_arrays(
@@ -498,4 +530,5 @@ def encode(
     taken = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
+    kinds += ", copy int" if with_copies else ""
     return taken.mapInArrow(run, kinds + (", ids array<int>" if with_ids else ""))

@@ -25,6 +25,7 @@ from tidemark.llm.rows import by_batch, labelled_sample
 BITS = 20
 SAMPLE_ROWS = 24_000  # labelled documents learnt from, at most
 SHARD_ROWS = 6_000  # documents learnt from in one task, about
+UNLEARNT = -4.0  # margin of every text where nothing is labelled: not toxic
 THRESHOLD = 0.3
 BIAS = 0  # coordinate that every text has
 
@@ -129,6 +130,8 @@ def train(
     learnt = dealt.groupBy("shard").applyInArrow(learn, "at bigint, weight double")
     mean = learnt.groupBy("at").agg((F.sum("weight") / shards).alias("weight"))
     rows = mean.toPandas().sort_values("at")  # at most 2**BITS, few after the L1 penalty
+    if rows.empty:
+        return Weights(np.array([BIAS]), np.array([UNLEARNT]))
     return Weights(rows["at"].to_numpy(np.int64), rows["weight"].to_numpy(np.float64))
 
 
