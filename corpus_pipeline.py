@@ -36,10 +36,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece encoding: sampled segmentations of each text, with their ids.
 
-    Workers and executors have held the stages before, so less text is worked on at a time.
+    Each copy that the mix takes of a document draws its own; ``copy`` numbers them. Workers and executors have held
+    the stages before, so less text is worked on at a time.
     """
     model = vocabulary_path(PIECE_BPE)
-    return segmentation.encode(docs, model, with_ids=True, chunk_bytes=segmentation.CHUNK_BYTES // 2)
+    size = segmentation.CHUNK_BYTES // 2
+    return segmentation.encode(docs, model, with_ids=True, chunk_bytes=size, with_copies=True)
 
 
 STAGES = [
