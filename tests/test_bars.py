@@ -3,10 +3,18 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixture as X
 from tests.conftest import DAY
 from tidemark import Grid
 from tidemark import schemas as S
-from tidemark.operators.bars import bars_from_trades, by_part, has_full_lookback, vwap
+from tidemark.operators.bars import (
+    bars_from_trades,
+    by_part,
+    has_full_lookback,
+    merged_bars,
+    partial_bars,
+    vwap,
+)
 
 
 def trades(spark):
@@ -103,3 +111,40 @@ def test_grid_needs_whole_bars_per_part():
         Grid(bar=timedelta(minutes=7))
     with pytest.raises(ValueError):
         Grid(origin=datetime(2020, 1, 1, 1))
+
+
+def trade_columns():
+    return dict(
+        symbol=F.col("l_suppkey"),
+        ts=F.col("l_shipdate"),
+        price=F.col("l_extendedprice") / F.col("l_quantity"),
+        coins=F.col("l_quantity").cast("bigint"),
+        usd=F.col("l_extendedprice").cast("decimal(18,2)"),
+        taker_buys=F.col("l_returnflag") == "N",
+    )
+
+
+@pytest.mark.parametrize("order", [["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], None])
+def test_bars_of_several_loads_equal_bars_of_one(spark, sf_dir, tmp_path, order):
+    """Late trades are stored beside the earlier ones; the bars are those of all trades, bit for bit."""
+    trades = X.table(spark, sf_dir, "lineitem")
+    rank = [F.col(c) for c in order] if order else [X.trade_rank()]
+    load = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3))
+    for k in range(3):
+        partial = partial_bars(trades.where(load == k), X.GRID, **trade_columns(), order=rank)
+        partial.write.mode("append").partitionBy("date").parquet(str(tmp_path / "partial"))
+    held = spark.read.parquet(str(tmp_path / "partial"))
+    merged = merged_bars(held, X.GRID)
+    whole = bars_from_trades(trades, X.GRID, **trade_columns(), order=rank)
+    assert merged.schema.simpleString() == whole.schema.simpleString()
+    assert held.count() > whole.count() > 0
+    assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+
+
+def test_bars_without_buys_or_sells(spark, sf_dir):
+    trades = X.table(spark, sf_dir, "lineitem").limit(50)
+    for flag in (True, False):
+        columns = trade_columns() | {"taker_buys": F.lit(flag)}
+        merged = merged_bars(partial_bars(trades, X.GRID, **columns, order=[X.trade_rank()]), X.GRID)
+        whole = bars_from_trades(trades, X.GRID, **columns, order=[X.trade_rank()])
+        assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()

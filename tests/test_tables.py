@@ -5,10 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks import fixture as X
+from checks import queries as Q
 from tests.conftest import DAY
 from tidemark import Grid
 from tidemark import schemas as S
-from tidemark.plans.backfill import Tables, backfill, daily, load_bars, refresh, spans
+from tidemark.plans.backfill import Tables, backfill, daily, load_bars, refresh, refresh_changed, spans
+from tidemark.sources import tsv
 from tidemark.sources.tables import read_table, replace_parts, truncate
 from tidemark.sources.tsv import read_tsv, write_tsv
 from tidemark.streaming.arrivals import affected, process_new_bars
@@ -221,3 +224,103 @@ def test_reading_one_part_reads_one_directory(spark, path):
     replace(frame(spark, [("A", D1, 1.0), ("A", D2, 2.0)]), path, D1, D2)
     one = read_table(spark, path, S.TARGETS).where(F.col("part_name") == F.lit(D2))
     assert one.select("value").inputFiles() != [] and len(one.collect()) == 1
+
+
+def test_tsv_files_of_different_headers(spark, path):
+    """Swapped columns, a column more, an empty file, and values that look like a header."""
+    rows = spark.createDataFrame([(i, f"a\t{i}", float(i)) for i in range(40)], "i int, t string, x double")
+    write_tsv(rows.where("i < 20"), f"{path}/one")
+    write_tsv(rows.where("i >= 20").select("x", F.lit("more").alias("other"), "i", "t"), f"{path}/two")
+    for mode in (1000, 0):
+        before = tsv.HEADER_FILES
+        tsv.HEADER_FILES = mode
+        try:
+            found = read_tsv(spark, f"{path}/*", rows.schema)
+            assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
+        finally:
+            tsv.HEADER_FILES = before
+    write_tsv(rows.select("i", "t"), f"{path}/three")
+    with pytest.raises(ValueError, match="lacks x"):
+        read_tsv(spark, f"{path}/*", rows.schema)
+
+
+def test_tsv_of_no_files(spark, path):
+    write_tsv(spark.createDataFrame([], "i int"), path)
+    assert read_tsv(spark, path, T.StructType([T.StructField("i", T.IntegerType())])).count() == 0
+
+
+def fixture_tables(folder, digests=False, bucket=Q.PART_BUCKET):
+    return Tables(
+        f"{folder}/bars", f"{folder}/targets", f"{folder}/training", X.GRID,
+        target_settings=(("horizons", X.HORIZONS), ("lookback", X.LOOKBACK), ("bucket", bucket)),
+        training_settings=(("before", X.BEFORE), ("after", X.AFTER)),
+        digests=f"{folder}/digests" if digests else None,
+    )
+
+
+def table_rows(spark, tables):
+    found = read_table(spark, tables.training, S.TRAINING).collect()
+    return sorted(map(repr, tables.read_targets(spark).collect())), sorted(map(repr, found))
+
+
+def test_a_stopped_backfill_repeats_only_open_runs(spark, sf_dir, tmp_path, monkeypatch):
+    tables, log = fixture_tables(tmp_path / "t"), str(tmp_path / "log")
+    first, last = X.part_range(spark, sf_dir)
+    load_bars(X.bars(spark, sf_dir), tables, first, last)
+    built = []
+    build = Tables.build_training
+
+    def failing(self, session, a, b):
+        built.append((a, b))
+        if len(built) == 3:
+            raise RuntimeError("stopped")
+        return build(self, session, a, b)
+
+    monkeypatch.setattr(Tables, "build_training", failing)
+    with pytest.raises(RuntimeError):
+        refresh(spark, tables, first, last, 2, log)
+    monkeypatch.setattr(Tables, "build_training", build)
+    runs = list(spans(first, last, X.GRID, 2))
+    assert len(runs) > 3 and built == runs[:3]
+    assert refresh(spark, tables, first, last, 2, log) == runs[2:]  # of the training set alone
+    assert refresh(spark, tables, first, last, 2, log) == []
+    whole = fixture_tables(tmp_path / "whole")
+    load_bars(X.bars(spark, sf_dir), whole, first, last)
+    refresh(spark, whole, first, last)
+    assert table_rows(spark, tables) == table_rows(spark, whole)
+    # new bars of a part, or a table that was spoilt, open their runs again
+    load_bars(X.bars(spark, sf_dir), tables, runs[1][0], runs[1][0])
+    again = refresh(spark, tables, first, last, 2, log)
+    assert again == [runs[1], runs[1]]
+    truncate(spark, tables.targets, S.TARGETS)
+    assert refresh(spark, tables, first, last, 2, log) == [*runs, *runs]
+    assert table_rows(spark, tables) == table_rows(spark, whole)
+
+
+@pytest.mark.parametrize("bucket", [Q.PART_BUCKET, X.BUCKET])
+def test_a_late_symbol_recomputes_one_symbol(spark, sf_dir, tmp_path, bucket):
+    """Only what a changed symbol touches is worked out again, and the tables are those of a whole rebuild."""
+    bars = X.bars(spark, sf_dir).cache()
+    first, last = X.part_range(spark, sf_dir)
+    length = timedelta(days=X.GRID.part_days)
+    late, part = bars.first()["symbol"], first + 3 * length
+    is_late = (F.col("symbol") == late) & (F.col("date") == F.lit(part))
+    tables, progress = fixture_tables(tmp_path / "t", digests=True, bucket=bucket), str(tmp_path / "progress")
+    load_bars(bars.where(~is_late), tables, first, last)
+    process_new_bars(spark, tables, progress)
+    before = read_table(spark, tables.targets, S.TARGETS, version=True).collect()
+    changed = refresh_changed(spark, tables, first, last)
+    assert changed.isEmpty()
+    assert sorted(map(repr, read_table(spark, tables.targets, S.TARGETS, version=True).collect())) == sorted(map(repr, before))
+    load_bars(bars, tables, part, part)  # all symbols of the part are written again, one of them differs
+    assert [tuple(r) for r in refresh_changed(spark, tables, part, part).collect()] == [(late, part)]
+    whole = fixture_tables(tmp_path / "whole", bucket=bucket)
+    load_bars(bars, whole, first, last)
+    refresh(spark, whole, first, last)
+    assert table_rows(spark, tables) == table_rows(spark, whole)
+    # a symbol that vanishes takes its rows along
+    load_bars(bars.where(~is_late), tables, part, part)
+    process_new_bars(spark, tables, progress)
+    load_bars(bars.where(~is_late), whole, part, part)
+    refresh(spark, whole, first, last)
+    assert table_rows(spark, tables) == table_rows(spark, whole)

@@ -115,10 +115,24 @@ def test_targets_by_part_equal_one_pass(spark, sf_dir):
     assert pieces.exceptAll(whole).isEmpty() and whole.exceptAll(pieces).isEmpty()
 
 
-def test_parts_are_rebuilt_alone_only_with_whole_buckets(spark, sf_dir):
-    part = date(1996, 1, 1)
+@pytest.mark.parametrize("bucket", [10, 7, 52])
+def test_straddling_buckets_by_part_equal_one_pass(spark, sf_dir, bucket):
+    """Parts of 52 bars, whose last bucket goes on in the next part."""
+    bars = X.bars(spark, sf_dir).cache()
+    settings = dict(horizons=[1, 3], lookback=X.LOOKBACK, bucket=bucket)
+    whole = targets(bars, X.GRID, **settings)
+    parts = sorted(r["date"] for r in bars.select("date").distinct().collect())
+    pieces = None
+    for at in range(0, len(parts), 2):
+        piece = targets(bars, X.GRID, parts[at], parts[min(at + 1, len(parts) - 1)], **settings)
+        pieces = piece if pieces is None else pieces.unionByName(piece)
+    assert not whole.isEmpty()
+    assert pieces.exceptAll(whole).isEmpty() and whole.exceptAll(pieces).isEmpty()
+
+
+def test_buckets_are_no_longer_than_parts(spark, sf_dir):
     with pytest.raises(ValueError):
-        targets(X.bars(spark, sf_dir), X.GRID, part, part, lookback=10, horizons=[1], bucket=10)
+        targets(X.bars(spark, sf_dir), X.GRID, lookback=10, horizons=[1], bucket=53)
 
 
 def test_dedupe_max(spark):

@@ -57,3 +57,7 @@ class Grid:
         """Name of the part that holds a moment, outside of any frame."""
         days = (time.date() - self.origin.date()).days
         return self.origin.date() + timedelta(days=days // self.part_days * self.part_days)
+
+    def first_bar(self, part: date) -> int:
+        """Number of the bar that opens a part."""
+        return (part - self.origin.date()).days // self.part_days * self.bars_per_part

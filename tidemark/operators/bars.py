@@ -16,6 +16,71 @@ from tidemark.functions.prices import avg_price
 from tidemark.grid import Grid
 
 
+def partial_bars(
+    trades: DataFrame,
+    grid: Grid,
+    *,
+    symbol: Column,
+    ts: Column,
+    price: Column,
+    coins: Column,
+    usd: Column,
+    taker_buys: Column,
+    order: list[Column],
+) -> DataFrame:
+    """What ``merged_bars`` needs to know of some trades: one row per symbol and bar.
+
+    Rows of several loads can be stored beside each other, and late trades be added without reading the
+    earlier ones again. The opening and the closing price stand with their rank; sums keep the type that exact
+    sums of the input have.
+    """
+    rows = trades.select(
+        symbol.cast("string").alias("symbol"),
+        grid.number(ts).alias("bar_no"),
+        price.alias("price"),
+        coins.alias("coins"),
+        usd.alias("usd"),
+        taker_buys.alias("taker_buys"),
+        (order[0] if len(order) == 1 else F.struct(*order)).alias("rank"),
+    )
+    buys = F.col("taker_buys")
+    found = rows.groupBy("symbol", "bar_no").agg(
+        F.min("rank").alias("open_rank"),
+        F.min_by("price", "rank").alias("open"),
+        F.max("rank").alias("close_rank"),
+        F.max_by("price", "rank").alias("close"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.sum("usd").alias("usd"),
+        F.sum("coins").alias("coins"),
+        F.sum(F.when(buys, F.col("coins"))).alias("buy_coins"),
+        F.sum(F.when(~buys, F.col("usd"))).alias("sell_usd"),
+        F.count(F.lit(1)).alias("trades"),
+    )
+    return found.withColumn("date", grid.part(F.col("bar_no")))
+
+
+def merged_bars(partial: DataFrame, grid: Grid) -> DataFrame:
+    """Bars from ``partial_bars`` of any number of loads, each trade of which is in one of them.
+
+    The aggregates are extremes and sums, so merging loads gives the bars of all their trades at once.
+    """
+    zero = F.lit(0.0)
+    merged = partial.groupBy("symbol", "bar_no").agg(
+        F.min_by("open", "open_rank").alias(S.OPEN),
+        F.max("high").alias(S.HIGH),
+        F.min("low").alias(S.LOW),
+        F.max_by("close", "close_rank").alias(S.CLOSE),
+        F.sum("usd").cast("double").alias(S.USD),
+        F.sum("coins").cast("double").alias(S.COINS),
+        F.coalesce(F.sum("buy_coins").cast("double"), zero).alias(S.TAKER_BUY_COINS),
+        F.coalesce(F.sum("sell_usd").cast("double"), zero).alias(S.TAKER_SELL_USD),
+        F.sum("trades").alias(S.TRANSACTIONS),
+    )
+    number = F.col("bar_no")
+    return merged.withColumns({"time_open": grid.start(number), "date": grid.part(number)}).select(*S.BARS.names)
+
+
 def bars_from_trades(
     trades: DataFrame,
     grid: Grid,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,14 +141,22 @@ def targets(
 
     The threshold is applied to the double; the value is narrowed to a float afterwards. Where buckets
     divide a part, as ten minutes do a day, both aggregations stay inside the (symbol, part)
-    partitions of the growth window, and there is one shuffle in all. A bucket that straddles parts
-    keeps its earliest bar of either, which a rebuild of one part alone could not know.
+    partitions of the growth window, and there is one shuffle in all. A bucket that straddles parts keeps its
+    earliest bar of either: when parts are rebuilt alone, the part before the first is looked at again for that
+    bucket's bars, and so hands it on.
     """
+    if bucket > grid.bars_per_part:
+        raise ValueError(f"a bucket of {bucket} bars spans more than two parts of {grid.bars_per_part}")
     straddling = grid.bars_per_part % bucket != 0
-    if straddling and (first is not None or last is not None):
-        raise ValueError("parts can be rebuilt alone only if a part holds whole buckets")
-    hits = growth_all(bars, grid, horizons, lookback, first, last, at_least=min_growth)
+    start = first - timedelta(days=grid.part_days) if straddling and first is not None else first
+    hits = growth_all(bars, grid, horizons, lookback, start, last, at_least=min_growth)
+    if start != first:
+        opened = grid.first_bar(first) // bucket
+        shared = F.floor(grid.number(F.col("time_open")) / bucket) == opened
+        hits = hits.where((F.col("part_name") >= F.lit(first)) | shared)
     unique = dedupe_max(hits, ["symbol", "part_name", "target_name", "time_open"], "value")
     keys = ["symbol", "target_name"] if straddling else ["symbol", "part_name", "target_name"]
     thinned = first_per_bucket(unique, grid, keys, "time_open", bucket)
+    if start != first:
+        thinned = thinned.where(F.col("part_name") >= F.lit(first))
     return thinned.withColumn("value", F.col("value").cast("float")).select(*S.TARGETS.names)

@@ -69,6 +69,14 @@ TRAINING = T.StructType(
     ]
 )
 
+DIGESTS = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("digest", T.StringType()),
+    ]
+)
+
 VERSION = T.StructField("row_version", T.TimestampType())
 
 # Sort keys of the stored tables: at most one current row each.

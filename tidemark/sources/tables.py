@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -73,3 +74,51 @@ def truncate(
         .partitionBy(part)
         .parquet(path)
     )
+
+
+def parts_state(spark: SparkSession, path: str, first: date, last: date, part: str = "part_name") -> str:
+    """A digest of the files in parts ``first`` to ``last`` of a table; it changes with every rewrite of one.
+
+    Names, sizes and times of the files are read from their folders, and nothing of their contents.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return ""
+    found = []
+    for folder in files.listStatus(root):
+        key, _, value = folder.getPath().getName().partition("=")
+        if key == part and first.isoformat() <= value <= last.isoformat():
+            for f in files.listStatus(folder.getPath()):
+                found.append(f"{value}/{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
+class RunLog:
+    """Finished runs, each in a small file of a folder, with the state of what they read and wrote."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self.root = self._path(folder)
+        self.files = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def read(self, name: str) -> str | None:
+        """What was noted of a run."""
+        place = self._path(self.root, name)
+        if not self.files.exists(place):
+            return None
+        stream = self.files.open(place)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write(self, name: str, state: str) -> None:
+        """Note a run; the note appears whole or not at all."""
+        place, beside = self._path(self.root, name), self._path(self.root, f"_{name}")
+        stream = self.files.create(beside, True)
+        stream.write(state.encode())
+        stream.close()
+        self.files.delete(place, False)
+        self.files.rename(beside, place)
