@@ -21,7 +21,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks import fixture as X  # noqa: E402
 from checks import queries as Q  # noqa: E402
-from tidemark.operators.targets import targets  # noqa: E402
+from tidemark import Grid  # noqa: E402
+from tidemark.operators.bars import bars_from_trades  # noqa: E402
+from tidemark.operators.targets import growth, targets  # noqa: E402
+from tidemark.plans.training import backtest_report  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -52,8 +55,46 @@ HEADLINES = {
     "backfill": Q.backfill_query,
 }
 
-#: Other ways to the same results, timed for comparison and left out of the metric.
-COMPARED = {"targets_per_horizon": targets_per_horizon}
+def minutes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Minute bars of 20 symbols and 4 days, with lines dealt over the minutes as trades, and their targets; stored."""
+    if not _minutes:
+        lines, grid = X.table(spark, sf_dir, "lineitem"), Grid()
+        deal = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey")
+        minute = F.pmod(deal, F.lit(4 * grid.bars_per_part))
+        price = (F.lit(100) + F.pmod(deal, F.lit(503)) / 100).cast("decimal(9,2)")
+        coins = F.col("l_quantity").cast("bigint")
+        bars = bars_from_trades(
+            lines, grid, symbol=F.col("l_suppkey") % 20, price=price.cast("double"), coins=coins, usd=price * coins,
+            ts=F.lit("2023-02-01").cast("timestamp_ntz") + F.lit(grid.bar) * minute,
+            taker_buys=F.col("l_returnflag") == "N", order=[deal],
+        )
+        folder = f"{spark.conf.get('spark.checkpoint.dir')}/minutes"
+        bars.write.parquet(f"{folder}/bars")
+        bars = spark.read.parquet(f"{folder}/bars")
+        targets(bars, grid, bucket=1).write.parquet(f"{folder}/targets")
+        _minutes.extend([bars, spark.read.parquet(f"{folder}/targets")])
+    return tuple(_minutes)
+
+
+_minutes: list[DataFrame] = []
+
+
+def report_of_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars, found = minutes(spark, sf_dir)
+    return backtest_report(found, bars, Grid())
+
+
+def growth_of_minutes(spark: SparkSession, sf_dir: str, frame: tuple[int, int] = (1, 1)) -> DataFrame:
+    return growth(minutes(spark, sf_dir)[0], Grid(), *frame)
+
+
+#: Timed for comparison and left out of the metric: other ways to the same results, and minute bars.
+COMPARED = {
+    "targets_per_horizon": targets_per_horizon,
+    "report_of_minutes": report_of_minutes,
+    "growth_of_minutes_1_1": growth_of_minutes,
+    "growth_of_minutes_1_300": lambda spark, sf_dir: growth_of_minutes(spark, sf_dir, (1, 300)),
+}
 
 
 def session() -> SparkSession:

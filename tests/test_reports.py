@@ -84,6 +84,25 @@ def test_report_equals_the_walk_over_whole_grids(spark, sf_dir):
     assert same(dense, gains)
 
 
+def test_report_of_minutes_equals_the_walk(make_bars, make_targets, grid):
+    """Minute bars with gaps, targets without a bar of their own, before the first bar and after the last."""
+    r = random.Random(6)
+    rows = [(s, m, 100.0 + r.randint(-8, 8) * 12) for s in "AB" for m in range(30, 400) if r.random() < 0.7 or m < 34]
+    rows = [(s, m, p, p + 30, p - 35, 0.0 if r.random() < 0.05 else 5.0) for s, m, p in rows]
+    bars = make_bars(rows)
+    names = ["price_increase_1", "price_increase_2"]
+    found = make_targets([(n, s, m) for n in names for s in "ABC" for m in [*range(0, 60), *range(330, 430, 3)]])
+    for after in (1, 2, 3, 60):
+        dense = C.with_entry(C.dense_around(found, bars, grid, 2, after))
+        settings = dict(stop_ratio=0.7, profit_ratio=1.2)
+        wanted = E.first_outcome(dense, order="desc", exit_price=S.LOW, **settings)
+        gains = P.case_gains(found, bars, grid, after=after, **settings)
+        if after > 1:
+            assert same(wanted, gains)
+        else:
+            assert gains.where(F.col(S.GAIN) != 0).isEmpty() and gains.count() == found.count()
+
+
 def test_report_order_and_measures(make_bars, make_targets, grid):
     bars = make_bars([("A", m, 100.0) for m in range(600, 661)])
     names = ["price_increase_10", "price_increase_2", "other"]

@@ -132,6 +132,8 @@ def feature_probe(
         seen = F.explode(F.array("part_name", F.date_sub("part_name", grid.part_days)))
         keys = listed.select("symbol", seen.alias("date")).distinct()
         bars = bars.join(keys, ["symbol", "date"], "left_semi")
+    # lists keep all they are given, so bars are cut down to what the steps need
+    bars = bars.select("symbol", "time_open", "date", S.USD, S.COINS)
     rows = dense_around(listed, bars, grid, before, after, first, last)
     steps = step_change_pct(rows, "desc")
     return (
