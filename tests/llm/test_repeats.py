@@ -148,3 +148,58 @@ def test_strings_that_many_share_meet_folded(spark, monkeypatch):
     monkeypatch.setattr(R, "sort_shards", watched)
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     assert found(frame) == plain(rows)
+
+
+def periodic(seed):
+    """Runs and short periods, with something else in between, and parts of them in other texts."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(12):
+        parts = []
+        for _ in range(r.randint(1, 5)):
+            period = "".join(r.choice("ab é\n") for _ in range(r.choice([1, 1, 2, 3, 7, 40])))
+            parts.append(period * r.randint(1, 700 // len(period)))
+            parts.append("".join(r.choice("abcdefgh") for _ in range(r.choice([0, 3, 60, 150]))))
+        rows.append((i, "".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("seed, piece", [(1, (1 << 21) - 1), (2, 150), (3, 333)])
+def test_runs_and_periods_in_pieces(spark, monkeypatch, seed, piece):
+    monkeypatch.setattr(R, "PIECE_BYTES", piece)
+    rows = periodic(seed)
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)) == plain(rows)
+
+
+@pytest.mark.parametrize("period", ["x", " ", "abc", "0123456789" * 4])
+def test_long_runs_take_few_rows(period):
+    text = period * (8_000_000 // len(period))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array([text])], ["id", "tid", "text"])
+    rows = next(R.found_segments(iter([batch])))
+    assert rows.num_rows < 3_000
+    spots = [s for s in rows["spot"].to_pylist() if s & R._KNOWN]
+    covered = sum(int(R.long_count_of(np.int64(s))) for s in spots)
+    assert len(text) - 99 - covered < 3_000
+
+
+def test_a_long_run_in_a_table(spark):
+    n = 5_000_000
+    frame = spark.createDataFrame([(1, "x" * n), (2, "y" * 150 + "x" * 400), (3, " " * n)], "doc_id bigint, text string")
+    rows = {r["doc_id"]: r for r in R.repeats(frame).collect()}
+    assert (rows[1]["n_removed"], rows[1]["n_spans"]) == (n - 1, 1)
+    assert rows[1]["kept_sha256"] == hashlib.sha256(b"x").hexdigest()
+    assert (rows[3]["n_removed"], rows[3]["n_spans"]) == (n - 1, 1)
+    assert rows[2]["n_removed"] == 149 + 400  # every y but the first, and all x
+
+
+def test_anchors_do_not_depend_on_what_is_around():
+    r = random.Random(9)
+    passage = "".join(r.choice("abcd ") for _ in range(400))
+    around = ["", "z" * 5, "".join(r.choice("efgh") for _ in range(300_000))]
+    seen = []
+    for before in around:
+        chunk = next(R.S.chunks(pa.array([before + passage])))
+        text, start, place, count, anchor, hashes = R.segments(chunk)
+        inside = start >= len(before)
+        seen.append(list(zip(start[inside] - len(before), place[inside], count[inside], anchor[inside])))
+    assert set(seen[0][1:]) <= set(seen[1]) and set(seen[0][1:]) <= set(seen[2])

@@ -5,8 +5,9 @@ start). So that equal strings meet without all text meeting, each string belongs
 ``GRAM``-byte gram of the least hash in it (the leftmost of equal ones): equal strings have equal anchors.
 The strings of one anchor occurrence are neighbours, and form a segment of less than two lengths.
 
-Segments are compared by anchor, 64-bit hash, number of strings and the anchor's place. Of equal segments only the first can hold anything new, within a
-task and then among all tasks; the rest are covered whole. Anchors left with one segment hold nothing that
+Segments are compared by anchor, 64-bit hash, number of strings and the anchor's place. Of equal segments only
+the first can hold anything new, within a task and then among all tasks; the rest are covered whole, and those that
+follow each other, as in runs of a character and short periods, are one row. Very long texts are looked at in pieces. Anchors left with one segment hold nothing that
 repeats. The segments of the other anchors go to shards by anchor. There, strings whose middle no other
 segment has are put aside, and the stretches that are left are sorted as one suffix array by induced sorting, and neighbours whose common prefix reaches ``LENGTH`` are equal strings, of which
 all but the first are marked. Anchors of very many segments, which strings that many documents share may
@@ -37,7 +38,10 @@ GRAM = 24
 CORE_STEP = 7
 SHARD_BYTES = 1 << 19  # text sorted at once, about
 SHARD_SEGMENTS = 12_000  # segments of one anchor in a shard, at most; of more, the strings are folded
+DENSE = 20  # bytes a segment, where fewer make a text be folded by itself first
 FOLD_STRINGS = 1 << 17  # different strings that a task folds at once
+_PIECE_BITS = 21
+PIECE_BYTES = (1 << _PIECE_BITS) - 1  # of a long text that are looked at at once
 LAST_ID = (1 << 63) - 1  # stands for a null id
 
 
@@ -53,8 +57,24 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(onward[:n], upto[width - 1 : width - 1 + n])
 
 
+def pieces_of(chunk: S.Chunk) -> Iterator[tuple[S.Chunk, int]]:
+    """The chunk, or pieces of its one very long text and their places in it, that have all its strings once.
+
+    A segment is cut where a piece ends; its parts differ from equal segments elsewhere and meet them in a shard.
+    """
+    if len(chunk.data) <= PIECE_BYTES:
+        yield chunk, 0
+        return
+    for at in range(0, len(chunk.data) - LENGTH + 1, PIECE_BYTES - LENGTH + 1):
+        data = chunk.data[at : at + PIECE_BYTES]
+        yield S.Chunk(chunk.first, data, np.array([0, len(data)])), at
+
+
 def segments(chunk: S.Chunk) -> tuple[np.ndarray, ...]:
-    """Text, start, place of the anchor in it, strings, anchor and hash of each segment of the chunk."""
+    """Text, start, place of the anchor in it, strings, anchor and hash of each segment of the chunk.
+
+    The chunk has less than ``1 << _PIECE_BITS`` bytes.
+    """
     data, offsets = chunk.data, chunk.offsets
     none = tuple(np.zeros(0, t) for t in (np.int64,) * 4 + (np.uint64,) * 2)
     if len(data) < LENGTH:
@@ -65,10 +85,11 @@ def segments(chunk: S.Chunk) -> tuple[np.ndarray, ...]:
     grams = (sums[GRAM:] - sums[:-GRAM]) * S.powers(n)[1]
     grams ^= grams >> np.uint64(29)
     grams *= np.uint64(0xBF58476D1CE4E5B9)
-    bits = np.uint64(max(1, int(n).bit_length()))
+    # as many bits of the hash everywhere, and then the place, so that grams rank alike in every chunk
+    bits = np.uint64(_PIECE_BITS)
     keyed = (grams >> bits << bits) | np.arange(n, dtype=np.uint64)
     least = _sliding_least(keyed, LENGTH - GRAM + 1)
-    anchor_at = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    anchor_at = (least & np.uint64((1 << _PIECE_BITS) - 1)).astype(np.int64)
     fits = np.zeros(len(least) + 1, np.int64)
     long = np.flatnonzero(np.diff(offsets) >= LENGTH)
     np.add.at(fits, offsets[long], 1)
@@ -90,6 +111,7 @@ def segments(chunk: S.Chunk) -> tuple[np.ndarray, ...]:
 #: One segment as five numbers: its anchor, its hash, its text's hash, doc_id; and its start, followed by
 #: the anchor's place in it, a flag for a repeat already known, and the number of strings.
 ROW = "anchor bigint, hash bigint, tid bigint, id bigint, spot bigint"
+#: Rows that only tell of repeats have their number of strings in the bits of both.
 SIFTED = "anchor bigint, tid bigint, id bigint, spot bigint, open boolean"
 _START_BITS, _PLACE_BITS, _KNOWN = 16, 8, 1 << 7
 
@@ -102,45 +124,85 @@ def count_of(spot):
     return spot & (_KNOWN - 1)
 
 
+def long_count_of(spot):
+    """The number of strings of a row that only tells of repeats, which has no need of the anchor's place."""
+    return (spot & (_KNOWN - 1)) | (spot >> _PLACE_BITS & 255) << 7
+
+
+MOST_STRINGS = (1 << 15) - 1
+
+
+def repeats_joined(rows: np.ndarray) -> np.ndarray:
+    """Known repeats, with those that follow each other in a text made one row of up to ``MOST_STRINGS``.
+
+    Runs of a character and short periods consist of little else. The rows need not meet their equals, so they
+    are dealt anywhere.
+    """
+    rows = rows[np.lexsort((rows[:, 4], rows[:, 2], rows[:, 3]))]
+    start, count = start_of(rows[:, 4]), count_of(rows[:, 4])
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, 2:4] != rows[:-1, 2:4]).any(axis=1) | (start[1:] != start[:-1] + count[:-1])
+    head = np.flatnonzero(new)
+    total = np.add.reduceat(count, head) if len(head) else count
+    parts = -(-total // MOST_STRINGS)
+    own = np.repeat(head, parts)
+    step = np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)
+    n = np.minimum(np.repeat(total, parts) - step * MOST_STRINGS, MOST_STRINGS)
+    made = rows[own]
+    begin = start[own] + step * MOST_STRINGS
+    made[:, 4] = begin << _START_BITS | n >> 7 << _PLACE_BITS | _KNOWN | (n & (_KNOWN - 1))
+    made[:, 0] = S.mix((made[:, 3] * 1_000_003 + made[:, 4]).view(np.uint64)).view(np.int64)
+    made[:, 1] = 0
+    return made
+
+
 def shape_of(spot):
     """The anchor's place and the number of strings, which equal segments have in common."""
     return spot & ((1 << _START_BITS) - 1)
 
 
+def fold(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first segment of each kind, with those that have no equal; and the others, as known repeats."""
+    keys = S.mix(rows[:, 0].view(np.uint64) ^ S.mix(rows[:, 1].view(np.uint64)))
+    order = np.argsort(keys)
+    same = np.zeros(len(order), bool)
+    same[1:] = keys[order[1:]] == keys[order[:-1]]
+    grouped = same.copy()
+    grouped[:-1] |= same[1:]
+    at = order[grouped]
+    shape = shape_of(rows[at, 4])
+    by_kind = np.lexsort((rows[at, 4], rows[at, 3], shape, rows[at, 1], rows[at, 0]))
+    at, shape = at[by_kind], shape[by_kind]
+    if not len(at):
+        return rows, rows[:0]
+    new = np.ones(len(at), bool)
+    new[1:] = (rows[at[1:], :2] != rows[at[:-1], :2]).any(axis=1) | (shape[1:] != shape[:-1])
+    first = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+    later = (rows[at, 3] != rows[first, 3]) | (rows[at, 4] != rows[first, 4])
+    known = np.zeros(len(rows), bool)
+    known[at[later]] = True
+    return rows[~known], repeats_joined(rows[known])
+
+
 @tidy
 def found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All segments of the texts; of equal ones in a batch, all but the first are flagged as known."""
     for batch in batches:
         ids = batch.column("id").to_numpy()
         tids = batch.column("tid").to_numpy()
-        parts = [np.zeros((0, 5), np.int64)]
-        for chunk in S.chunks(batch.column("text")):
-            text, start, place, count, anchor, hashes = segments(chunk)
-            text += chunk.first
-            spot = start << _START_BITS | place << _PLACE_BITS | count
-            parts.append(
-                np.column_stack([anchor.view(np.int64), hashes.view(np.int64), tids[text], ids[text], spot])
-            )
-        rows = np.concatenate(parts)
-        keys = S.mix(rows[:, 0].view(np.uint64) ^ S.mix(rows[:, 1].view(np.uint64)))
-        order = np.argsort(keys)
-        same = np.zeros(len(order), bool)
-        same[1:] = keys[order[1:]] == keys[order[:-1]]
-        grouped = same.copy()
-        grouped[:-1] |= same[1:]
-        at = order[grouped]
-        shape = shape_of(rows[at, 4])
-        by_kind = np.lexsort((rows[at, 4], rows[at, 3], shape, rows[at, 1], rows[at, 0]))
-        at, shape = at[by_kind], shape[by_kind]
-        if len(at):
-            new = np.ones(len(at), bool)
-            new[1:] = (rows[at[1:], :2] != rows[at[:-1], :2]).any(axis=1) | (shape[1:] != shape[:-1])
-            first = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-            later = (rows[at, 3] != rows[first, 3]) | (rows[at, 4] != rows[first, 4])
-            known = at[later]
-            rows[known, 4] |= _KNOWN
-            # they need not meet their equals, so they are dealt anywhere
-            rows[known, 0] = S.mix((rows[known, 3] * 1_000_003 + rows[known, 4]).view(np.uint64)).view(np.int64)
+        parts, known = [np.zeros((0, 5), np.int64)], []
+        for whole in S.chunks(batch.column("text")):
+            for chunk, at in pieces_of(whole):
+                text, start, place, count, anchor, hashes = segments(chunk)
+                text += chunk.first
+                spot = (start + at) << _START_BITS | place << _PLACE_BITS | count
+                rows = np.column_stack([anchor.view(np.int64), hashes.view(np.int64), tids[text], ids[text], spot])
+                if len(rows) * DENSE > len(chunk.data):  # not prose; most of it repeats what is near
+                    rows, joined = fold(rows)
+                    known.append(joined)
+                parts.append(rows)
+        rows, joined = fold(np.concatenate(parts))
+        rows = np.concatenate([rows, joined, *known])
         yield pa.RecordBatch.from_arrays(
             [pa.array(c) for c in rows.T], ["anchor", "hash", "tid", "id", "spot"]
         )
@@ -175,7 +237,9 @@ def sift_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             first_id, first_spot = live[at, 3], live[at, 4]
             if at[0] < 0:
                 first_id, first_spot = (np.where(at < 0, x, y) for x, y in zip(last[3:], (first_id, first_spot), strict=True))
-            out.append(live[~new_kind & ((live[:, 3] != first_id) | (live[:, 4] != first_spot))])
+            later = live[~new_kind & ((live[:, 3] != first_id) | (live[:, 4] != first_spot))]
+            later[:, 4] &= ~(255 << _PLACE_BITS)
+            out.append(later)
             kinds = np.flatnonzero(new_kind)
             if len(kinds):
                 lead = new_anchor[kinds]
@@ -458,7 +522,7 @@ def cut(documents: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
                 folded = [np.arange(count_of(m["spot"])) + start_of(m["spot"]) for m in marks if m["many"]]
                 folded = np.setdiff1d(np.concatenate(folded), firsts or []) if folded else spots[:0]
                 starts = np.concatenate([start_of(spots), found[:, 0], folded])
-                counts = np.concatenate([count_of(spots), found[:, 1], np.ones(len(folded), np.int64)])
+                counts = np.concatenate([long_count_of(spots), found[:, 1], np.ones(len(folded), np.int64)])
                 data = batch.column("text")[i].as_buffer().to_pybytes()
                 fits = starts + LENGTH <= len(data)
                 if not fits.any():
