@@ -38,6 +38,7 @@ GRAM = 24
 CORE_STEP = 7
 SHARD_BYTES = 1 << 19  # text sorted at once, about
 SHARD_SEGMENTS = 12_000  # segments of one anchor in a shard, at most; of more, the strings are folded
+SENT_ROWS = 1 << 17  # segments that leave a task at once
 DENSE = 20  # bytes a segment, where fewer make a text be folded by itself first
 FOLD_STRINGS = 1 << 17  # different strings that a task folds at once
 _PIECE_BITS = 21
@@ -203,9 +204,11 @@ def found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 parts.append(rows)
         rows, joined = fold(np.concatenate(parts))
         rows = np.concatenate([rows, joined, *known])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in rows.T], ["anchor", "hash", "tid", "id", "spot"]
-        )
+        # many at once would take as much memory again on their way out
+        for at in range(0, max(1, len(rows)), SENT_ROWS):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in rows[at : at + SENT_ROWS].T], ["anchor", "hash", "tid", "id", "spot"]
+            )
 
 
 @tidy
