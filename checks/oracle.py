@@ -287,6 +287,8 @@ def oracles() -> dict[str, str]:
         "backtest_report": f"""WITH {DENSE_ROWS}, {_walk("desc", "low")} {REPORT}""",
         "replace_parts": f"WITH {PART_TARGETS} SELECT {TARGET_COLUMNS} FROM targets",
         "backfill": _training(CASE_ROWS.replace(TARGETS, PART_TARGETS)),
+        "training_set_in_place": _training(CASE_ROWS.replace(TARGETS, PART_TARGETS)),
+        "latest_version_in_place": f"WITH {TARGETS} SELECT {TARGET_COLUMNS} FROM targets",
         "new_bars": f"WITH {PART_TARGETS} SELECT {TARGET_COLUMNS} FROM targets",
         "latest_version": """SELECT * FROM events
             QUALIFY row_number() OVER (

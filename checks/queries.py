@@ -20,6 +20,7 @@ from tidemark.operators import rows as R
 from tidemark.operators import targets as G
 from tidemark.plans import training as P
 from tidemark.plans.backfill import Tables, backfill, load_bars, refresh
+from tidemark.sources.buckets import BucketedTable
 from tidemark.sources.tables import read_table, replace_parts, truncate
 from tidemark.sources.tsv import read_tsv, write_tsv
 from tidemark.streaming.arrivals import process_new_bars
@@ -27,6 +28,7 @@ from tidemark.streaming.arrivals import process_new_bars
 Query = Callable[[SparkSession, str], DataFrame]
 
 PART_BUCKET = 13  # whole buckets per part, so that parts can be rebuilt alone
+BUCKETS = 8  # of each part of a bucketed table
 AS_OF = date(2024, 1, 16)
 CASE = ["symbol", "part_name", "target_timestamp", "target_name", "target_value"]
 
@@ -260,6 +262,25 @@ def backfill_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, tables.training, S.TRAINING)
 
 
+def training_set_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set from bars and targets stored in buckets by symbol, joined where they lie."""
+    tables = replace(part_tables(spark), buckets=BUCKETS)
+    first, last = X.part_range(spark, sf_dir)
+    load_bars(X.bars(spark, sf_dir), tables, first, last)
+    tables.write_targets(tables.build_targets(spark, first, last), first, last)
+    return tables.build_training(spark, first, last)
+
+
+def latest_version_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest of several loads of targets, appended to a bucketed table: a wrong one of all, then the right one."""
+    found = targets(spark, sf_dir)
+    loads = BucketedTable(scratch(spark), S.TARGETS, BUCKETS)
+    loads.append(found.withColumn("value", F.lit(0.0).cast("float")))
+    loads.append(found)
+    newest = R.latest_version(loads.read(spark, version=True), S.TARGET_KEY, [S.VERSION.name])
+    return newest.drop(S.VERSION.name)
+
+
 def new_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars arrive in two loads; each time, the parts they touch are rebuilt."""
     tables = part_tables(spark)
@@ -323,6 +344,8 @@ def queries() -> dict[str, Query]:
         "backtest_report": backtest_report,
         "replace_parts": replace_parts_query,
         "latest_version": latest_version,
+        "latest_version_in_place": latest_version_in_place,
+        "training_set_in_place": training_set_in_place,
         "backfill": backfill_query,
         "new_bars": new_bars,
         "yesterday": yesterday,

@@ -65,14 +65,18 @@ def of_parts(
     return targets
 
 
-def moments(targets: DataFrame, names: Iterable[str]) -> DataFrame:
+def spread(targets: DataFrame, in_place: bool = False) -> DataFrame:
+    """Targets dealt by (symbol, part_name); left where they are if bucketed tables have dealt them by symbol."""
+    return targets if in_place else targets.repartition("symbol", "part_name")
+
+
+def moments(targets: DataFrame, names: Iterable[str], in_place: bool = False) -> DataFrame:
     """One row per symbol and time, with a column per name holding the value of that target.
 
     A case does not depend on which names fired, so it is worked out once for all of them.
     """
     values = [F.max(F.when(F.col("target_name") == n, F.col("value"))).alias(n) for n in names]
-    spread = targets.repartition("symbol", "part_name")
-    grouped = spread.groupBy("symbol", "part_name", "time_open")
+    grouped = spread(targets, in_place).groupBy("symbol", "part_name", "time_open")
     return grouped.agg(*values) if values else grouped.agg(F.lit(1)).drop("1")
 
 
@@ -183,6 +187,7 @@ def dense_around(
     after: int,
     first: date | None = None,
     last: date | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """Like ``around``, with a row of zeros wherever a bar is missing.
 
@@ -196,7 +201,7 @@ def dense_around(
     number = grid.number(F.col("target_timestamp")).alias("target_no")
     moment = F.struct("target_timestamp", number, "held")
     moments = (
-        listed.repartition("symbol", "part_name")
+        spread(listed, in_place)
         .groupBy("symbol", "part_name", "target_timestamp")
         .agg(F.collect_list(F.struct(*rest)).alias("held"))
         .groupBy("symbol", "part_name")
@@ -274,15 +279,17 @@ def case_rows(
     before: int = 239,
     after: int = 60,
     fee: float = FEE,
+    in_place: bool = False,
 ) -> DataFrame:
     """The traded bars around each named target, with the phase of each row and the entry price.
 
-    Cases without an entry price are left out; versions of a target that are equal count once.
+    Cases without an entry price are left out; versions of a target that are equal count once. ``in_place``: targets
+    and bars come from bucketed tables, and are not shuffled.
     """
     chosen = of_parts(targets, names, first, last).withColumnRenamed("value", "target_value")
-    spread = chosen.repartition("symbol", "part_name").dropDuplicates()
+    different = spread(chosen, in_place).dropDuplicates()
     # the entry bar is read even where the case ends before it
-    rows = around(spread, traded(bars), grid, before, max(after, 1), first, last)
+    rows = around(different, traded(bars), grid, before, max(after, 1), first, last)
     return with_entry(rows, fee).where((F.col("price_in") != 0) & (F.col("offset") <= after))
 
 

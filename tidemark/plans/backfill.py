@@ -14,6 +14,7 @@ from tidemark import schemas as S
 from tidemark.grid import Grid
 from tidemark.operators.targets import targets
 from tidemark.plans.training import training_set
+from tidemark.sources.buckets import BucketedTable, joining_in_place
 from tidemark.sources.tables import RunLog, parts_state, read_table, replace_parts
 
 Builder = Callable[[date, date], DataFrame]
@@ -44,12 +45,14 @@ def backfill(
     parts_per_job: int | None = None,
     log: RunLog | None = None,
     inputs: State | None = None,
+    buckets: int | None = None,
 ) -> list[tuple[date, date]]:
     """Build parts ``first`` to ``last`` and replace them in the table at ``path``; the runs that were built.
 
     All parts of a run are one Spark job over one scan. ``parts_per_job`` bounds how much a failed
     run has to repeat. With a ``log``, a run is passed over that was finished before, if neither its input
     (``inputs`` tells the state of what parts of it are built from) nor what it wrote has changed since.
+    With ``buckets``, the table is bucketed by symbol.
     """
     done = []
     for start, end in spans(first, last, grid, parts_per_job):
@@ -60,13 +63,23 @@ def backfill(
             held = f"{before} {parts_state(spark, path, start, end, part)}"
             if log.read(name) == held:
                 continue
-        replace_parts(build(start, end), path, start, end, schema, key, part)
+        write_parts(build(start, end), path, start, end, schema, key, part, buckets)
         if spark:
             log.write(name, f"{before} {parts_state(spark, path, start, end, part)}")
         done.append((start, end))
     return done
 
 
+def write_parts(
+    df: DataFrame, path: str, first: date, last: date, schema, key: list[str], part: str, buckets: int | None
+) -> None:
+    """Replace parts of a table, bucketed by symbol or not."""
+    if buckets:
+        BucketedTable(path, schema, buckets, part).replace(df, first, last)
+    else:
+        replace_parts(df, path, first, last, schema, key, part)
+
+
 @dataclass(frozen=True)
 class Tables:
     """Where the three tables lie, and the settings they are built with."""
@@ -78,6 +91,7 @@ class Tables:
     target_settings: tuple[tuple[str, Any], ...] = ()
     training_settings: tuple[tuple[str, Any], ...] = ()
     digests: str | None = None  # where the bars that were worked on are remembered, by symbol and part
+    buckets: int | None = None  # of bars and targets, by symbol; the training set is then built without a shuffle
 
     @property
     def reach(self) -> int:
@@ -85,23 +99,32 @@ class Tables:
         return 2 if self.grid.bars_per_part % dict(self.target_settings).get("bucket", 10) else 1
 
     def read_bars(self, spark: SparkSession) -> DataFrame:
+        if self.buckets:
+            return BucketedTable(self.bars, S.BARS, self.buckets, "date").read(spark)
         return read_table(spark, self.bars, S.BARS)
 
     def read_targets(self, spark: SparkSession) -> DataFrame:
+        if self.buckets:
+            return BucketedTable(self.targets, S.TARGETS, self.buckets).read(spark)
         return read_table(spark, self.targets, S.TARGETS)
 
+    def write_targets(self, df: DataFrame, first: date, last: date) -> None:
+        write_parts(df, self.targets, first, last, S.TARGETS, S.TARGET_KEY, "part_name", self.buckets)
+
     def build_targets(self, spark: SparkSession, first: date, last: date) -> DataFrame:
         return targets(
             self.read_bars(spark), self.grid, first, last, **dict(self.target_settings)
         )
 
     def build_training(self, spark: SparkSession, first: date, last: date) -> DataFrame:
+        spark = joining_in_place(spark) if self.buckets else spark
         return training_set(
             self.read_targets(spark),
             self.read_bars(spark),
             self.grid,
             first,
             last,
+            in_place=bool(self.buckets),
             **dict(self.training_settings),
         )
 
@@ -133,6 +156,7 @@ def refresh(
         lambda a, b: tables.build_targets(spark, a, b),
         tables.targets, first, last, grid, S.TARGETS, S.TARGET_KEY, parts_per_job=parts_per_job,
         log=noted, inputs=lambda a, b: f"{bars(a, b, tables.reach)} {tables.target_settings}",
+        buckets=tables.buckets,
     ) + backfill(
         lambda a, b: tables.build_training(spark, a, b),
         tables.training, first, last, grid, S.TRAINING, S.TRAINING_KEY, parts_per_job=parts_per_job,
@@ -178,7 +202,7 @@ def refresh_changed(spark: SparkSession, tables: Tables, first: date, last: date
         key = ["symbol", "part_name"]
         found = targets(bars, grid, first, end, **dict(tables.target_settings)).join(opened, key, "left_semi")
         kept = _stored_or_none(spark, tables.targets, S.TARGETS)
-        replace_parts(_with_kept(found, kept, opened, key), tables.targets, first, end, S.TARGETS, S.TARGET_KEY)
+        tables.write_targets(_with_kept(found, kept, opened, key), first, end)
         built = training_set(
             tables.read_targets(spark).join(opened, key, "left_semi"), bars, grid, first, end,
             **dict(tables.training_settings),
@@ -204,7 +228,7 @@ def _with_kept(built: DataFrame, kept: DataFrame | None, opened: DataFrame, key:
 
 def load_bars(bars: DataFrame, tables: Tables, first: date, last: date) -> None:
     """Replace parts of the bar table."""
-    replace_parts(bars, tables.bars, first, last, S.BARS, ["symbol", "time_open"], part="date")
+    write_parts(bars, tables.bars, first, last, S.BARS, ["symbol", "time_open"], "date", tables.buckets)
 
 
 def daily(spark: SparkSession, bars: DataFrame, tables: Tables, as_of: date) -> None:

@@ -24,6 +24,7 @@ from tidemark.operators.cases import (
     moments,
     of_parts,
     per_target,
+    spread,
     traded,
 )
 from tidemark.operators.features import (
@@ -56,13 +57,15 @@ def training_set(
     stop_ratio: float = STOP_RATIO,
     profit_ratio: float = PROFIT_RATIO,
     min_avg_volume: float = MIN_AVG_VOLUME,
+    in_place: bool = False,
 ) -> DataFrame:
     """Features and outcomes of every named target of parts ``first`` to ``last`` that is liquid.
 
-    Bars and targets are shuffled once, by (symbol, part_name); see ``around``.
+    Bars and targets are shuffled once, by (symbol, part_name); see ``around``. ``in_place``: both come from tables with
+    the same number of buckets by symbol, read by a session of ``joining_in_place``, and nothing is shuffled.
     """
     names = list(names)
-    cases = moments(of_parts(targets, names, first, last), names)
+    cases = moments(of_parts(targets, names, first, last), names, in_place)
     # The entry bar is read even where the case ends before it.
     rows = around(cases, traded(bars), grid, before, max(after, 1), first, last)
     if after >= 1:
@@ -154,13 +157,14 @@ def case_gains(
     stop_ratio: float = STOP_RATIO,
     profit_ratio: float = PROFIT_RATIO,
     keep_missing_entry: bool = True,
+    in_place: bool = False,
 ) -> DataFrame:
     """What each target would have gained, walking back from the end of its case.
 
     Only the bars after the target matter here. The targets of a (symbol, part) are listed in one row, by
     their times, and its bars in another, with an entry for each bar number; both are shuffled once. A time's
     walk reads its bars by their place and is done once for all targets of that time, equal versions of
-    which count once; nothing is expanded but the results. Missing bars count as empty bars, which decide
+    which count once; nothing is expanded but the results (``in_place``: both come from bucketed tables, and are not shuffled). Missing bars count as empty bars, which decide
     nothing; a case without any bars gains 0. A missing entry price counts as 0, which every bar exceeds: such a case
     scores as a profit, unless ``keep_missing_entry`` is off and it is left out.
     """
@@ -168,7 +172,7 @@ def case_gains(
     target = F.struct("target_name", F.col("value").alias("target_value"))
     moment = F.struct("time_open", grid.number(F.col("time_open")).alias("target_no"), "targets")
     listed = (
-        chosen.repartition("symbol", "part_name")
+        spread(chosen, in_place)
         .groupBy("symbol", "part_name", "time_open")
         .agg(F.collect_set(target).alias("targets"))
         .groupBy("symbol", "part_name")

@@ -37,14 +37,10 @@ def replace_parts(
     be skipped; texts of the key get bloom filters, for those that lie between a row group's least and greatest.
     """
     texts = [c for c in key if isinstance(schema[c].dataType, T.StringType)]
-    spark = df.sparkSession
     written = Observation()
-    in_range = F.col(part).between(F.lit(first), F.lit(last))
+    rows = in_parts(df.select(*schema.names), part, first, last).hint("rebalance", part)
     (
-        df.select(*schema.names)
-        .where(in_range)
-        .hint("rebalance", part)
-        .withColumn(VERSION.name, F.lit(datetime.now(timezone.utc)))
+        stamped(rows, schema)
         .sortWithinPartitions(part, *[c for c in key if c != part])
         .observe(written, F.collect_set(part).alias("parts"))
         .write.mode("overwrite")
@@ -53,7 +49,24 @@ def replace_parts(
         .partitionBy(part)
         .parquet(path)
     )
-    kept = {f"{part}={day.isoformat()}" for day in written.get["parts"]}
+    drop_unwritten(df.sparkSession, path, part, first, last, written.get["parts"])
+
+
+def in_parts(df: DataFrame, part: str, first: date, last: date) -> DataFrame:
+    """Rows of parts ``first`` to ``last``."""
+    return df.where(F.col(part).between(F.lit(first), F.lit(last)))
+
+
+def stamped(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a table, with the version of rows written now."""
+    return df.select(*schema.names).withColumn(VERSION.name, F.lit(datetime.now(timezone.utc)))
+
+
+def drop_unwritten(
+    spark: SparkSession, path: str, part: str, first: date, last: date, written: list[date]
+) -> None:
+    """Remove the folders of parts ``first`` to ``last`` that a job has not written."""
+    kept = {f"{part}={day.isoformat()}" for day in written}
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     for found in files.listStatus(folder):
