@@ -56,6 +56,56 @@ def test_a_source_that_is_too_small_stops_at_three_times_its_size(spark):
     assert sum(r["taken"] for r in got) == pytest.approx(5003, abs=100)
 
 
+def plain_taken(rows, seed):
+    """Rank order, in rounds, and the closing document, for rows (doc_id, source, size) of one weight and equal chances."""
+    import hashlib
+
+    words = defaultdict(int)
+    for _, source, size in rows:
+        words[source] += size
+    taken = {}
+    for source, target in plain_targets(words).items():
+        own = [(i, size) for i, s, size in rows if s == source]
+        whole = int(target / words[source] + 1e-9)
+        chance = target / words[source] - whole
+        taken |= {i: whole * size for i, size in own}
+        if chance <= 1e-9:
+            continue
+        ranks = {}
+        for i, _ in own:
+            u = (int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            ranks[i] = (u / (1 - u)) * ((1 - chance) / chance)
+        gap, left = target - whole * words[source], sorted(own, key=lambda x: ranks[x[0]])
+        for _ in range(4):
+            upto, went = 0, []
+            for i, size in [x for x in left if x[1] <= gap]:
+                if upto + size > gap:
+                    break
+                upto += size
+                went.append((i, size))
+            gap -= upto
+            left = [x for x in left if x not in set(went)]
+            for i, size in went:
+                taken[i] += size
+        near = [(abs(gap - size), ranks[i], i, size) for i, size in left if abs(gap - size) < gap]
+        if near:
+            *_, i, size = min(near)
+            taken[i] += size
+    return taken
+
+
+def test_sources_of_giants_come_near_their_targets(spark):
+    """Ten sources, each of 3000 short documents and two of a third of its words."""
+    rows = [(10_000 * k + i, f"s{k}", 20 if i < 3000 else 60_000) for k in range(10) for i in range(3002)]
+    sizes = spark.createDataFrame([(*r, 0) for r in rows], "doc_id int, source string, size bigint, class int")
+    got = M.mixed(sizes).collect()
+    assert {r["doc_id"]: r["taken"] for r in got} == plain_taken(rows, "mix")
+    taken, target = defaultdict(int), {r["source"]: r["target"] for r in got}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - target[s]) <= 20 for s in target)
+
+
 def test_unequal_chances(spark):
     rows = [(i, "a b c d", "s", 4.0 if i % 2 else 1.0) for i in range(4000)]
     frame = spark.createDataFrame(rows, "doc_id int, text string, source string, w double")

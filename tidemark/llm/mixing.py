@@ -5,10 +5,12 @@ size; what is over goes to the others by weight. Within a source, documents expe
 their own weight, again ``MAX_COPIES`` at most. The whole part of that number is certain. For the rest, documents are
 ranked by the odds of a random number divided by the odds of inclusion (Pareto order sampling), and taken
 in that order until the next one would exceed the source's words: a sample of fixed size with unequal
-probabilities. Its last place goes to the document whose size comes nearest to what is still missing.
+probabilities. Where a long document stops it, ``FILLS`` more rounds go on in the same order, each among the documents
+that are no longer than what is missing. The last place goes to the document whose size comes nearest to what is
+still missing then.
 
 All of it is DataFrame expressions. Documents are summed by (source, weight class) and by bins of the rank
-before anything is ordered, so that only the documents of the one bin in which a source's cut falls meet
+before anything is ordered, so that only the documents of the one bin in which a source's cut of a round falls meet
 in a task, besides the sources' and the bins' sums, one row each.
 
 Defined results: null texts and texts without a word have size 0 and are never taken; a null source is a
@@ -27,6 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 RANK_BINS = 65_536
+FILLS = 3  # rounds after the first
 SEED = "mix"
 LEAST = 1e-9  # smaller remainders of a number of copies count as none
 
@@ -92,9 +95,9 @@ def allot(
 ) -> DataFrame:
     """A row for each source and weight class: source_size, target, whole copies, chance of one more.
 
-    ``cut_bin`` and ``cut`` tell the last document of the source that is taken once more (all are where
-    ``cut_bin`` is null), ``closing`` the one that fills the rest. ``sizes`` has doc_id, source, size and
-    class.
+    ``round_0``, ``round_1``... tell which documents are taken once more in a round: those of up to ``limit`` words, to the
+    last one ``cut`` in ``cut_bin`` (all where that is null); ``gap`` what is missing after them, ``closing`` the
+    document that fills it. ``sizes`` has doc_id, source, size and class.
     """
     classes = sizes.groupBy("source", "class").agg(
         F.sum("size").alias("words"), F.count("*").alias("documents")
@@ -122,18 +125,41 @@ def allot(
     classes = classes.withColumn("chance", F.when(F.col("chance") > LEAST, F.col("chance")))
     certain = F.sum(F.col("whole") * F.col("words")).over(Window.partitionBy("source"))
     plan = stored(
-        classes.withColumn("rest", F.col("target") - certain).select(
-            "source", "class", "source_size", "target", "whole", "chance", "rest"
+        classes.withColumn("gap", F.col("target") - certain).select(
+            "source", "class", "source_size", "target", "whole", "chance", "gap"
         )
     )
+    drawn = with_plan(sizes, plan, seed).where(F.col("chance").isNotNull() & (F.col("size") > 0))
+    ranked = stored(drawn.select("source", "doc_id", "size", "rank"))
+    state = plan.groupBy("source").agg(F.max("gap").alias("gap"))
+    for k in range(1 + FILLS):
+        steps = _round(_open(ranked, state, k).where(F.col("size") <= F.col("gap")), k)
+        state = state.join(steps, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+        state = stored(state.withColumn("gap", F.col("gap") - F.coalesce("used", F.lit(0))).drop("used"))
+    left = _open(ranked, state, 1 + FILLS)
+    off = F.abs(F.col("gap") - F.col("size"))
+    closing = F.min(F.struct(off, "rank", "doc_id", "size")).alias("closing")
+    nearest = left.where(off < F.col("gap")).groupBy(F.col("source").alias("_s")).agg(closing)
+    state = state.join(nearest, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "gap")
+    state = state.withColumnRenamed("source", "_s")
+    return stored(plan.join(state, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "gap"))
+
+
+def _open(ranked: DataFrame, state: DataFrame, rounds: int) -> DataFrame:
+    """The documents that may be taken once more, and are not after so many rounds."""
+    keyed = state.withColumnRenamed("source", "_s")
+    held = ranked.join(keyed, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    return held.where(~inside(F.col("size"), rounds))
+
 
-    ranked = with_plan(sizes, plan).where(F.col("chance").isNotNull() & (F.col("size") > 0))
-    ranked = ranked.select("source", "doc_id", "size", "rest", rank(F.col("doc_id"), F.col("chance"), seed).alias("rank"))
-    ranked = ranked.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * RANK_BINS))
-    bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
+def _round(open_: DataFrame, k: int) -> DataFrame:
+    """The cut of each source that has open documents: ``_s``, the round, and the words ``used`` by it."""
+    ranked = open_.select("source", "doc_id", "size", "gap", "rank", bin_of(F.col("rank")).alias("bin"))
+    bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("gap").alias("gap"))
     upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
-    last = bins.where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
+    totals = bins.groupBy("source").agg(F.sum("words").alias("words"), F.max("gap").alias("limit"))
+    last = bins.where((F.col("before") <= F.col("gap")) & (F.col("gap") < F.col("before") + F.col("words")))
     last = last.select(F.col("source").alias("_s"), F.col("bin").alias("_b"), "before")
     near = ranked.join(
         last, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_b"))
@@ -143,48 +169,47 @@ def allot(
     near = near.withColumn(
         "start", F.col("before") + F.coalesce(F.sum("size").over(earlier), F.lit(0))
     ).withColumn("place", F.row_number().over(order))
-    near = near.withColumn("fits", F.col("start") + F.col("size") <= F.col("rest"))
+    near = near.withColumn("fits", F.col("start") + F.col("size") <= F.col("gap"))
     spot = F.struct("rank", "doc_id", "size")
-    cuts = near.groupBy(F.col("source").alias("_s"), F.col("bin").alias("cut_bin")).agg(
+    cuts = near.groupBy(F.col("source").alias("_c"), F.col("bin").alias("cut_bin")).agg(
         F.max_by(spot, F.when(F.col("fits"), F.col("place"))).alias("cut"),
-        (F.max("rest") - F.coalesce(F.max(F.when(F.col("fits"), F.col("start") + F.col("size"))), F.max("before"))).alias("gap"),
+        F.coalesce(F.max(F.when(F.col("fits"), F.col("start") + F.col("size"))), F.max("before")).alias("used"),
     )
-    plan = stored(plan.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "rest"))
-    left = with_plan(sizes, plan).where(
-        F.col("chance").isNotNull() & (F.col("size") > 0) & ~inside(F.col("size"), seed)
+    return totals.join(cuts, F.col("source").eqNullSafe(F.col("_c")), "left").select(
+        F.col("source").alias("_s"),
+        F.struct("limit", "cut_bin", "cut").alias(f"round_{k}"),
+        F.coalesce("used", "words").alias("used"),
     )
-    off = F.abs(F.col("gap") - F.col("size"))
-    nearest = left.where(off < F.col("gap")).groupBy(F.col("source").alias("_s")).agg(
-        F.min(
-            F.struct(
-                off, rank(F.col("doc_id"), F.col("chance"), seed).alias("rank"),
-                F.col("doc_id").alias("doc_id"), F.col("size").alias("size"),
-            )
-        ).alias("closing")
-    )
-    return stored(plan.join(nearest, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"))
 
 
-def with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Each row with what its source and class are allotted."""
+def with_plan(rows: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
+    """Each row with what its source and class are allotted, and its rank."""
     keyed = plan.withColumnRenamed("source", "_s").withColumnRenamed("class", "_c")
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("class") == F.col("_c"))
-    return rows.join(keyed, same, "left").drop("_s", "_c")
+    joined = rows.join(keyed, same, "left").drop("_s", "_c")
+    return joined.withColumn("rank", rank(F.col("doc_id"), F.col("chance"), seed))
+
+
+def bin_of(rank_: Column) -> Column:
+    return F.floor(rank_ / (1 + rank_) * RANK_BINS)
 
 
-def inside(size: Column, seed: str) -> Column:
-    """Whether a row joined to its plan comes before the cut of its source."""
-    own = rank(F.col("doc_id"), F.col("chance"), seed)
-    own_bin = F.floor(own / (1 + own) * RANK_BINS)
-    spot = F.struct(own.alias("rank"), F.col("doc_id"), size.alias("size"))
-    in_bin = (own_bin == F.col("cut_bin")) & F.coalesce(spot <= F.col("cut"), F.lit(False))
-    return F.when(F.col("cut_bin").isNull(), True).otherwise((own_bin < F.col("cut_bin")) | in_bin)
+def inside(size: Column, rounds: int = 1 + FILLS) -> Column:
+    """Whether a row with its rank and rounds is taken in one of the first rounds."""
+    spot = F.struct("rank", "doc_id", size.alias("size"))
+    found = F.lit(False)
+    for k in range(rounds):
+        limit, cut_bin, cut = (F.col(f"round_{k}.{c}") for c in ("limit", "cut_bin", "cut"))
+        own = bin_of(F.col("rank"))
+        before = cut_bin.isNull() | (own < cut_bin) | ((own == cut_bin) & (spot <= cut))
+        found = found | F.coalesce((size <= limit) & before, F.lit(False))
+    return found
 
 
-def copies(size: Column, seed: str = SEED) -> Column:
+def copies(size: Column) -> Column:
     """How often a row joined to its plan is taken."""
     closes = F.col("closing.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("closing.size") == size)
-    extra = F.coalesce(closes, F.lit(False)) | inside(size, seed)
+    extra = F.coalesce(closes, F.lit(False)) | inside(size)
     once_more = F.when(F.col("chance").isNotNull() & extra, 1).otherwise(0)
     return F.when(size > 0, F.col("whole") + once_more).otherwise(0).cast("bigint")
 
@@ -197,10 +222,10 @@ def mixed(
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken of each row of ``sized``."""
     plan = allot(sizes, source_weights, max_copies, seed)
-    return with_plan(sizes, plan).select(
+    return with_plan(sizes, plan, seed).select(
         "doc_id", "source", "size", "source_size", "target",
-        copies(F.col("size"), seed).alias("copies"),
-        (copies(F.col("size"), seed) * F.col("size")).alias("taken"),
+        copies(F.col("size")).alias("copies"),
+        (copies(F.col("size")) * F.col("size")).alias("taken"),
     )
 
 
@@ -224,7 +249,7 @@ def mix(
         size.alias("size"),
     ).withColumn("class", weight_class(weight))
     plan = allot(sized(documents, size, weight), source_weights, max_copies, seed)
-    counted = with_plan(held, plan).select("_row", copies(F.col("size"), seed).alias("_copies"))
+    counted = with_plan(held, plan, seed).select("_row", copies(F.col("size")).alias("_copies"))
     repeated = counted.where("_copies > 0").withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
     )

@@ -17,6 +17,21 @@ _FILLED = """
   FROM {name}_listed),
 {name}_filled AS (SELECT *, least(room, coalesce(holds * weight, room)) AS filled FROM {name}_held)"""
 
+#: A round of taking in rank order: of the documents no longer than what is missing, all before the first that doesn't fit.
+_ROUND = """
+open_{k} AS (SELECT *, drawn AND NOT taken AND size <= gap AS open FROM taken_{k}),
+summed_{k} AS (
+  SELECT *, sum(CASE WHEN open THEN size END) OVER (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST, size
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM open_{k}),
+taken_{n} AS (
+  SELECT * EXCLUDE (open, upto) REPLACE (
+    taken OR (open AND upto <= gap) AS taken,
+    gap - coalesce(max(CASE WHEN open AND upto <= gap THEN upto END) OVER (PARTITION BY source), 0) AS gap)
+  FROM summed_{k})"""
+FILLS = 3
+_ROUNDS = ",".join(_ROUND.format(k=k, n=k + 1) for k in range(1 + FILLS))
+
 OP1 = f"""
 WITH sizes AS (
   SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
@@ -47,23 +62,15 @@ documented AS (
   FROM classed c JOIN plan p ON c.source IS NOT DISTINCT FROM p.source AND c.w = p.w),
 ranked AS (
   SELECT *, (u / (1 - u)) * ((1 - chance) / chance) AS rank FROM documented),
-ordered AS (
-  SELECT *, chance IS NOT NULL AND size > 0 AS drawn,
-         sum(size) OVER (PARTITION BY source, chance IS NOT NULL AND size > 0
-              ORDER BY rank, doc_id NULLS FIRST, size
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-  FROM ranked),
-gaps AS (
-  SELECT source, max(rest) - coalesce(max(CASE WHEN upto <= rest THEN upto END), 0) AS gap
-  FROM ordered WHERE drawn GROUP BY source HAVING max(upto) > max(rest)),
+taken_0 AS (
+  SELECT *, chance IS NOT NULL AND size > 0 AS drawn, false AS taken, rest AS gap FROM ranked),
+{_ROUNDS},
 closing AS (
-  SELECT o.source, arg_min(o.doc_id, ROW(abs(gap - size), rank, doc_id)) AS doc_id
-  FROM ordered o JOIN gaps g ON o.source IS NOT DISTINCT FROM g.source
-  WHERE drawn AND upto > rest AND abs(gap - size) < gap GROUP BY o.source)
+  SELECT source, arg_min(doc_id, ROW(abs(gap - size), rank, doc_id)) AS doc_id
+  FROM taken_{FILLS + 1} WHERE drawn AND NOT taken AND abs(gap - size) < gap GROUP BY source)
 SELECT o.doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN drawn AND (upto <= rest OR c.doc_id IS NOT NULL) THEN 1 ELSE 0 END))::BIGINT
-         AS taken
-FROM ordered o LEFT JOIN closing c ON o.source IS NOT DISTINCT FROM c.source AND o.doc_id = c.doc_id"""
+       (size * (whole + CASE WHEN drawn AND (taken OR c.doc_id IS NOT NULL) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM taken_{FILLS + 1} o LEFT JOIN closing c ON o.source IS NOT DISTINCT FROM c.source AND o.doc_id = c.doc_id"""
 
 OP10 = r"""
 WITH RECURSIVE listed AS (
