@@ -168,3 +168,31 @@ def test_folders_are_deleted_once_used(spark):
     before = set(folder.iterdir())
     M.near_duplicates(frame, 4).collect()
     assert len(set(folder.iterdir()) - before) <= 11
+
+
+def test_texts_come_in_batches_of_bounded_size(spark, monkeypatch):
+    """Of long texts, no step works on as many at once as of short ones."""
+    whole = M.shingles
+
+    def bounded(texts, n):
+        if texts.nbytes > 1 << 16:
+            raise ValueError(f"{texts.nbytes} bytes of text at once")
+        return whole(texts, n)
+
+    monkeypatch.setattr(M, "shingles", bounded)
+    monkeypatch.setattr(M, "TEXT_BYTES", 1 << 14, raising=False)
+    rows = near_copies(20, 40)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert sum(len(t) for _, t in rows) > 1 << 18
+    assert found(frame) == plain(rows)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
+def test_a_batch_size_of_the_session_stays(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(name, "12345")
+    try:
+        assert M.stored(spark.range(3), 99).count() == 3
+        assert spark.conf.get(name) == "12345"
+    finally:
+        spark.conf.unset(name)

@@ -46,6 +46,7 @@ BAND_MASK = 127  # the bits of a bucket that number its band
 BLOCK_ROWS = 2048  # documents of a bucket that a task compares with as many others
 STREAM_ROWS = 1 << 17  # documents of a bucket's largest component that pass by such a block
 SPOKES = 1000  # pairs that are tested against one copy of a text
+TEXT_BYTES = 4 << 20  # text that a worker is sent at once, about; its sets take some ten times that
 BROADCAST_IDS = 1_000_000  # ids of 16 bytes that are broadcast at most
 DEVIATIONS = 5.5
 SALTS = (0x1F83D9AB, 0x5DEECE66D)
@@ -436,7 +437,7 @@ def grouped(rows: DataFrame, documents: DataFrame, shingle_words: int, min_perce
     What a later step does not read is deleted as soon as it has been used.
     """
     equal = ["node", "check", "n_shingles"]
-    sketched = stored(rows)
+    sketched = stored(rows, TEXT_BYTES)
     filled = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     banded = stored(filled.groupBy(*equal).agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands")))
     rows = stored(sketched.drop("bands"))
@@ -448,12 +449,12 @@ def grouped(rows: DataFrame, documents: DataFrame, shingle_words: int, min_perce
     discard(banded)
     reach = members.groupBy("node").agg(F.sum("held").alias("reach"))
     met = stored(heads.select("node", "n_shingles", "doc_id").join(reach, "node"))
-    texts = stored(texts_of(documents, met.select("node", "doc_id"), shingle_words))
+    texts = stored(texts_of(documents, met.select("node", "doc_id"), shingle_words), TEXT_BYTES)
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The components that the linked ones among the pairs join."""
         found = linked_ones(pairs, texts, shingle_words, min_percent)
-        return stored(found.select(F.col("low").alias("a"), F.col("high").alias("b")))
+        return stored(found.select(F.col("low").alias("a"), F.col("high").alias("b")), TEXT_BYTES)
 
     def joined(df: DataFrame, links: DataFrame) -> DataFrame:
         """The rows with the components that links between their components make."""
@@ -500,10 +501,11 @@ def grouped(rows: DataFrame, documents: DataFrame, shingle_words: int, min_perce
     joinable = stored(split_buckets(labels).drop("reach"))
     discard(members)
     bounded = stored(
-        with_common(joinable, texts, shingle_words).where(f"100 * common >= {min_percent} * n_shingles")
+        with_common(joinable, texts, shingle_words).where(f"100 * common >= {min_percent} * n_shingles"), TEXT_BYTES
     )
     discard(joinable)
-    few = stored(sketches_of(texts.join(bounded.select("node").distinct(), "node", "left_semi"), shingle_words))
+    wanted = texts.join(bounded.select("node").distinct(), "node", "left_semi")
+    few = stored(sketches_of(wanted, shingle_words), TEXT_BYTES)
     left = pairs_left(bounded, few, min_percent).join(done, ["a", "b"], "left_anti")
     left = stored(left.select(F.col("a").alias("hub"), F.col("b").alias("partner"), "low", "high"))
     discard(bounded, few, first, second)

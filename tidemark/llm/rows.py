@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 
 CLEAR_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,18 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """The rows, written to a new shared folder and read back, so that lost executors cost no rework.
 
     Once they are written, the shuffle files behind them are of no more use and are cleared at once.
+    Python workers get their rows in batches of about ``batch_bytes``, unless the session sets a size itself:
+    10 000 rows, as many as Spark sends otherwise, may be texts of any size.
     """
     spark, path = df.sparkSession, shared_folder(df.sparkSession)
     before = spark.conf.get(CLEAR_SHUFFLES, "false")
+    bounded = batch_bytes is not None and spark.conf.get(BATCH_BYTES, None) is None
     spark.conf.set(CLEAR_SHUFFLES, "true")
+    if bounded:
+        spark.conf.set(BATCH_BYTES, str(batch_bytes))
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEAR_SHUFFLES, before)
+        if bounded:
+            spark.conf.unset(BATCH_BYTES)
     held = spark.read.schema(df.schema).parquet(path)
     held.stored_folder = path
     return held
